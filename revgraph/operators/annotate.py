@@ -1,10 +1,15 @@
-"""Per-page annotation: links, categories and word counts."""
+"""Per-page annotation: links, categories and word counts.
+
+After ``latest_per_year`` each page is one row, so all annotation is a
+narrow projection of that row: no aggregation, join or further shuffle.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revgraph.functions.arrays import explode_nonempty, value_counts
 from revgraph.functions.text import clean_words, extract_categories, extract_links
 
 KEY = ["title_key", "year"]
@@ -26,39 +31,35 @@ def page_words(latest: DataFrame) -> DataFrame:
     return clean_words(latest.select("title_key", "title", "year", "text"), "text", "words").drop("text")
 
 
-def word_count(latest: DataFrame) -> DataFrame:
-    """A3: ``title_key, title, year, word, n`` with ``n`` the occurrences.
-
-    The grouping keys start with the page key, so when the input is already
-    hash-partitioned by ``(title_key, year)`` (as ``latest_per_year`` leaves
-    it) the count runs without another shuffle.
-    """
-    words = page_words(latest).select("title_key", "title", "year", F.explode("words").alias("word"))
-    return words.groupBy("title_key", "year", "title", "word").agg(F.count(F.lit(1)).alias("n"))
-
-
-def word_maps(counts: DataFrame) -> DataFrame:
-    """A page's counts as ``map<word, n>``.
+def annotate(latest: DataFrame) -> DataFrame:
+    """Year-pages: ``title_key, title, year, links, categories, wordcount``.
 
-    One page's map has at most as many entries as the page has tokens, and
-    the page's text already was one value, so the group is size-bounded.
+    ``wordcount`` (A3 + A9) is counted inside the row by sorting the page's
+    words; a page's map can never be larger than its own text.
     """
-    return counts.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("wordcount"))
+    feats = latest.select(
+        "title_key",
+        "title",
+        "year",
+        "text",
+        extract_links("text").alias("links"),
+        extract_categories("text").alias("categories"),
+    )
+    words = clean_words(feats, "text", "words").drop("text")
+    return value_counts(words, "words", "wordcount").drop("words")
 
 
-EMPTY_COUNTS = F.create_map().cast("map<string,bigint>")
+def word_count(latest: DataFrame) -> DataFrame:
+    """A3: ``title_key, title, year, word, n`` with ``n`` the occurrences."""
+    counted = value_counts(page_words(latest), "words", "wordcount")
+    gen, nonempty = explode_nonempty("wordcount", "word", "n")
+    return counted.select("title_key", "title", "year", gen).filter(nonempty)
 
 
-def annotate(latest: DataFrame) -> DataFrame:
-    """Year-pages: ``title_key, title, year, links, categories, wordcount``.
+def word_maps(counts: DataFrame) -> DataFrame:
+    """A9 from a long count table: a page's counts as ``map<word, n>``.
 
-    Both branches read the same shuffle output and stay partitioned by the
-    page key, so the join back is co-partitioned.
+    One page's map has at most as many entries as the page has tokens, so
+    the group is bounded by a single page.
     """
-    feats = page_features(latest)
-    maps = word_maps(word_count(latest))
-    pages = feats.join(maps, KEY, "left")
-    return pages.select(
-        "title_key", "title", "year", "links", "categories",
-        F.coalesce("wordcount", EMPTY_COUNTS).alias("wordcount"),
-    )
+    return counts.groupBy(*KEY).agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("wordcount"))

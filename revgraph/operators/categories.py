@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revgraph.functions.arrays import explode_nonempty
+
 GROUP = ["category", "year"]
 
 
@@ -25,7 +27,8 @@ def category_nodes(pages: DataFrame, include_uncategorised: bool = False) -> Dat
     cats = F.col("categories")
     if include_uncategorised:
         cats = F.when(F.size(cats) > 0, cats).otherwise(F.array(F.lit("")))
-    nodes = pages.select("title", "year", F.explode(cats).alias("category"))
+    gen, nonempty = explode_nonempty(cats, "category")
+    nodes = pages.select("title", "year", gen).filter(nonempty)
     if not include_uncategorised:
         nodes = nodes.filter(F.col("category") != "")
     return nodes

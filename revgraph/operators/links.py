@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revgraph.functions.arrays import explode_nonempty
 from revgraph.functions.text import title_key
 
 EDGE_KEY = ["src", "dst", "year"]
@@ -33,13 +34,14 @@ def with_title_key(pages: DataFrame) -> DataFrame:
 def edges(pages: DataFrame) -> DataFrame:
     """All link edges: ``src, src_key, year, dst, dst_key, src_deg``."""
     p = with_title_key(pages)
+    gen, nonempty = explode_nonempty("links", "dst")
     e = p.select(
         F.col("title").alias("src"),
         F.col("title_key").alias("src_key"),
         "year",
         F.size("links").alias("src_deg"),
-        F.explode("links").alias("dst"),
-    )
+        gen,
+    ).filter(nonempty)
     return e.withColumn("dst_key", F.translate(F.lower("dst"), " ", "_"))
 
 
@@ -65,7 +67,8 @@ def all_nodes(pages: DataFrame) -> DataFrame:
     before the shuffle.
     """
     own = pages.select("title", "year", F.lit(False).alias("is_stub"))
-    targets = pages.select(F.explode("links").alias("title"), "year", F.lit(True).alias("is_stub"))
+    gen, nonempty = explode_nonempty("links", "title")
+    targets = pages.select(gen, "year", F.lit(True).alias("is_stub")).filter(nonempty)
     return own.unionByName(targets).groupBy("title", "year").agg(F.min("is_stub").alias("is_stub"))
 
 
@@ -116,13 +119,15 @@ def _weighted_edges(pages: DataFrame, items: DataFrame, degree: Column, weight:
 def link_items(pages: DataFrame) -> DataFrame:
     """Long link table ``key, year, item, v``."""
     p = with_title_key(pages)
-    return p.select(F.col("title_key").alias("key"), "year", F.explode("links").alias("item"), F.lit(1).alias("v"))
+    gen, nonempty = explode_nonempty("links", "item")
+    return p.select(F.col("title_key").alias("key"), "year", gen, F.lit(1).alias("v")).filter(nonempty)
 
 
 def word_items(pages: DataFrame) -> DataFrame:
     """Long word-count table ``key, year, item, v`` from the ``wordcount`` map."""
     p = with_title_key(pages)
-    return p.select(F.col("title_key").alias("key"), "year", F.explode("wordcount").alias("item", "v"))
+    gen, nonempty = explode_nonempty("wordcount", "item", "v")
+    return p.select(F.col("title_key").alias("key"), "year", gen).filter(nonempty)
 
 
 def link_edges(pages: DataFrame) -> DataFrame:

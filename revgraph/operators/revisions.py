@@ -35,7 +35,15 @@ def latest_per_year(revisions: DataFrame) -> DataFrame:
     side before the single shuffle on ``(title_key, year)``; the output stays
     hash-partitioned on those columns for later per-page work.
     """
-    keyed = revisions.withColumn("title", F.lower("title")).withColumn("title_key", title_key("title"))
+    # A page without a title cannot be stored or linked to. Stating the
+    # filter here (instead of letting a later join infer it on one side only)
+    # keeps every consumer's plan identical up to the shuffle, so Spark reuses
+    # that one exchange.
+    keyed = (
+        revisions.withColumn("title", F.lower("title"))
+        .withColumn("title_key", title_key("title"))
+        .filter(F.col("title_key").isNotNull() & F.col("year").isNotNull())
+    )
     order = [F.col("timestamp").desc_nulls_last()]
     if "pos" in revisions.columns:
         order.append(F.col("pos").desc())

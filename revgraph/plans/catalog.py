@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revgraph.functions.arrays import explode_nonempty
 from revgraph.functions.names import edge_name, graph_safe_name, node_variable
 from revgraph.functions.text import array_to_text, strip_markup, wordcount_text
 from revgraph.operators import (
@@ -33,7 +34,7 @@ from revgraph.operators import (
     word_count,
     word_edges,
 )
-from revgraph.plans.graphs import build_pages, link_graph
+from revgraph.plans.graphs import build_pages, checkpointed, link_graph
 from revgraph.plans.views import register_graph_views, run_sample
 from revgraph.session import scratch_path
 from revgraph.sources.corpus import wiki_dump, wiki_revisions
@@ -51,6 +52,18 @@ def _pages(spark, sf):
     return build_pages(wiki_revisions(spark, sf))
 
 
+def _graph_pages(spark, sf, words: bool = False):
+    """Year-pages for graph building, cut from their lineage once.
+
+    A graph plan reads the pages several times (edges, targets, items); a
+    reliable checkpoint in the shared checkpoint folder stands in for the
+    stored page table of the two-job flow. Link graphs do not need the word
+    maps, so they are not computed for them.
+    """
+    pages = build_pages(wiki_revisions(spark, sf))
+    return checkpointed(pages if words else pages.drop("wordcount"))
+
+
 def _n_words(wordcount) -> F.Column:
     return F.aggregate(F.map_values(wordcount), F.lit(0).cast("bigint"), lambda a, x: a + x)
 
@@ -86,11 +99,13 @@ def q_page_counts(spark, sf):
 # --------------------------------------------------------------- text
 
 def q_extract_links(spark, sf):
-    return _pages(spark, sf).select("title", "year", F.explode("links").alias("link"))
+    gen, nonempty = explode_nonempty("links", "link")
+    return _pages(spark, sf).select("title", "year", gen).filter(nonempty)
 
 
 def q_extract_categories(spark, sf):
-    return _pages(spark, sf).select("title", "year", F.explode("categories").alias("category"))
+    gen, nonempty = explode_nonempty("categories", "category")
+    return _pages(spark, sf).select("title", "year", gen).filter(nonempty)
 
 
 def q_strip_markup(spark, sf):
@@ -178,21 +193,21 @@ def q_all_nodes(spark, sf):
 
 
 def q_graph_endpoints(spark, sf):
-    p = _pages(spark, sf)
+    p = _graph_pages(spark, sf)
     return graph_endpoints(all_nodes(p), link_edges(p))
 
 
 def q_link_edges(spark, sf):
-    return link_edges(_pages(spark, sf))
+    return link_edges(_graph_pages(spark, sf))
 
 
 def q_word_edges(spark, sf):
-    e = word_edges(_pages(spark, sf))
+    e = word_edges(_graph_pages(spark, sf, words=True))
     return e.select("src", "dst", "year", F.round("weight", 6).alias("weight"))
 
 
 def q_edge_name(spark, sf):
-    e = link_edges(_pages(spark, sf))
+    e = link_edges(_graph_pages(spark, sf))
     return e.select("src", "dst", "year", edge_name("src", "dst", "year").alias("name"))
 
 
@@ -210,7 +225,7 @@ def q_graph_safe_name(spark, sf):
 
 
 def q_graph_round_trip(spark, sf):
-    g = link_graph(_pages(spark, sf))
+    g = link_graph(_graph_pages(spark, sf))
     path = scratch_path(spark, "graph")
     write_graph({"nodes": g.nodes.select("title", "is_stub", "year"), "edges": g.edges.select("src", "dst", "weight", "year")}, path)
     back = read_graph(spark, path, ["edges"])["edges"]
@@ -218,7 +233,7 @@ def q_graph_round_trip(spark, sf):
 
 
 def _views(spark, sf):
-    g = link_graph(_pages(spark, sf))
+    g = link_graph(_graph_pages(spark, sf))
     return register_graph_views({"nodes": g.nodes, "edges": g.edges})
 
 
