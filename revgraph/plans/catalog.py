@@ -178,6 +178,26 @@ def q_pages_first_write_wins(spark, sf):
     )
 
 
+def q_streaming_ingest(spark, sf):
+    """Two dump deliveries through the ingest stream: January revisions, then
+    February ones. The second run processes only the new files and, as every
+    (year, page) is already stored, keeps the January versions."""
+    from revgraph.streaming import ingest_stream
+
+    base = scratch_path(spark, "stream")
+    rev = wiki_revisions(spark, sf)
+    month = F.substring("timestamp", 6, 2)
+    store, checkpoint, files = f"{base}/store", f"{base}/checkpoint", f"{base}/dumps/*/part-*"
+    for i, m in enumerate(["01", "02"]):
+        write_dump(wiki_dump(spark, sf, rev.filter(month == m)), f"{base}/dumps/{i}")
+        ingest_stream(spark, files, store, checkpoint).awaitTermination()
+    stored = read_pages(spark, store)
+    return stored.select(
+        "title", "year", _n_words("wordcount").alias("n_words"),
+        array_to_text("links").alias("links_text"), array_to_text("categories").alias("categories_text"),
+    )
+
+
 # --------------------------------------------------------------- link graph
 
 def q_resolve_links(spark, sf):
@@ -285,6 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "title_key": q_title_key,
     "pages_round_trip": q_pages_round_trip,
     "pages_first_write_wins": q_pages_first_write_wins,
+    "streaming_ingest": q_streaming_ingest,
     "resolve_links": q_resolve_links,
     "stub_nodes": q_stub_nodes,
     "all_nodes": q_all_nodes,

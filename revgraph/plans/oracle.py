@@ -155,6 +155,17 @@ FROM stored
 """
 )
 
+STREAMING_INGEST = (
+    "WITH" + CORPUS + ","
+    + latest("latest_jan", "(SELECT * FROM rev WHERE substr(ts, 6, 2) = '01')") + ","
+    + pages("pg_jan", "latest_jan")
+    + """
+SELECT title, year, CAST(len(words) AS BIGINT) AS n_words,
+       """ + _text("links") + " AS links_text, " + _text("categories") + """ AS categories_text
+FROM pg_jan
+"""
+)
+
 FLAT = "WITH" + CORPUS + "\nSELECT title, username, year, ts AS \"timestamp\", text FROM rev"
 
 SQL: dict[str, str] = {
@@ -180,6 +191,7 @@ SQL: dict[str, str] = {
                         + _text("categories") + " AS categories_text, "
                         + _wordcount_text("wc", "pg") + " AS wordcount_text FROM pg",
     "pages_first_write_wins": FIRST_WRITE_WINS,
+    "streaming_ingest": STREAMING_INGEST,
     "resolve_links": BASE + """SELECT e.src, e.dst, e.year,
         EXISTS (SELECT 1 FROM pg t WHERE t.title_key = e.dst_key AND t.year = e.year) AS dst_found FROM edges e""",
     "stub_nodes": BASE + "SELECT title, year FROM nodes WHERE is_stub",

@@ -50,13 +50,13 @@ def wiki_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_revisions(documents(spark, sf_dir))
 
 
-def wiki_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wiki_dump(spark: SparkSession, sf_dir: str, revisions: DataFrame | None = None) -> DataFrame:
     """The corpus in dump shape: one row per page with its revisions.
 
     A page holds exactly four revisions by construction (``doc_id div 4``),
     so the per-page list is bounded; revisions are ordered by timestamp.
     """
-    rev = wiki_revisions(spark, sf_dir)
+    rev = wiki_revisions(spark, sf_dir) if revisions is None else revisions
     revision = F.struct(
         F.col("timestamp"),
         F.struct(F.col("username")).alias("contributor"),

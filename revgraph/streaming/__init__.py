@@ -1,0 +1,3 @@
+from revgraph.streaming.ingest import dump_stream, ingest_stream
+
+__all__ = ["dump_stream", "ingest_stream"]
