@@ -11,27 +11,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def value_counts(df: DataFrame, input_col: str, output_col: str) -> DataFrame:
+def value_counts(df: DataFrame, values, output_col: str, keep: list[str] | None = None) -> DataFrame:
     """``map<value, count>`` of a non-null array, keys in sorted order.
 
     Sort the row's array, mark where a run of equal values starts, and turn
     consecutive run starts into lengths. All work stays inside the row
-    (``O(n log n)``): no explode, shuffle or aggregation.
+    (``O(n log n)``): no explode, shuffle or aggregation. ``values`` is a
+    column name or expression; ``keep`` lists the columns carried along
+    (default: all of ``df``).
     """
-    s, flags, starts, nxt = (f"_{output_col}_{x}" for x in ("sorted", "flags", "starts", "next"))
+    keep = list(df.columns) if keep is None else list(keep)
+    vals = F.col(values) if isinstance(values, str) else values
+    s, flags, starts, keys = (f"_{output_col}_{x}" for x in ("sorted", "flags", "starts", "keys"))
     n = F.size(s)
     prev = F.when(n > 0, F.concat(F.array(F.lit(None).cast("string")), F.slice(s, 1, n - 1)))
-    out = df.withColumn(s, F.sort_array(F.col(input_col)))
-    out = out.withColumn(flags, F.zip_with(s, prev, lambda a, b: b.isNull() | (a != b)))
-    out = out.withColumn(
-        starts,
-        F.filter(F.zip_with(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), flags, lambda i, f: F.when(f, i)), lambda x: x.isNotNull()),
+    out = df.select(*keep, F.sort_array(vals).alias(s))
+    out = out.select(*keep, s, F.zip_with(s, prev, lambda a, b: b.isNull() | (a != b)).alias(flags))
+    out = out.select(
+        *keep,
+        n.alias(s),
+        F.filter(
+            F.zip_with(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), flags, lambda i, f: F.when(f, i)),
+            lambda x: x.isNotNull(),
+        ).alias(starts),
+        F.filter(F.zip_with(s, flags, lambda w, f: F.when(f, w)), lambda x: x.isNotNull()).alias(keys),
     )
-    out = out.withColumn(nxt, F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(n + 1)))
-    keys = F.filter(F.zip_with(s, flags, lambda w, f: F.when(f, w)), lambda x: x.isNotNull())
+    # ``s`` now holds the number of values.
+    nxt = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(F.col(s) + 1))
     counts = F.zip_with(starts, nxt, lambda a, b: (b - a).cast("bigint"))
-    counted = F.when(n > 0, F.map_from_arrays(keys, counts)).otherwise(F.create_map().cast("map<string,bigint>"))
-    return out.withColumn(output_col, counted).drop(s, flags, starts, nxt)
+    counted = F.when(F.col(s) > 0, F.map_from_arrays(keys, counts)).otherwise(F.create_map().cast("map<string,bigint>"))
+    return out.select(*keep, counted.alias(output_col))
 
 
 def explode_nonempty(arr, *names: str) -> tuple[Column, Column]:

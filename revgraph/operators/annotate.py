@@ -10,7 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revgraph.functions.arrays import explode_nonempty, value_counts
-from revgraph.functions.text import clean_words, extract_categories, extract_links
+from revgraph.functions.text import (
+    clean_words,
+    extract_categories,
+    extract_links,
+    remove_stop_words,
+    tokenize,
+    words_from_kept,
+)
 
 KEY = ["title_key", "year"]
 
@@ -37,21 +44,24 @@ def annotate(latest: DataFrame) -> DataFrame:
     ``wordcount`` (A3 + A9) is counted inside the row by sorting the page's
     words; a page's map can never be larger than its own text.
     """
+    cols = ["title_key", "title", "year", "links", "categories"]
     feats = latest.select(
         "title_key",
         "title",
         "year",
-        "text",
         extract_links("text").alias("links"),
         extract_categories("text").alias("categories"),
+        tokenize("text").alias("_tokens"),
     )
-    words = clean_words(feats, "text", "words").drop("text")
-    return value_counts(words, "words", "wordcount").drop("words")
+    kept = remove_stop_words(feats, "_tokens", "_kept")
+    return value_counts(kept, words_from_kept("_kept"), "wordcount", keep=cols)
 
 
 def word_count(latest: DataFrame) -> DataFrame:
     """A3: ``title_key, title, year, word, n`` with ``n`` the occurrences."""
-    counted = value_counts(page_words(latest), "words", "wordcount")
+    tokens = latest.select("title_key", "title", "year", tokenize("text").alias("_tokens"))
+    kept = remove_stop_words(tokens, "_tokens", "_kept")
+    counted = value_counts(kept, words_from_kept("_kept"), "wordcount", keep=["title_key", "title", "year"])
     gen, nonempty = explode_nonempty("wordcount", "word", "n")
     return counted.select("title_key", "title", "year", gen).filter(nonempty)
 

@@ -39,16 +39,15 @@ def latest_per_year(revisions: DataFrame) -> DataFrame:
     # filter here (instead of letting a later join infer it on one side only)
     # keeps every consumer's plan identical up to the shuffle, so Spark reuses
     # that one exchange.
-    keyed = (
-        revisions.withColumn("title", F.lower("title"))
-        .withColumn("title_key", title_key("title"))
-        .filter(F.col("title_key").isNotNull() & F.col("year").isNotNull())
-    )
-    order = [F.col("timestamp").desc_nulls_last()]
-    if "pos" in revisions.columns:
-        order.append(F.col("pos").desc())
+    others = [c for c in revisions.columns if c not in ("title", "pos")]
+    has_pos = "pos" in revisions.columns
+    keyed = revisions.select(
+        F.lower("title").alias("title"), title_key("title").alias("title_key"), *others, *(["pos"] if has_pos else [])
+    ).filter(F.col("title_key").isNotNull() & F.col("year").isNotNull())
+    order = [F.col("timestamp").desc_nulls_last()] + ([F.col("pos").desc()] if has_pos else [])
     w = Window.partitionBy("title_key", "year").orderBy(*order)
-    return keyed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "pos")
+    ranked = keyed.select("title", "title_key", *others, F.row_number().over(w).alias("_rn"))
+    return ranked.filter(F.col("_rn") == 1).select("title", "title_key", *others)
 
 
 def distinct_years(revisions: DataFrame) -> DataFrame:

@@ -17,8 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    """The driver's ``documents`` table, read with its declared schema."""
+    return spark.read.schema(DOCUMENTS).parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
 def corpus_revisions(docs: DataFrame) -> DataFrame:
