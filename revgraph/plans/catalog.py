@@ -35,7 +35,7 @@ from revgraph.operators import (
     word_edges,
 )
 from revgraph.plans.graphs import build_pages, checkpointed, link_graph
-from revgraph.plans.views import register_graph_views, run_sample
+from revgraph.plans.views import run_sample
 from revgraph.session import scratch_path
 from revgraph.sources.corpus import wiki_dump, wiki_revisions
 from revgraph.sources.dump import read_dump, write_dump
@@ -254,7 +254,7 @@ def q_graph_round_trip(spark, sf):
 
 def _views(spark, sf):
     g = link_graph(_graph_pages(spark, sf))
-    return register_graph_views({"nodes": g.nodes, "edges": g.edges})
+    return {"nodes": g.nodes, "edges": g.edges}
 
 
 def q_out_degree(spark, sf):

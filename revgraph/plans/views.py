@@ -39,9 +39,8 @@ SAMPLES = {"out_degree": OUT_DEGREE, "neighbours": NEIGHBOURS, "top_edges": TOP_
 
 
 def register_graph_views(tables: dict[str, DataFrame], prefix: str | None = None) -> dict[str, str]:
-    """Register each table as a temp view; returns table name -> view name.
-
-    A fresh prefix keeps concurrent callers in one session apart.
+    """Register each table as a temp view for ad-hoc SQL; returns table name
+    -> view name. A fresh prefix keeps concurrent callers in one session apart.
     """
     prefix = prefix if prefix is not None else f"g{uuid.uuid4().hex[:8]}_"
     names = {}
@@ -52,5 +51,10 @@ def register_graph_views(tables: dict[str, DataFrame], prefix: str | None = None
     return names
 
 
-def run_sample(spark: SparkSession, name: str, views: dict[str, str], **params) -> DataFrame:
-    return spark.sql(SAMPLES[name].format(**views, **params))
+def run_sample(spark: SparkSession, name: str, tables: dict[str, DataFrame], **params) -> DataFrame:
+    """Run a sample question on graph tables given as DataFrames.
+
+    Spark binds each DataFrame to a view only while the statement is
+    analysed, so nothing stays registered in the session.
+    """
+    return spark.sql(SAMPLES[name], **tables, **params)

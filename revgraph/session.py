@@ -18,6 +18,8 @@ DEFAULTS = {
     # build-side partition measured at runtime is below this size.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
+    # remove reliable checkpoint files once their DataFrame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 

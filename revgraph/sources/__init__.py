@@ -1,8 +1,9 @@
 from revgraph.sources.corpus import corpus_revisions, documents, wiki_dump, wiki_revisions
 from revgraph.sources.dump import read_dump, write_dump
-from revgraph.sources.store import pages_where, read_graph, read_pages, write_graph, write_pages
+from revgraph.sources.store import compat_pages, pages_where, read_graph, read_pages, write_graph, write_pages
 
 __all__ = [
+    "compat_pages",
     "corpus_revisions",
     "documents",
     "pages_where",

@@ -66,6 +66,20 @@ def write_pages(pages: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     data.write.format(fmt).mode(write_mode).partitionBy("year").save(path)
 
 
+def compat_pages(pages: DataFrame) -> DataFrame:
+    """The year-page row in the original bean's shape, for JSON export:
+    ``Title, Year, Links, Categories, Wordcount`` with word counts as sorted
+    ``"word:n"`` strings."""
+    entries = F.transform(F.map_entries("wordcount"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string")))
+    return pages.select(
+        F.col("title").alias("Title"),
+        F.col("year").alias("Year"),
+        F.col("links").alias("Links"),
+        F.col("categories").alias("Categories"),
+        F.array_sort(entries).alias("Wordcount"),
+    )
+
+
 # ---------------------------------------------------------------- graph store
 
 GRAPH_TABLES = {

@@ -138,3 +138,17 @@ def test_ingest_store(spark, tmp_dir):
 def test_build_pages_matches_ingest(spark, tmp_dir):
     pages = build_pages(flatten_revisions(read_dump(spark, _dump_dir(tmp_dir))))
     assert pages.filter(F.col("title") == "beta").first().links == ["alpha page", "gamma"]
+
+
+def test_store_modes_and_lookup(spark, tmp_dir):
+    from revgraph.sources import compat_pages, pages_where, write_pages
+
+    store = os.path.join(tmp_dir, "store2")
+    pages = build_pages(flatten_revisions(read_dump(spark, _dump_dir(tmp_dir))))
+    write_pages(pages, store, fmt="json", mode="overwrite")
+    back = read_pages(spark, store, fmt="json")
+    assert back.count() == 4
+    one = pages_where(back, year=2019, title="Alpha_Page").collect()
+    assert [(r.title, r.year) for r in one] == [("alpha page", "2019")]
+    c = compat_pages(back).filter("Title = 'alpha page' AND Year = '2019'").first()
+    assert c.Wordcount == ["&&&:1", "the:1"]

@@ -156,7 +156,10 @@ def test_uncategorised_option(spark):
 def test_graph_views(spark):
     p = pages_df(spark, [("a", "2020", ["b", "x"], [], {}), ("b", "2020", ["a", "x"], [], {})])
     g = link_graph(p)
-    views = register_graph_views({"nodes": g.nodes, "edges": g.edges})
+    tables = {"nodes": g.nodes, "edges": g.edges}
+    views = register_graph_views(tables)
+    assert spark.sql(f"SELECT count(*) AS n FROM {views['edges']}").first().n == 4
+    views = tables
     deg = {(r.title, r.out_degree) for r in run_sample(spark, "out_degree", views).collect()}
     assert deg == {("a", 2), ("b", 2), ("x", 0)}
     top = run_sample(spark, "top_edges", views, k=1).collect()
