@@ -35,9 +35,16 @@ class CategoryGraph:
 
 
 def build_pages(revisions: DataFrame, only_main: bool = True) -> DataFrame:
-    """Flat revisions -> year-pages (latest revision, annotated)."""
-    pages = annotate(latest_per_year(revisions))
-    return main_titles(pages) if only_main else pages
+    """Flat revisions -> year-pages (latest revision, annotated).
+
+    The namespace test gives the same answer for every revision of a page
+    key (case and space/underscore do not change whether a ``:`` is followed
+    by another character), so it runs before the shuffle: revisions of
+    talk, user and other namespace pages are never moved.
+    """
+    if only_main:
+        revisions = main_titles(revisions)
+    return annotate(latest_per_year(revisions))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
