@@ -4,8 +4,8 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_QUERIES`` (comma list, default the headline set).
 Each query is built from scratch (parquet scan, corpus, text work, graph)
 and run to completion with the ``noop`` sink, so nothing is collected to
-the driver. Before timing, every query runs once on the smallest scale
-factor next to ``BENCH_SF_DIR`` (if present) so that JIT compilation of the
+the driver. Before timing, every query runs once on the sf0.01 data
+next to ``BENCH_SF_DIR`` (if present) so that JIT compilation of the
 plans is not counted: the numbers are steady-state, as in a long-running
 cluster session. Each query is then timed twice and the faster run counts.
 """
@@ -46,7 +46,7 @@ def main() -> None:
         QUERIES[name](spark, where).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t
 
-    warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
+    warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.01")
     for name in names:
         run(name, warm_dir if os.path.isdir(warm_dir) else sf_dir)
     # Best of two runs per query: the host's speed varies between runs.
