@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 
 def value_counts(df: DataFrame, values, output_col: str, keep: list[str] | None = None) -> DataFrame:
-    """``map<value, count>`` of a non-null array, keys in sorted order.
+    """``map<value, count>`` of an array's non-null values, keys in sorted order.
 
     Sort the row's array, mark where a run of equal values starts, and turn
     consecutive run starts into lengths. All work stays inside the row
@@ -25,7 +25,7 @@ def value_counts(df: DataFrame, values, output_col: str, keep: list[str] | None
     s, flags, starts, keys = (f"_{output_col}_{x}" for x in ("sorted", "flags", "starts", "keys"))
     n = F.size(s)
     prev = F.when(n > 0, F.concat(F.array(F.lit(None).cast("string")), F.slice(s, 1, n - 1)))
-    out = df.select(*keep, F.sort_array(vals).alias(s))
+    out = df.select(*keep, F.sort_array(F.filter(vals, lambda x: x.isNotNull())).alias(s))
     out = out.select(*keep, s, F.zip_with(s, prev, lambda a, b: b.isNull() | (a != b)).alias(flags))
     out = out.select(
         *keep,

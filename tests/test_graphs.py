@@ -166,3 +166,14 @@ def test_graph_views(spark):
     assert [(r.src, r.dst, r.weight) for r in top] == [("a", "b", 1)]
     nb = {(r.title, r.neighbour) for r in run_sample(spark, "neighbours", views).collect()}
     assert ("x", "a") in nb and ("a", "x") in nb
+
+
+def test_graph_store_csv(spark, tmp_dir):
+    from revgraph.sources import read_graph, write_graph
+
+    p = pages_df(spark, [("a b", "2020", ["c, d"], [], {}), ("c, d", "2020", [], [], {})])
+    g = link_graph(p)
+    write_graph({"nodes": g.nodes.select("title", "is_stub", "year"), "edges": g.edges.select("src", "dst", "weight", "year")}, tmp_dir, fmt="csv")
+    back = read_graph(spark, tmp_dir, ["nodes", "edges"], fmt="csv")
+    assert {(r.src, r.dst, r.weight, r.year) for r in back["edges"].collect()} == {("a b", "c, d", 0, "2020")}
+    assert back["nodes"].count() == 2

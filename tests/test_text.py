@@ -82,7 +82,7 @@ def test_clean_words_order(spark):
 
 
 def test_value_counts(spark):
-    df = spark.createDataFrame([(["b", "a", "b", "c", "b"],), ([],), (["x"],)], "w array<string>")
+    df = spark.createDataFrame([(["b", "a", "b", "c", "b"],), ([],), (["x", None, None],)], "w array<string>")
     rows = value_counts(df, "w", "m").orderBy(F.size("w")).collect()
     assert [dict(r.m) for r in rows] == [{}, {"x": 1}, {"a": 1, "b": 3, "c": 1}]
 
