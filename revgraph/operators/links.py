@@ -86,12 +86,12 @@ def graph_endpoints(nodes: DataFrame, edge_table: DataFrame) -> DataFrame:
     )
 
 
-def _overlap(resolved: DataFrame, items: DataFrame, weight: Column) -> DataFrame:
-    """Aggregate ``weight`` over the items two resolved edge ends share.
+def _shared_items(resolved: DataFrame, items: DataFrame, contribution: Column) -> DataFrame:
+    """One row ``src, dst, year, c`` per item two resolved edge ends share.
 
     ``resolved``: ``src, dst, year, src_key, dst_key, src_deg, dst_deg``.
     ``items``: ``key, year, item, v`` with ``(key, year, item)`` unique.
-    ``weight`` may use ``v_walk`` and ``v_probe``.
+    ``contribution`` may use ``v_walk`` and ``v_probe``.
     """
     src_small = F.col("src_deg") <= F.col("dst_deg")
     walk = resolved.select(
@@ -102,18 +102,21 @@ def _overlap(resolved: DataFrame, items: DataFrame, weight: Column) -> DataFrame
     a = items.select(F.col("key").alias("walk_key"), "year", "item", F.col("v").alias("v_walk"))
     b = items.select(F.col("key").alias("probe_key"), "year", "item", F.col("v").alias("v_probe"))
     shared = walk.join(a, ["walk_key", "year"]).join(b, ["probe_key", "year", "item"])
-    return shared.groupBy(*EDGE_KEY).agg(weight.alias("weight"))
+    return shared.select(*EDGE_KEY, contribution.alias("c"))
 
 
-def _weighted_edges(pages: DataFrame, items: DataFrame, degree: Column, weight: Column, zero) -> DataFrame:
+def _weighted_edges(pages: DataFrame, items: DataFrame, degree: Column, contribution: Column, zero) -> DataFrame:
+    """Every edge with the sum of its shared-item contributions.
+
+    Each edge also enters the sum once with ``zero``, so unresolved targets
+    and edges with nothing in common get weight 0 from the same aggregation
+    (one shuffle, map-side combined) instead of a join back to all edges.
+    """
     e = edges(pages)
     resolved = e.join(_targets(pages, degree), ["dst_key", "year"])
-    w = _overlap(resolved, items, weight)
-    return (
-        e.select(*EDGE_KEY)
-        .join(w, EDGE_KEY, "left")
-        .select(*EDGE_KEY, F.coalesce("weight", F.lit(zero)).alias("weight"))
-    )
+    shared = _shared_items(resolved, items, contribution)
+    every = e.select(*EDGE_KEY, F.lit(zero).alias("c"))
+    return shared.unionByName(every).groupBy(*EDGE_KEY).agg(F.sum("c").alias("weight"))
 
 
 def link_items(pages: DataFrame) -> DataFrame:
@@ -136,15 +139,13 @@ def link_edges(pages: DataFrame) -> DataFrame:
     0 when the target page is absent or nothing is shared; self-links count
     all the page's links.
     """
-    weight = F.count(F.lit(1)).cast("bigint")
-    return _weighted_edges(pages, link_items(pages), F.size("links"), weight, 0).withColumn(
-        "weight", F.col("weight").cast("bigint")
-    )
+    one = F.lit(1).cast("bigint")
+    return _weighted_edges(pages, link_items(pages), F.size("links"), one, 0)
 
 
 def word_edges(pages: DataFrame) -> DataFrame:
     """weight = sum over shared words of ``min(n1,n2)/max(n1,n2)`` (double)."""
     n1 = F.col("v_walk").cast("double")
     n2 = F.col("v_probe").cast("double")
-    weight = F.sum(F.least(n1, n2) / F.greatest(n1, n2))
-    return _weighted_edges(pages, word_items(pages), F.size("wordcount"), weight, 0.0)
+    ratio = F.least(n1, n2) / F.greatest(n1, n2)
+    return _weighted_edges(pages, word_items(pages), F.size("wordcount"), ratio, 0.0)
