@@ -89,17 +89,38 @@ GRAPH_TABLES = {
     "category_nodes": CATEGORY_NODE,
 }
 
+# Identity of a row in each graph table, for ``mode="merge"``.
+GRAPH_KEYS = {
+    "nodes": ["title", "year"],
+    "edges": ["src", "dst", "year"],
+    "word_edges": ["src", "dst", "year"],
+    "category_nodes": ["title", "year", "category"],
+}
+
 
 def write_graph(tables: dict[str, DataFrame], path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Persist graph tables, each partitioned by year.
 
     ``fmt="csv"`` writes headers, for loading into graph tools.
+    ``mode="merge"`` (A7) appends only rows whose key is not stored yet, like
+    a graph ``MERGE``: re-running a graph job adds nothing twice.
     """
     for name, df in tables.items():
-        w = df.write.format(fmt).mode(mode).partitionBy("year")
+        target = f"{path.rstrip('/')}/{name}"
+        write_mode = mode
+        if mode == "merge":
+            write_mode = "append"
+            keys = GRAPH_KEYS[name]
+            try:
+                stored = read_graph(df.sparkSession, path, [name], fmt)[name].select(*keys)
+                stored.schema  # noqa: B018 - forces path resolution
+                df = df.join(stored, keys, "left_anti")
+            except AnalysisException:
+                pass
+        w = df.select(*[f.name for f in GRAPH_TABLES[name].fields]).write.format(fmt).mode(write_mode).partitionBy("year")
         if fmt == "csv":
             w = w.option("header", "true")
-        w.save(f"{path.rstrip('/')}/{name}")
+        w.save(target)
 
 
 def read_graph(spark: SparkSession, path: str, names: Iterable[str] | None = None, fmt: str = "parquet") -> dict[str, DataFrame]:

@@ -177,3 +177,17 @@ def test_graph_store_csv(spark, tmp_dir):
     back = read_graph(spark, tmp_dir, ["nodes", "edges"], fmt="csv")
     assert {(r.src, r.dst, r.weight, r.year) for r in back["edges"].collect()} == {("a b", "c, d", 0, "2020")}
     assert back["nodes"].count() == 2
+
+
+def test_graph_store_merge(spark, tmp_dir):
+    from revgraph.sources import read_graph, write_graph
+
+    p1 = pages_df(spark, [("a", "2020", ["b"], [], {}), ("b", "2020", [], [], {})])
+    p2 = pages_df(spark, [("a", "2020", ["b", "c"], [], {}), ("b", "2020", ["a"], [], {})])
+    for p in (p1, p2, p2):
+        g = link_graph(p)
+        write_graph({"nodes": g.nodes, "edges": g.edges}, tmp_dir, mode="merge")
+    back = read_graph(spark, tmp_dir, ["nodes", "edges"])
+    assert {(r.src, r.dst) for r in back["edges"].collect()} == {("a", "b"), ("a", "c"), ("b", "a")}
+    assert back["edges"].count() == 3
+    assert {(r.title, r.is_stub) for r in back["nodes"].collect()} == {("a", False), ("b", False), ("c", True)}
