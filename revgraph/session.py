@@ -36,11 +36,16 @@ def get_session(app: str = "revgraph", master: str | None = None, conf: dict | N
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set to a shared file system; only when it is
-    unset (local tests) a private temporary folder is created and registered.
+    On a cluster this must be set to a shared file system, and an unset
+    value is an error. Only a ``local[...]`` session (tests) gets a private
+    temporary folder created and registered when none is set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a folder on the cluster's shared file system"
+            )
         root = tempfile.mkdtemp(prefix="revgraph-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -152,3 +152,28 @@ def test_store_modes_and_lookup(spark, tmp_dir):
     assert [(r.title, r.year) for r in one] == [("alpha page", "2019")]
     c = compat_pages(back).filter("Title = 'alpha page' AND Year = '2019'").first()
     assert c.Wordcount == ["&&&:1", "the:1"]
+
+
+def test_latest_with_a_hot_page(spark):
+    """One page holds a third of all revisions, spread over every input partition."""
+    n = 30_000
+    ids = spark.range(n, numPartitions=8)
+    hot = F.col("id") % 3 == 0
+    rev = ids.select(
+        F.when(hot, F.lit("Hot")).otherwise(F.concat(F.lit("p"), (F.col("id") % 500).cast("string"))).alias("title"),
+        F.lit(None).cast("string").alias("username"),
+        F.when(F.col("id") % 2 == 0, F.lit("2020")).otherwise(F.lit("2021")).alias("year"),
+        F.format_string("%s-01-01T00:00:00Z_%06d", F.when(F.col("id") % 2 == 0, "2020").otherwise("2021"), F.col("id")).alias("timestamp"),
+        F.col("id").cast("string").alias("text"),
+    )
+    latest = latest_per_year(rev)
+    got = {(r.title, r.year): r.text for r in latest.collect()}
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    # brute force: the highest id of each (title, year)
+    exp = {}
+    for i in range(n):
+        key = ("hot" if i % 3 == 0 else f"p{i % 500}", "2020" if i % 2 == 0 else "2021")
+        exp[key] = str(max(i, int(exp.get(key, -1))))
+    assert got == exp
+    # the top row per key is kept before the shuffle (partial limit)
+    assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -63,7 +63,7 @@ def test_nodes_and_stubs(spark):
     assert found == {("a", "b"): True, ("a", "x"): False, ("b", "x"): False}
 
 
-def _random_pages(seed, n_pages=40, hot_share=0.3):
+def _random_pages(seed, n_pages=40, hot_share=0.3, max_links=12):
     """Pages with one hot target that a third of all links point to."""
     rnd = random.Random(seed)
     titles = [f"p{i}" for i in range(n_pages)]
@@ -71,7 +71,7 @@ def _random_pages(seed, n_pages=40, hot_share=0.3):
     rows = []
     for t in titles:
         for year in ("2020", "2021"):
-            k = rnd.randint(0, 12)
+            k = rnd.randint(0, max_links)
             links = {rnd.choice(titles + ["ghost", "stub x"]) for _ in range(k)}
             if rnd.random() < hot_share:
                 links.add("p0")
@@ -191,3 +191,53 @@ def test_graph_store_merge(spark, tmp_dir):
     assert {(r.src, r.dst) for r in back["edges"].collect()} == {("a", "b"), ("a", "c"), ("b", "a")}
     assert back["edges"].count() == 3
     assert {(r.title, r.is_stub) for r in back["nodes"].collect()} == {("a", False), ("b", False), ("c", True)}
+
+
+SKEW_CONF = {
+    # No broadcasts, so joins stay shuffled; any partition above 1 KB and
+    # above the median counts as skewed, so AQE's split really runs.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def _with_conf(spark, conf):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return old
+
+
+def _restore(spark, old):
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def test_weights_with_skew_split(spark):
+    """A target a third of all links point to, with AQE's skew-join split forced."""
+    rows = _random_pages(7, n_pages=300, hot_share=0.9, max_links=3)
+    exp_links, exp_words = _brute(rows)
+    old = _with_conf(spark, SKEW_CONF)
+    try:
+        p = pages_df(spark, rows).repartition(8)
+        le = link_edges(p)
+        got_links = {(r.src, r.dst, r.year): r.weight for r in le.collect()}
+        plan = le._jdf.queryExecution().executedPlan().toString()
+        we = word_edges(p)
+        got_words = {(r.src, r.dst, r.year): r.weight for r in we.collect()}
+    finally:
+        _restore(spark, old)
+    hot = sum(1 for (_, d, _) in exp_links if d == "p0")
+    assert hot * 3 >= len(exp_links)  # the hot target really holds a third of the edges
+    assert "skew=true" in plan
+    assert got_links == exp_links
+    assert got_words.keys() == exp_words.keys()
+    for k, v in exp_words.items():
+        assert got_words[k] == pytest.approx(v)
