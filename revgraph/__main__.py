@@ -4,8 +4,9 @@
     python -m revgraph graphs --store <path> --out <path>
     python -m revgraph stream <dump glob> --store <path> --checkpoint <path>
 
-Cluster settings (master, executors, shuffle partitions, checkpoint folder)
-come from ``spark-submit`` / ``spark-defaults.conf``.
+Cluster settings (master, executors, checkpoint folder) come from
+``spark-submit`` / ``spark-defaults.conf``. When those set no shuffle
+partition count, the batch jobs size it from their input's bytes on disk.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 import argparse
 
 from revgraph.plans.graphs import build_graphs, ingest
-from revgraph.session import get_session
+from revgraph.session import get_session, size_shuffle_partitions
 from revgraph.streaming.ingest import ingest_stream
 
 
@@ -37,8 +38,10 @@ def main(argv=None) -> None:
 
     spark = get_session("revgraph-" + args.cmd)
     if args.cmd == "ingest":
+        size_shuffle_partitions(spark, args.dump)
         ingest(spark, args.dump, args.store, fmt=args.format)
     elif args.cmd == "graphs":
+        size_shuffle_partitions(spark, args.store)
         build_graphs(spark, args.store, args.out, fmt=args.format)
     else:
         ingest_stream(spark, args.dump, args.store, args.checkpoint, processing_time=args.every).awaitTermination()

@@ -56,3 +56,37 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), "revgraph", f"{name}-{uuid.uuid4().hex}")
+
+
+# Bytes of input per shuffle partition when the deployment sets no count;
+# AQE then merges partitions that turn out small.
+BYTES_PER_SHUFFLE_PARTITION = 512 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size on disk of files, folders or globs (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in [paths] if isinstance(paths, str) else paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(hconf)
+        for status in fs.globStatus(path) or []:
+            total += fs.getContentSummary(status.getPath()).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, paths) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the input size, unless the deployment set it.
+
+    Spark's default of 200 would give partitions of hundreds of GB at 100 TB;
+    one partition per ``BYTES_PER_SHUFFLE_PARTITION`` of input keeps each
+    task's shuffle data within executor memory, and AQE coalesces the
+    partitions that end up small.
+    """
+    if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(default, -(-input_bytes(spark, paths) // BYTES_PER_SHUFFLE_PARTITION))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
