@@ -177,3 +177,25 @@ def test_latest_with_a_hot_page(spark):
     assert got == exp
     # the top row per key is kept before the shuffle (partial limit)
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_command_line_jobs(spark, tmp_dir):
+    """``ingest`` then ``graphs`` through the command line, read back as graph tables."""
+    from revgraph.__main__ import main
+    from revgraph.operators import all_nodes, category_nodes, link_edges, word_edges
+    from revgraph.sources import read_graph
+
+    store, out = os.path.join(tmp_dir, "store"), os.path.join(tmp_dir, "graphs")
+    main(["ingest", _dump_dir(tmp_dir), "--store", store])
+    main(["graphs", "--store", store, "--out", out])
+    pages = read_pages(spark, store)
+    g = read_graph(spark, out)
+
+    def rows(df, cols):
+        return sorted(tuple(r) for r in df.select(*cols).collect())
+
+    assert rows(g["nodes"], ["title", "year", "is_stub"]) == rows(all_nodes(pages), ["title", "year", "is_stub"])
+    assert rows(g["edges"], ["src", "dst", "year", "weight"]) == rows(link_edges(pages), ["src", "dst", "year", "weight"])
+    assert rows(g["word_edges"], ["src", "dst", "year"]) == rows(word_edges(pages), ["src", "dst", "year"])
+    assert rows(g["category_nodes"], ["title", "year", "category"]) == rows(category_nodes(pages), ["title", "year", "category"])
+    assert ("alpha page", "beta", "2019") in {r[:3] for r in rows(g["edges"], ["src", "dst", "year", "weight"])}
