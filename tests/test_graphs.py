@@ -116,6 +116,15 @@ def test_graph_invariants(spark):
     assert bad.count() == 0
     # one node per (title, year)
     assert g.nodes.groupBy("title", "year").count().filter("count > 1").count() == 0
+    # word weights: 0 <= weight <= number of words both pages have; a self-edge
+    # weighs exactly the page's number of distinct words
+    page = {(t, y): set(w) for t, y, _, _, w in rows}
+    for r in word_edges(p).collect():
+        tgt = page.get((r.dst, r.year), set())
+        common = len(page[(r.src, r.year)] & tgt)
+        assert -1e-9 <= r.weight <= common + 1e-9
+        if r.src == r.dst:
+            assert r.weight == pytest.approx(len(page[(r.src, r.year)]))
 
 
 def test_category_graph_against_pairs(spark):
