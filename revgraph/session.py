@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -37,16 +40,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set to a shared file system, and an unset
-    value is an error. Only a ``local[...]`` session (tests) gets a private
-    temporary folder created and registered when none is set.
+    value is an error. Only a single-JVM session (``local`` or ``local[...]``,
+    as in tests) gets a temporary folder of its own when none is set; it is
+    removed when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: point it at a folder on the cluster's shared file system"
             )
         root = tempfile.mkdtemp(prefix="revgraph-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
