@@ -7,7 +7,7 @@ import math
 import duckdb
 import pandas as pd
 
-TABLES = ["documents"]
+TABLES = ["documents", "conversations", "embeddings", "labels", "benchmark"]
 
 
 def duck(sf_dir: str, sql: str) -> pd.DataFrame:

