@@ -55,10 +55,10 @@ def fold(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of a batch whose texts come to about ``PIECE_BYTES``, with the texts; a null text is empty."""
+def pieces(batch: pa.RecordBatch, column: str = "text", size: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of a batch whose texts come to about ``size`` bytes, with the texts; a null text is empty."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    part = (np.cumsum(sizes) - sizes) // PIECE_BYTES
+    part = (np.cumsum(sizes) - sizes) // size
     cuts = np.flatnonzero(np.diff(part)) + 1 if len(part) else []
     edges = [0, *cuts, batch.num_rows]
     for a, b in zip(edges, edges[1:]):
