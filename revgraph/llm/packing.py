@@ -19,6 +19,7 @@ each on its own; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,17 +34,27 @@ CAPACITY = 4096
 END_ID = 1
 
 #: Chunks of text whose ids a task remembers before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level models write U+0080 to U+00FF: each UTF-8 byte as a printable character."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in own]
+    letter = {b: chr(b) if b in own else chr(256 + others.index(b)) for b in range(256)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+
+
 class ChunkEncoder:
     """Ids of whole texts, chunk by chunk between spaces, each distinct chunk encoded once.
 
     The tokenizer's pre-tokens never reach over white space, and a run of
     sentence marks behind a letter is a pre-token of its own, so the ids of a
-    text are those of its chunks in order.
+    text are those of its chunks in order. A chunk of lower-case Latin-1
+    letters is one pre-token that normalising leaves as it is; it goes
+    straight to the tokenizer's model, any other through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -51,44 +62,70 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {"": b""}
 
-    def _split(self, chunk: str) -> tuple[str, str]:
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+            text = text.lower()  # as the tokenizer would; outside Latin-1 marks could combine otherwise
+        except UnicodeEncodeError:
+            pass
+        return text.replace("\n", " ").split(" ")
+
+    @staticmethod
+    def _split(chunk: str) -> tuple[str, str]:
         core = chunk.rstrip(".,!?;:")
         return (core, chunk[len(core) :]) if core and core[-1].isalpha() else (chunk, "")
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-            chunks = chunks | {""}
-        missing = sorted({p for c in chunks for p in self._split(c) if p not in self.known})
-        for part, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-            self.known[part] = np.asarray(e.ids, dtype="<u4").tobytes()
-        for c in chunks:
-            if c not in self.known:
-                core, tail = self._split(c)
+        parts = {c: self._split(c) for c in chunks}
+        others = set()
+        for part in {p for pair in parts.values() for p in pair}.difference(self.known):
+            if part.isalpha() and part == part.lower() and max(part) < "\u0100":
+                ids = [t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.letters))]
+                self.known[part] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                others.add(part)
+        rest = sorted(others)
+        for part, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.known[part] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        for c, (core, tail) in parts.items():
+            if tail:
                 self.known[c] = self.known[core] + self.known[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        chunks = set().union(*split) if split else set()
-        if len(self.known) > REMEMBERED or not chunks <= self.known.keys():
-            self._learn(chunks if len(self.known) > REMEMBERED else chunks - self.known.keys())
+        if len(self.known) > REMEMBERED:
+            self.known = {"": b""}
+        split = [self._chunks(t) for t in texts]
+        self._learn(set().union(*split).difference(self.known))
         get = self.known.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
 
+_encoders: dict[str, ChunkEncoder] = {}
+
+
+def encoder(path: str) -> ChunkEncoder:
+    """One encoder for each worker process: what it has learned serves later tasks too."""
+    if path not in _encoders:
+        _encoders[path] = ChunkEncoder(path)
+    return _encoders[path]
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 for every document, whole texts."""
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer_path)
+        own_encoder = encoder(tokenizer_path)
         for batch in batches:
-            for part, texts in pieces(batch):
+            for part, texts in pieces(batch, size=4 << 20):
                 rows = []
-                for doc, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts)):
+                for doc, ids in zip(part.column("doc_id").to_pylist(), own_encoder.encode(texts)):
                     ids += end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at : at + 4 * capacity]
