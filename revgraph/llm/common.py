@@ -173,9 +173,9 @@ def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
     It reaches the driver as at most 2**bits / 32 rows, so its size is fixed by
     ``bits`` alone; with more keys it only lets more strangers through.
     """
-    place = F.shiftrightunsigned("key", 64 - bits)
+    place = f"shiftrightunsigned(key, {64 - bits})"
     rows = (
-        keys.select(F.shiftright(place, 5).alias("word"), F.shiftleft(F.lit(1).cast("long"), place.bitwiseAND(F.lit(31).cast("long")).cast("int")).alias("bit"))
+        keys.select(F.expr(f"shiftright({place}, 5)").alias("word"), F.expr(f"shiftleft(1L, cast({place} & 31 as int))").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .toPandas()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from revgraph.llm import chat, decontam, langid, packing, pii, quality, toxicity
+from revgraph.llm import chat, decontam, langid, neardup, packing, pii, quality, toxicity
 from revgraph.llm.common import crc32_of, table
 
 #: A conversation whose text holds the template's own control strings.
@@ -18,6 +18,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_and_replace(table(spark, sf_dir, "documents"))
 
 
+def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("representative"))
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs, crc32_of() % 5 != 0)
@@ -52,6 +57,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_neardup": op2_neardup,
     "op3_langid": op3_langid,
     "op4_packing": op4_packing,
     "op7_quality": op7_quality,
