@@ -11,11 +11,13 @@ two texts agree on a sample with the probability of their weighted Jaccard
 similarity. ``BANDS`` bands of ``ROWS`` samples make the candidates. Equal
 texts are one class from the start and only their representative goes on.
 
-Candidates are verified without listing the pairs of a bucket. In each round
-every member of a bucket is compared with one of its texts; verified links
-merge classes. When few classes are left in a bucket, the members of different
-classes are compared, so every candidate pair is either verified, refused or
-already in one class. ``links`` are verified on whole texts.
+Candidates are verified on whole texts, without listing the pairs of a large
+bucket. In each round every member of a bucket is compared with one of its
+texts, and verified links merge classes. In buckets that then still hold
+several classes, the members outside the largest class are compared with all
+the others: pair by pair in small buckets, in large ones as blocks of texts by
+matrix products over their shared shingles, which emit only links that merge
+classes. So every candidate pair is verified, refused or within one class.
 
 Defined results: texts whose words are equal in order are copies; a null text
 or one without a word is alone in its class; classes are named by their
@@ -44,9 +46,12 @@ GRID = 0.1
 #: Random values of the sampling: each shingle draws one of so many rows for every sample.
 POOL = 1 << 13
 LEVELS = 160
-#: Rounds of comparing a bucket with one of its texts before the rest is compared class by class.
+#: Rounds of comparing a bucket with one of its texts before its remaining classes are compared.
 ROUNDS = 2
 BITMAP_BITS = 26
+#: Buckets up to this size are compared pair by pair; texts of a block on either side.
+SMALL = 16
+BLOCK_A, BLOCK_B = 128, 512
 
 
 def sampling_table() -> np.ndarray:
@@ -301,24 +306,130 @@ def links(docs: DataFrame, texts: DataFrame, idf: np.ndarray) -> tuple[DataFrame
     done = spark.createDataFrame([], "a long, b long, similarity double, linked boolean")
     roots = spark.createDataFrame([], "node long, root long")
     left = members.withColumn("root", F.col("node"))
-    for turn in range(ROUNDS + 1):
-        if turn < ROUNDS:
-            chosen = F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn)) if turn else F.col("node"))
-            pivots = stored(left.groupBy("key").agg(chosen.alias("p")).select("key", F.col("p.node").alias("n2"), F.col("p.root").alias("r2")), "pivots")
-            pairs = left.join(pivots, "key").where("root != r2")
-        else:
-            other = left.select("key", F.col("node").alias("n2"), F.col("root").alias("r2"))
-            pairs = left.join(other, "key").where("root < r2")
-        pairs = pairs.select(F.least("node", "n2").alias("a"), F.greatest("node", "n2").alias("b")).distinct()
-        pairs = stored(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    for turn in range(ROUNDS):
+        chosen = F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn)) if turn else F.col("node"))
+        pivots = stored(left.groupBy("key").agg(chosen.alias("p")).select("key", F.col("p.node").alias("n2"), F.col("p.root").alias("r2")), "pivots")
+        pairs = _pairs(left.join(pivots, "key").where("root != r2"), done)
         if pairs.isEmpty():
             continue
         new = stored(verified(pairs, words, idf), "verified")
         done = done.unionByName(new)
         if not new.where("linked").isEmpty():
             roots = connected(done.where("linked"))
-            left = _rooted(members, roots) if turn < ROUNDS else left
-    return done.where("linked").select("a", "b", "similarity"), roots
+            left = _rooted(members, roots)
+    sizes = stored(left.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    small = stored(left.join(sizes.where(F.col("n") <= SMALL).select("key"), "key"), "members")
+    other = small.select("key", F.col("node").alias("n2"), F.col("root").alias("r2"))
+    pairs = _pairs(small.join(other, "key").where("root < r2"), done)
+    last = [verified(pairs, words, idf)] if not pairs.isEmpty() else []
+    large = sizes.where(F.col("n") > SMALL).select("key")
+    if not large.isEmpty():
+        last.append(merging_links(stored(left.join(large, "key"), "members"), words, idf))
+    for new in last:
+        new = stored(new, "verified")
+        if not new.where("linked").isEmpty():
+            done = done.unionByName(new)
+            roots = None
+    return done.where("linked").select("a", "b", "similarity"), connected(done.where("linked")) if roots is None else roots
+
+
+def _pairs(rows: DataFrame, done: DataFrame) -> DataFrame:
+    """Distinct pairs a < b of node and n2 that are not decided yet."""
+    pairs = rows.select(F.least("node", "n2").alias("a"), F.greatest("node", "n2").alias("b")).distinct()
+    return stored(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+
+
+def merging_links(left: DataFrame, words: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Links between the classes of each bucket in ``left`` (key, node, root), found block by block.
+
+    Texts outside a bucket's largest class meet all its texts. Both sides are
+    dealt to blocks by hash, so a task holds ``BLOCK_A`` and ``BLOCK_B`` texts
+    of a bucket, about, however large the bucket is.
+    """
+    shares = stored(left.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")), "shares")
+    top = shares.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("top"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    top = top.select("key", "top", F.ceil((F.col("n") - F.col("most")) / BLOCK_A).cast("int").alias("na"), F.ceil(F.col("n") / BLOCK_B).cast("int").alias("nb"))
+    rows = left.join(stored(top, "shares"), "key")
+    own_a, own_b = F.pmod(F.xxhash64("node", F.lit("a")), F.col("na")).cast("int"), F.pmod(F.xxhash64("node", F.lit("b")), F.col("nb")).cast("int")
+    a = rows.where("root != top").select("key", "node", "root", own_a.alias("ia"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("ib"), F.lit(True).alias("first"))
+    b = rows.select("key", "node", "root", F.explode(F.sequence(F.lit(0), F.col("na") - 1)).alias("ia"), own_b.alias("ib"), F.lit(False).alias("first"))
+
+    def compare(t: pa.Table) -> pa.Table:
+        open_ = zstandard.ZstdDecompressor()
+        t = t.combine_chunks()
+        first = t.column("first").to_numpy().astype(bool)
+        node, root = t.column("node").to_numpy(), t.column("root").to_numpy()
+        own = Shingles(WordBatch([open_.decompress(x).decode("utf-8", "surrogatepass") for x in t.column("words").to_pylist()]), idf)
+        found = block_similarities(own, np.flatnonzero(first), np.flatnonzero(~first), root)
+        parent: dict[int, int] = {}
+
+        def end(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        out = []
+        for i, j, s in found:
+            x, y = end(int(root[i])), end(int(root[j]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                out.append((min(node[i], node[j]), max(node[i], node[j]), s, True))
+        cols = list(zip(*out)) or [[], [], [], []]
+        return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.bool_()))], names=["a", "b", "similarity", "linked"])
+
+    both = a.unionByName(b).join(words, "node")
+    return both.groupBy("key", "ia", "ib").applyInArrow(compare, "a long, b long, similarity double, linked boolean")
+
+
+def block_similarities(own: Shingles, a: np.ndarray, b: np.ndarray, root: np.ndarray) -> list[tuple[int, int, float]]:
+    """(i, j, similarity) of all texts i of ``a`` and j of ``b`` with different roots and a similarity of at least ``SIMILARITY``.
+
+    The smaller of two weights is a sum over weight steps that both reach, so
+    one product of (text x shingle step) matrices gives all shared weights.
+    """
+    n = len(own.cut) - 1
+    w = np.exp(own.level * GRID)
+    total = np.bincount(own.doc, weights=w, minlength=n)
+    order = np.lexsort((own.level, own.hash))
+    h, level, doc = own.hash[order], own.level[order], own.doc[order]
+    new_h = np.append(True, h[1:] != h[:-1])
+    new = new_h | np.append(True, level[1:] != level[:-1])
+    step = np.cumsum(new) - 1  # one column for each weight of a shingle
+    at = np.flatnonzero(new)
+    value = np.exp(level[at] * GRID)
+    value[1:] -= np.where(new_h[at[1:]], 0.0, np.exp(level[at[:-1]] * GRID))
+    lowest = step[np.maximum.accumulate(np.where(new_h, np.arange(len(h)), 0))]
+    reach = step - lowest + 1  # an entry is in the columns of all lower weights too
+    col = np.repeat(lowest, reach) + np.arange(reach.sum()) - np.repeat(np.cumsum(reach) - reach, reach)
+    row = np.repeat(doc, reach)
+    shared = np.bincount(col, minlength=len(at)) > 1
+    place = np.cumsum(shared) - 1
+    keep = shared[col]
+    col, row, value = place[col[keep]], row[keep], np.sqrt(value[shared])
+    by = np.argsort(col, kind="stable")
+    col, row = col[by], row[by]
+    both = np.zeros((len(a), len(b)))
+    for lo in range(0, len(value), 2048):
+        i, j = np.searchsorted(col, (lo, lo + 2048))
+        m = np.zeros((n, min(2048, len(value) - lo)), dtype=np.float32)
+        m[row[i:j], col[i:j] - lo] = value[col[i:j]]
+        both += m[a] @ m[b].T
+    close = both >= (SIMILARITY - 1e-3) * (total[a][:, None] + total[b][None, :] - both)
+    x, y = np.nonzero(close & (root[a][:, None] != root[b][None, :]))
+    out = []
+    for i, j in zip(a[x].tolist(), b[y].tolist()):
+        s = _similarity_of(own, i, j)
+        if s >= SIMILARITY:
+            out.append((i, j, s))
+    return out
+
+
+def _similarity_of(own: Shingles, i: int, j: int) -> float:
+    a, b = slice(own.cut[i], own.cut[i + 1]), slice(own.cut[j], own.cut[j + 1])
+    wa, wb = np.exp(own.level[a] * GRID), np.exp(own.level[b] * GRID)
+    _, x, y = np.intersect1d(own.hash[a], own.hash[b], assume_unique=True, return_indices=True)
+    shared = np.minimum(wa[x], wb[y]).sum()
+    return float(shared / (wa.sum() + wb.sum() - shared))
 
 
 def classes(docs: DataFrame) -> DataFrame:
