@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from revgraph.llm import chat, decontam, langid, neardup, packing, pii, quality, substrings, toxicity
+from revgraph.llm import ann, chat, decontam, langid, neardup, packing, pii, quality, substrings, toxicity
 from revgraph.llm.common import crc32_of, table
 
 #: A conversation whose text holds the template's own control strings.
@@ -33,6 +33,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.repeated_spans(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES = {
     "op2_neardup": op2_neardup,
     "op3_langid": op3_langid,
     "op4_packing": op4_packing,
+    "op5_ann": op5_ann,
     "op6_substrings": op6_substrings,
     "op7_quality": op7_quality,
     "op8_toxicity": op8_toxicity,
