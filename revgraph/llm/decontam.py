@@ -213,6 +213,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that leak no item, all columns as they were."""
     index = item_index(items)
+    docs = docs.withColumn("text", F.col("text").cast("string"))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,4 +224,4 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
                 keep[[f[0] for f in index.leaks(WordBatch(texts))]] = False
                 yield part.filter(pa.array(keep)).rename_columns(batch.schema.names)
 
-    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(run, docs.withColumn("text", F.col("text").cast("string")).schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revgraph.llm.common import stored
+
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int) -> tuple[DataFrame, dict[int, int]]:
     """At most ``per_class`` documents of each class, by hash of the id, and the number of labelled ids per class.
@@ -25,7 +27,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     order = Window.partitionBy("label").orderBy(place, "doc_id")
     ids = known.where(place <= share).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_class).drop("_n")
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
-    return sample.where(F.col("text").isNotNull()).dropDuplicates(["text", "label"]), totals
+    return stored(sample.where(F.col("text").isNotNull()).dropDuplicates(["text", "label"]), "labelled"), totals
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> np.ndarray:

@@ -268,3 +268,18 @@ def score(docs: DataFrame, model: Model, evidence: int = 3) -> DataFrame:
                 )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCORED)
+
+
+def keep(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents that are not predicted toxic; all columns as they were."""
+    docs = docs.withColumn("text", F.col("text").cast("string"))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
+            for part, texts in pieces(named, f"c{at}"):
+                votes = np.asarray([model.votes(v)[0] for v in vectors(model.vocabulary, model.idf, texts)])
+                yield part.filter(pa.array(model.probability(votes) < THRESHOLD)).rename_columns(batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
