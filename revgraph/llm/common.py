@@ -123,7 +123,7 @@ class WordBatch:
             c0 = np.searchsorted(chars, start)
             for k in prefixes:
                 stop = np.minimum(chars[np.minimum(c0 + k, len(chars) - 1)], end)
-                self.prefix[k] = mix((run[stop] - run[start]) * inverse[start] + np.uint64(k)), stop < end
+                self.prefix[k] = mix((run[stop] - run[start]) * inverse[start] ^ np.uint64(k * _BASE % (1 << 64))), stop < end
 
     def sequence_keys(self) -> list[bytes | None]:
         """16 bytes for each text's word sequence; None for a text without words."""
