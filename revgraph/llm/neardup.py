@@ -468,7 +468,7 @@ def representatives(docs: DataFrame) -> DataFrame:
     """
     found = classes(docs)
     gone = found.where((F.col("class_id") != F.col("doc_id")) & F.col("k1").isNotNull()).distinct()
-    gone = stored(gone.select(F.col("doc_id").alias("__d"), "k1", "k2"), "gone")
+    gone = stored(gone.select(F.col("doc_id").alias("__d"), F.col("k1").alias("__g1"), F.col("k2").alias("__g2")), "gone")
     rows = keyed(docs)
-    same = (F.col("doc_id").cast("long") == F.col("__d")) & (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2"))
+    same = (F.col("doc_id").cast("long") == F.col("__d")) & (F.col("__k1") == F.col("__g1")) & (F.col("__k2") == F.col("__g2"))
     return rows.join(gone, same, "left_anti").drop("__k1", "__k2")
