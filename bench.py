@@ -18,7 +18,10 @@ import re
 import sys
 import time
 
-HEADLINE = ["page_features", "word_count", "link_edges", "word_edges", "category_edges", "latest_per_year"]
+HEADLINE = [
+    "page_features", "word_count", "link_edges", "word_edges", "category_edges", "latest_per_year",
+    "xml_round_trip", "pages_first_write_wins", "graph_endpoints", "category_degree",
+]
 
 
 def main() -> None:

@@ -1,19 +1,21 @@
 """Command line: the two jobs of the original project, as Spark jobs.
 
     python -m revgraph ingest <dump dir or files...> --store <path>
-    python -m revgraph graphs --store <path> --out <path>
+    python -m revgraph graphs --store <path> --out <path> [--uncategorised]
     python -m revgraph stream <dump glob> --store <path> --checkpoint <path>
+    python -m revgraph export --store <path> --out <path>
 
 Cluster settings (master, executors, checkpoint folder) come from
 ``spark-submit`` / ``spark-defaults.conf``. When those set no shuffle
-partition count, the batch jobs size it from their input's bytes on disk.
+partition count, it follows from the bytes of the dump files (``ingest``,
+``stream``) or from the word rows that the edges walk (``graphs``).
 """
 
 from __future__ import annotations
 
 import argparse
 
-from revgraph.plans.graphs import build_graphs, ingest
+from revgraph.plans.graphs import build_graphs, export_pages, ingest
 from revgraph.session import get_session, size_shuffle_partitions
 from revgraph.streaming.ingest import ingest_stream
 
@@ -29,22 +31,33 @@ def main(argv=None) -> None:
     g.add_argument("--store", required=True)
     g.add_argument("--out", required=True)
     g.add_argument("--format", default="parquet", choices=["parquet", "json"])
+    g.add_argument("--uncategorised", action="store_true", help="one clique of the pages without a category, per year")
     s = sub.add_parser("stream", help="ingest new dump files as they arrive")
     s.add_argument("dump")
     s.add_argument("--store", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--every", default=None, help="processing-time trigger, e.g. '5 minutes'; default: run once")
+    s.add_argument("--max-files", type=int, default=None, help="files of a micro-batch; default: all that are new")
+    x = sub.add_parser("export", help="year-page store -> JSON rows of the original bean's shape, by year")
+    x.add_argument("--store", required=True)
+    x.add_argument("--out", required=True)
+    x.add_argument("--format", default="parquet", choices=["parquet", "json"])
     args = ap.parse_args(argv)
 
     spark = get_session("revgraph-" + args.cmd)
     if args.cmd == "ingest":
         size_shuffle_partitions(spark, args.dump)
-        ingest(spark, args.dump, args.store, fmt=args.format)
+        rejected = ingest(spark, args.dump, args.store, fmt=args.format)
+        print(f"rejected revisions: {rejected}")
     elif args.cmd == "graphs":
-        size_shuffle_partitions(spark, args.store)
-        build_graphs(spark, args.store, args.out, fmt=args.format)
+        build_graphs(spark, args.store, args.out, fmt=args.format, include_uncategorised=args.uncategorised)
+    elif args.cmd == "export":
+        export_pages(spark, args.store, args.out, fmt=args.format)
     else:
-        ingest_stream(spark, args.dump, args.store, args.checkpoint, processing_time=args.every).awaitTermination()
+        size_shuffle_partitions(spark, args.dump)
+        ingest_stream(
+            spark, args.dump, args.store, args.checkpoint, processing_time=args.every, max_files_per_trigger=args.max_files
+        ).awaitTermination()
 
 
 if __name__ == "__main__":

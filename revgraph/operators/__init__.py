@@ -14,9 +14,10 @@ from revgraph.operators.links import (
     link_edges,
     resolve_links,
     stub_nodes,
+    walked_rows,
     word_edges,
 )
-from revgraph.operators.revisions import distinct_years, flatten_revisions, latest_per_year, main_titles, page_counts
+from revgraph.operators.revisions import distinct_years, flatten_revisions, latest_per_piece, latest_per_year, main_titles, page_counts
 
 __all__ = [
     "all_nodes",
@@ -31,6 +32,7 @@ __all__ = [
     "edges",
     "flatten_revisions",
     "graph_endpoints",
+    "latest_per_piece",
     "latest_per_year",
     "link_edges",
     "main_titles",
@@ -39,6 +41,7 @@ __all__ = [
     "page_words",
     "resolve_links",
     "stub_nodes",
+    "walked_rows",
     "word_count",
     "word_edges",
     "word_maps",

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revgraph.functions.arrays import explode_nonempty
+from revgraph.operators.links import own_exchange
 
 GROUP = ["category", "year"]
 
@@ -48,8 +49,12 @@ def category_link_count(cliques: DataFrame) -> DataFrame:
 
 
 def category_degree(nodes: DataFrame, cliques: DataFrame) -> DataFrame:
-    """Degree of each category node: members of its clique minus itself."""
-    return nodes.join(cliques.select(*GROUP, "n_pages"), GROUP).select(
+    """Degree of each category node: members of its clique minus itself.
+
+    The cliques get an exchange of their own, so a category that holds a large
+    share of all pages is split by the adaptive skew join.
+    """
+    return nodes.join(own_exchange(cliques.select(*GROUP, "n_pages"), *GROUP), GROUP).select(
         "title", "year", "category", (F.col("n_pages") - 1).alias("degree")
     )
 
@@ -57,7 +62,8 @@ def category_degree(nodes: DataFrame, cliques: DataFrame) -> DataFrame:
 def category_partners(nodes: DataFrame, pages: DataFrame) -> DataFrame:
     """Partners of the given ``(title, year)`` pages: ``title, year, category, partner``.
 
-    Output size is the sum of the clique sizes of the pages asked for.
+    Output size is the sum of the clique sizes of the pages asked for: meant
+    for a few pages; with the whole node table it would be all pairs.
     """
     asked = pages.select("title", "year").distinct().join(nodes, ["title", "year"])
     others = nodes.select(F.col("title").alias("partner"), *GROUP)

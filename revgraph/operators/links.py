@@ -16,7 +16,7 @@ words does not pile up in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revgraph.functions.arrays import explode_nonempty
@@ -31,15 +31,18 @@ def with_title_key(pages: DataFrame) -> DataFrame:
     return pages.withColumn("title_key", title_key("title"))
 
 
-def edges(pages: DataFrame) -> DataFrame:
-    """All link edges: ``src, src_key, year, dst, dst_key, src_deg``."""
+def edges(pages: DataFrame, degree: Column | None = None) -> DataFrame:
+    """All link edges: ``src, src_key, year, dst, dst_key, src_deg``.
+
+    ``degree`` is what the edge's walk costs at a page: its links by default.
+    """
     p = with_title_key(pages)
     gen, nonempty = explode_nonempty("links", "dst")
     e = p.select(
         F.col("title").alias("src"),
         F.col("title_key").alias("src_key"),
         "year",
-        F.size("links").alias("src_deg"),
+        (F.size("links") if degree is None else degree).alias("src_deg"),
         gen,
     ).filter(nonempty)
     return e.withColumn("dst_key", F.translate(F.lower("dst"), " ", "_"))
@@ -50,10 +53,22 @@ def _targets(pages: DataFrame, degree: Column) -> DataFrame:
     return p.select(F.col("title_key").alias("dst_key"), "year", degree.alias("dst_deg"))
 
 
+def own_exchange(df: DataFrame, *key: str) -> DataFrame:
+    """Deal rows out by a hash that is not ``key`` itself.
+
+    The output of an aggregation or window on ``key`` joins on ``key`` without
+    a shuffle, and then Spark cannot split a hot key of the other side. Moved
+    off the key, this side gets an exchange of its own in the join, and the
+    adaptive skew join may split the other. For narrow tables only.
+    """
+    return df.repartition(F.xxhash64(*key))
+
+
 def resolve_links(pages: DataFrame, degree: Column | None = None) -> DataFrame:
     """Every edge with ``dst_found`` and the target's degree (NULL if absent)."""
     degree = F.size("links") if degree is None else degree
-    return edges(pages).join(_targets(pages, degree), ["dst_key", "year"], "left").withColumn(
+    targets = own_exchange(_targets(pages, degree), "dst_key", "year")
+    return edges(pages, degree).join(targets, ["dst_key", "year"], "left").withColumn(
         "dst_found", F.col("dst_deg").isNotNull()
     )
 
@@ -61,26 +76,29 @@ def resolve_links(pages: DataFrame, degree: Column | None = None) -> DataFrame:
 def all_nodes(pages: DataFrame) -> DataFrame:
     """U1 + A7: pages and link targets as nodes ``title, year, is_stub``.
 
-    Like a graph ``MERGE``, a target becomes a node only when no node of
-    that title exists in the year. One aggregation with map-side combine
-    makes the union distinct, so a target linked from everywhere is reduced
-    before the shuffle.
+    Like a graph ``MERGE``, nodes are distinct raw titles. A node is a stub
+    when links to it do not resolve (J2): no page of the year has its title
+    key. One aggregation with map-side combine makes the union distinct, so a
+    target linked from everywhere is reduced before the shuffle; what is left
+    of a key are its few spellings.
     """
-    own = pages.select("title", "year", F.lit(False).alias("is_stub"))
+    own = pages.select("title", "year", F.lit(True).alias("is_page"))
     gen, nonempty = explode_nonempty("links", "title")
-    targets = pages.select(gen, "year", F.lit(True).alias("is_stub")).filter(nonempty)
-    return own.unionByName(targets).groupBy("title", "year").agg(F.min("is_stub").alias("is_stub"))
+    targets = pages.select(gen, "year", F.lit(False).alias("is_page")).filter(nonempty)
+    titles = own.unionByName(targets).groupBy("title", "year").agg(F.max("is_page").alias("is_page"))
+    spellings = Window.partitionBy(title_key("title"), "year")
+    return titles.select("title", "year", (~F.max("is_page").over(spellings)).alias("is_stub"))
 
 
 def stub_nodes(pages: DataFrame) -> DataFrame:
-    """Link targets with no page of that title in the year."""
+    """Link targets that no page of the year resolves."""
     return all_nodes(pages).filter("is_stub").select("title", "year")
 
 
 def graph_endpoints(nodes: DataFrame, edge_table: DataFrame) -> DataFrame:
     """Bind each edge to both end nodes (inner joins on title and year)."""
-    s = nodes.select(F.col("title").alias("src"), "year", F.col("is_stub").alias("src_is_stub"))
-    d = nodes.select(F.col("title").alias("dst"), "year", F.col("is_stub").alias("dst_is_stub"))
+    s = own_exchange(nodes.select(F.col("title").alias("src"), "year", F.col("is_stub").alias("src_is_stub")), "src", "year")
+    d = own_exchange(nodes.select(F.col("title").alias("dst"), "year", F.col("is_stub").alias("dst_is_stub")), "dst", "year")
     return edge_table.select(*EDGE_KEY).join(s, ["src", "year"]).join(d, ["dst", "year"]).select(
         "src", "dst", "year", "src_is_stub", "dst_is_stub"
     )
@@ -112,13 +130,19 @@ def _weighted_edges(pages: DataFrame, items: DataFrame, degree: Column, contribu
     and edges with nothing in common get weight 0 from the same aggregation
     (one shuffle, map-side combined) instead of a join back to all edges.
     """
-    e = edges(pages)
+    e = edges(pages, degree)
     resolved = e.join(_targets(pages, degree), ["dst_key", "year"])
     shared = _shared_items(resolved, items, contribution)
     every = e.select(*EDGE_KEY, F.lit(zero).alias("c"))
     return shared.unionByName(every).groupBy(*EDGE_KEY).agg(F.sum("c").alias("weight"))
 
 
+def walked_rows(pages: DataFrame, degree: Column) -> DataFrame:
+    """``rows``: the item rows that the walks of all resolved edges read, sum(min(src, dst degree))."""
+    resolved = edges(pages, degree).join(_targets(pages, degree), ["dst_key", "year"])
+    return resolved.agg(F.coalesce(F.sum(F.least("src_deg", "dst_deg").cast("long")), F.lit(0).cast("long")).alias("rows"))
+
+
 def link_items(pages: DataFrame) -> DataFrame:
     """Long link table ``key, year, item, v``."""
     p = with_title_key(pages)

@@ -50,6 +50,20 @@ def latest_per_year(revisions: DataFrame) -> DataFrame:
     return ranked.filter(F.col("_rn") == 1).select("title", "title_key", *others)
 
 
+def latest_per_piece(revisions: DataFrame) -> DataFrame:
+    """The latest revision of each page, or unnamed piece of one, per year and block of a parsed dump.
+
+    A revision that waits for its title counts for its block: all of a block's
+    are of the one page open at its start. Namespace pages go, rejected rows
+    all stay. Keeping blocks apart lets the window start on the map side and
+    keeps a page with a long history spread over the blocks that hold it.
+    """
+    kept = revisions.where(F.col("title").isNull() | F.col("reject_reason").isNotNull() | ~F.col("title").rlike(":[^:]"))
+    own = F.when(F.col("reject_reason").isNotNull(), F.col("row"))
+    w = Window.partitionBy("file", "block", title_key("title"), own, "year").orderBy(F.col("timestamp").desc_nulls_last(), F.col("row").desc())
+    return kept.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
 def distinct_years(revisions: DataFrame) -> DataFrame:
     """A2: the calendar years present, in order."""
     return revisions.select("year").distinct().orderBy("year")

@@ -5,9 +5,13 @@ from revgraph.plans.graphs import (
     build_pages,
     category_graph,
     checkpointed,
+    export_pages,
+    graph_tables,
     ingest,
+    ingest_chunks,
     link_graph,
     load_graphs,
+    store_revisions,
     word_graph,
 )
 from revgraph.plans.views import SAMPLES, register_graph_views, run_sample
@@ -20,10 +24,14 @@ __all__ = [
     "build_pages",
     "category_graph",
     "checkpointed",
+    "export_pages",
+    "graph_tables",
     "ingest",
+    "ingest_chunks",
     "link_graph",
     "load_graphs",
     "register_graph_views",
     "run_sample",
+    "store_revisions",
     "word_graph",
 ]

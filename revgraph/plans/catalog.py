@@ -22,6 +22,7 @@ from revgraph.operators import (
     category_link_count,
     category_nodes,
     distinct_years,
+    edges,
     flatten_revisions,
     graph_endpoints,
     latest_per_year,
@@ -34,12 +35,12 @@ from revgraph.operators import (
     word_count,
     word_edges,
 )
-from revgraph.plans.graphs import build_pages, checkpointed, link_graph
+from revgraph.plans.graphs import build_pages, checkpointed, graph_tables, store_revisions
 from revgraph.plans.views import run_sample
 from revgraph.session import scratch_path
-from revgraph.sources.corpus import wiki_dump, wiki_revisions
-from revgraph.sources.dump import read_dump, write_dump
-from revgraph.sources.store import read_graph, read_pages, write_graph, write_pages
+from revgraph.sources.corpus import odd_dump, wiki_dump, wiki_revisions
+from revgraph.sources.dump import read_revisions, rejected_revisions, write_dump
+from revgraph.sources.store import compat_pages, pages_where, read_graph, read_pages, write_graph, write_pages
 
 REVISION_COLUMNS = ["title", "username", "year", "timestamp", "text"]
 
@@ -77,7 +78,14 @@ def q_flatten_revisions(spark, sf):
 def q_xml_round_trip(spark, sf):
     path = scratch_path(spark, "dump")
     write_dump(wiki_dump(spark, sf), path)
-    return flatten_revisions(read_dump(spark, path)).select(*REVISION_COLUMNS)
+    return read_revisions(spark, path).select(*REVISION_COLUMNS)
+
+
+def q_rejected_revisions(spark, sf):
+    """Dump text of which some revisions and page heads cannot be read: each is reported with its reason."""
+    path = scratch_path(spark, "odd-dump")
+    odd_dump(spark, sf).write.text(path)
+    return rejected_revisions(spark, path).select("title", "timestamp", "reject_reason")
 
 
 def q_latest_per_year(spark, sf):
@@ -113,12 +121,12 @@ def q_strip_markup(spark, sf):
 
 
 def q_clean_words(spark, sf):
-    w = page_words(_latest(spark, sf))
+    w = page_words(main_titles(_latest(spark, sf)))
     return w.select("title", "year", F.array_join("words", " ").alias("words"), F.size("words").alias("n_words"))
 
 
 def q_word_count(spark, sf):
-    return word_count(_latest(spark, sf)).select("title", "year", "word", "n")
+    return word_count(main_titles(_latest(spark, sf))).select("title", "year", "word", "n")
 
 
 def q_page_features(spark, sf):
@@ -167,10 +175,8 @@ def q_pages_first_write_wins(spark, sf):
     """
     path = scratch_path(spark, "pages")
     rev = wiki_revisions(spark, sf)
-    first = build_pages(rev).filter(F.col("year") == "2020")
-    write_pages(first, path)
-    january = build_pages(rev.filter(F.substring("timestamp", 6, 2) == "01"))
-    write_pages(january, path)
+    store_revisions(rev.filter(F.col("year") == "2020"), path)
+    store_revisions(rev.filter(F.substring("timestamp", 6, 2) == "01"), path)
     stored = read_pages(spark, path)
     return stored.select(
         "title", "year", _n_words("wordcount").alias("n_words"),
@@ -178,6 +184,21 @@ def q_pages_first_write_wins(spark, sf):
     )
 
 
+def q_pages_where(spark, sf):
+    """S6/P5 over a written store: a whole year, and every year of one title in another spelling."""
+    path = scratch_path(spark, "pages")
+    write_pages(_pages(spark, sf), path, mode="overwrite")
+    stored = read_pages(spark, path)
+    cols = ["title", "year", F.size("links").alias("n_links")]
+    year = pages_where(stored, year="2021").select(F.lit("year").alias("asked"), *cols)
+    return year.unionByName(pages_where(stored, title="pAgE_5").select(F.lit("title").alias("asked"), *cols))
+
+
+def q_compat_pages(spark, sf):
+    c = compat_pages(_pages(spark, sf))
+    return c.select("Title", "Year", *[array_to_text(x).alias(x) for x in ("Links", "Categories", "Wordcount")])
+
+
 def q_streaming_ingest(spark, sf):
     """Two dump deliveries through the ingest stream: January revisions, then
     February ones. The second run processes only the new files and, as every
@@ -214,7 +235,7 @@ def q_all_nodes(spark, sf):
 
 def q_graph_endpoints(spark, sf):
     p = _graph_pages(spark, sf)
-    return graph_endpoints(all_nodes(p), link_edges(p))
+    return graph_endpoints(all_nodes(p), edges(p))
 
 
 def q_link_edges(spark, sf):
@@ -227,7 +248,7 @@ def q_word_edges(spark, sf):
 
 
 def q_edge_name(spark, sf):
-    e = link_edges(_graph_pages(spark, sf))
+    e = edges(_pages(spark, sf))
     return e.select("src", "dst", "year", edge_name("src", "dst", "year").alias("name"))
 
 
@@ -240,21 +261,49 @@ def q_graph_safe_name(spark, sf):
         node_variable("title", "word").alias("word_name"),
         graph_safe_name("title", "word_edge").alias("word_edge_text"),
         graph_safe_name("title", "category").alias("category_text"),
+        graph_safe_name("title", "category_label").alias("category_label"),
         node_variable("title", "category_page").alias("category_page"),
     )
 
 
+def _graph_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every column of every graph table, in one shape."""
+    none, number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    shapes = {
+        "nodes": ("title", none, none, F.col("is_stub").cast("double"), number),
+        "edges": ("src", F.col("dst"), F.col("name"), F.col("weight").cast("double"), number),
+        "word_edges": ("src", F.col("dst"), F.col("name"), F.round("weight", 6), number),
+        "category_nodes": ("title", F.col("category"), none, number, number),
+        "cliques": ("category", none, none, F.col("n_pages").cast("double"), F.col("n_pairs").cast("double")),
+    }
+    out = None
+    for name, df in tables.items():
+        a, b, edge, x, y = shapes[name]
+        rows = df.select(F.lit(name).alias("tbl"), "year", F.col(a).alias("a"), b.alias("b"), edge.alias("name"), x.alias("x"), y.alias("y"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def q_graph_round_trip(spark, sf):
-    g = link_graph(_graph_pages(spark, sf))
     path = scratch_path(spark, "graph")
-    write_graph({"nodes": g.nodes.select("title", "is_stub", "year"), "edges": g.edges.select("src", "dst", "weight", "year")}, path)
-    back = read_graph(spark, path, ["edges"])["edges"]
-    return back.select("src", "dst", "year", "weight")
+    write_graph(graph_tables(_graph_pages(spark, sf, words=True)), path)
+    return _graph_rows(read_graph(spark, path))
+
+
+def q_graph_merge(spark, sf):
+    """Edges and nodes of January's pages, then those of all pages merged in, twice: the first of each key stays."""
+    path = scratch_path(spark, "graph")
+    january = wiki_revisions(spark, sf).filter(F.substring("timestamp", 6, 2) == "01")
+    for pages in (checkpointed(build_pages(january)), *[_graph_pages(spark, sf, words=True)] * 2):
+        tables = graph_tables(pages)
+        write_graph({name: tables[name] for name in ("nodes", "edges")}, path, mode="merge")
+    return _graph_rows(read_graph(spark, path, ["nodes", "edges"]))
 
 
 def _views(spark, sf):
-    g = link_graph(_graph_pages(spark, sf))
-    return {"nodes": g.nodes, "edges": g.edges}
+    """Nodes and edges for questions that ask for no weights."""
+    p = _graph_pages(spark, sf)
+    return {"nodes": all_nodes(p), "edges": edges(p).select("src", "dst", "year")}
 
 
 def q_out_degree(spark, sf):
@@ -266,7 +315,7 @@ def q_neighbours(spark, sf):
 
 
 def q_top_edges(spark, sf):
-    return run_sample(spark, "top_edges", _views(spark, sf), k=10)
+    return run_sample(spark, "top_edges", {"edges": link_edges(_graph_pages(spark, sf))}, k=10)
 
 
 # --------------------------------------------------------------- categories
@@ -275,6 +324,12 @@ def q_category_nodes(spark, sf):
     return category_nodes(_pages(spark, sf)).select("title", "year", "category")
 
 
+def q_category_nodes_all(spark, sf):
+    """With the pages that have no category, as nodes of category ``""``, and what their cliques come to."""
+    nodes = category_nodes(_pages(spark, sf), include_uncategorised=True)
+    return category_degree(nodes, category_cliques(nodes))
+
+
 def q_category_edges(spark, sf):
     return category_cliques(category_nodes(_pages(spark, sf)))
 
@@ -291,6 +346,7 @@ def q_category_degree(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_revisions": q_flatten_revisions,
     "xml_round_trip": q_xml_round_trip,
+    "rejected_revisions": q_rejected_revisions,
     "latest_per_year": q_latest_per_year,
     "distinct_years": q_distinct_years,
     "main_titles": q_main_titles,
@@ -305,6 +361,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "title_key": q_title_key,
     "pages_round_trip": q_pages_round_trip,
     "pages_first_write_wins": q_pages_first_write_wins,
+    "pages_where": q_pages_where,
+    "compat_pages": q_compat_pages,
     "streaming_ingest": q_streaming_ingest,
     "resolve_links": q_resolve_links,
     "stub_nodes": q_stub_nodes,
@@ -315,10 +373,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "edge_name": q_edge_name,
     "graph_safe_name": q_graph_safe_name,
     "graph_round_trip": q_graph_round_trip,
+    "graph_merge": q_graph_merge,
     "out_degree": q_out_degree,
     "neighbours": q_neighbours,
     "top_edges": q_top_edges,
     "category_nodes": q_category_nodes,
+    "category_nodes_all": q_category_nodes_all,
     "category_edges": q_category_edges,
     "category_link_count": q_category_link_count,
     "category_degree": q_category_degree,

@@ -1,8 +1,9 @@
 """End-to-end plans: dump -> year-page store -> graphs.
 
-Each step is a lazy DataFrame; the only materialisations are the store (the
-lineage cut between ingest and graph building, as in the original jobs) and
-an optional reliable checkpoint in the shared ``spark.checkpoint.dir``.
+Steps are lazy DataFrames. Materialised are the store (the lineage cut between
+ingest and graph building, as in the original jobs), the latest revisions of a
+dump while they wait for titles and for the store's keys, and pages that a
+graph plan reads several times, all in the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -15,11 +16,11 @@ from pyspark.sql import functions as F
 from revgraph.functions.names import WORD_EDGE_NAME, edge_name
 from revgraph.operators.annotate import annotate
 from revgraph.operators.categories import category_cliques, category_nodes
-from revgraph.operators.links import all_nodes, link_edges, word_edges
-from revgraph.operators.revisions import flatten_revisions, latest_per_year, main_titles
-from revgraph.session import checkpoint_root
-from revgraph.sources.dump import read_dump
-from revgraph.sources.store import read_graph, read_pages, write_graph, write_pages
+from revgraph.operators.links import all_nodes, link_edges, walked_rows, word_edges
+from revgraph.operators.revisions import latest_per_piece, latest_per_year, main_titles
+from revgraph.session import size_shuffle_for, stored
+from revgraph.sources.dump import REJECT, block_titles, parse_revisions, read_chunks, with_titles
+from revgraph.sources.store import compat_pages, read_graph, read_pages, unstored, write_graph, write_json_by_year, write_pages
 
 
 @dataclass
@@ -48,15 +49,49 @@ def build_pages(revisions: DataFrame, only_main: bool = True) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: written as Parquet to the shared checkpoint folder, so later plans still prune columns."""
+    return stored(df, "pages")
 
 
-def ingest(spark: SparkSession, dump_paths, store_path: str, fmt: str = "parquet") -> None:
-    """The first job: every dump file in one pass, first write wins per (year, page)."""
-    pages = build_pages(flatten_revisions(read_dump(spark, dump_paths)))
-    write_pages(pages, store_path, fmt=fmt)
+def store_revisions(revisions: DataFrame, store_path: str, fmt: str = "parquet") -> None:
+    """Add the pages of ``revisions`` that are not stored yet.
+
+    Pages already stored are dropped on the window's own key before any text
+    work. The latest revisions are stored in between, so neither finding their
+    years nor a lost executor reads the revisions again.
+    """
+    latest = stored(latest_per_year(main_titles(revisions)), "latest")
+    write_pages(annotate(unstored(latest, store_path, fmt)), store_path, fmt=fmt, mode="append")
+
+
+def ingest_chunks(chunks: DataFrame, store_path: str, fmt: str = "parquet") -> int:
+    """Dump text in revision-sized chunks -> year-page store; returns the number of rejected revisions.
+
+    Each page is cut down to its latest revision per year and block before its
+    title is known everywhere: revisions at a block's start wait under the
+    block's name, then get the title of the page open there. What could not be
+    read goes to ``<store>_rejects``, as JSON.
+    """
+    heads = stored(block_titles(chunks), "block-titles")
+    pieces = stored(latest_per_piece(parse_revisions(chunks)), "pieces")
+    revisions = with_titles(pieces, heads)
+    good = revisions.where("reject_reason IS NULL").withColumn("pos", F.struct("block", "row"))
+    store_revisions(good.select("title", "username", "year", "timestamp", "text", "pos"), store_path, fmt)
+    rejects = stored(revisions.where("reject_reason IS NOT NULL").select(*REJECT), "rejects")
+    n = rejects.count()
+    if n:
+        rejects.write.mode("append").json(f"{store_path.rstrip('/')}_rejects")
+    return n
+
+
+def ingest(spark: SparkSession, dump_paths, store_path: str, fmt: str = "parquet") -> int:
+    """The first job: every dump file in one pass, first write wins per (year, page); returns the rejects' number."""
+    return ingest_chunks(read_chunks(spark, dump_paths), store_path, fmt)
+
+
+def export_pages(spark: SparkSession, store_path: str, out_path: str, fmt: str = "parquet") -> None:
+    """The store as JSON rows ``Title, Year, Links, Categories, Wordcount``, by year."""
+    write_json_by_year(compat_pages(read_pages(spark, store_path, fmt)), out_path)
 
 
 def link_graph(pages: DataFrame) -> Graph:
@@ -77,22 +112,28 @@ def category_graph(pages: DataFrame, include_uncategorised: bool = False) -> Cat
     return CategoryGraph(nodes, category_cliques(nodes))
 
 
-def build_graphs(spark: SparkSession, store_path: str, graph_path: str, fmt: str = "parquet") -> None:
-    """The graph jobs over a stored year-page table, written as graph tables."""
+#: Bytes of a walked item row in a shuffle: two titles, a year, an item and its count.
+WALKED_ROW_BYTES = 120
+
+
+def graph_tables(pages: DataFrame, include_uncategorised: bool = False) -> dict[str, DataFrame]:
+    """Every table of the graph store."""
+    lg, wg, cg = link_graph(pages), word_graph(pages), category_graph(pages, include_uncategorised)
+    return {"nodes": lg.nodes, "edges": lg.edges, "word_edges": wg.edges, "category_nodes": cg.nodes, "cliques": cg.cliques}
+
+
+def build_graphs(
+    spark: SparkSession, store_path: str, graph_path: str, fmt: str = "parquet", include_uncategorised: bool = False, mode: str = "overwrite"
+) -> None:
+    """The graph jobs over a stored year-page table, written as graph tables.
+
+    The widest shuffle is that of the word walks; unless the deployment set a
+    number of shuffle partitions, it follows from the rows they read.
+    """
     pages = read_pages(spark, store_path, fmt)
-    lg = link_graph(pages)
-    wg = word_graph(pages)
-    cg = category_graph(pages)
-    write_graph(
-        {
-            "nodes": lg.nodes.select("title", "is_stub", "year"),
-            "edges": lg.edges.select("src", "dst", "weight", "year"),
-            "word_edges": wg.edges.select("src", "dst", "weight", "year"),
-            "category_nodes": cg.nodes.select("title", "category", "year"),
-        },
-        graph_path,
-    )
-
-
-def load_graphs(spark: SparkSession, graph_path: str) -> dict[str, DataFrame]:
-    return read_graph(spark, graph_path)
+    size_shuffle_for(spark, lambda: walked_rows(pages, F.size("wordcount")).first()["rows"] * WALKED_ROW_BYTES)
+    write_graph(graph_tables(pages, include_uncategorised), graph_path, mode=mode)
+
+
+def load_graphs(spark: SparkSession, graph_path: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    return read_graph(spark, graph_path, fmt=fmt)

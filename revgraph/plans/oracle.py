@@ -9,7 +9,6 @@ for category pairs, and sequential ``replace`` calls for export names.
 
 from __future__ import annotations
 
-from revgraph.functions.names import PROFILES, WORD_EDGE_NAME
 from revgraph.functions.stopwords import ENGLISH_STOP_WORDS
 from revgraph.functions.text import CATEGORY_PATTERN, LINK_PATTERN, MARKUP_PATTERN, STRIPPED_CHARS
 
@@ -22,19 +21,26 @@ def lit(s: str) -> str:
 
 STOP = "[" + ", ".join(lit(w) for w in ENGLISH_STOP_WORDS) + "]"
 
-CORPUS = """
+# The corpus of sources.corpus, written once more in SQL.
+SPECIAL = " (a+b) – c-d.e's/*’,&!#@$;%?=<>\\^[]{}~`\""
+
+CORPUS = f"""
 corpus AS (
-  SELECT 'Page ' || p AS title,
-         y || '-' || lpad(CAST(1 + m AS VARCHAR), 2, '0') || '-01T00:00:00Z' AS ts,
-         text || ' {{Infobox}} == See also == [[Page ' || (p + 1) || '|next]] [[page ' || (p + 2)
-           || '#s]] [[Page ' || (2 * p) || ']] [[File:x.jpg|thumb]] [[Ghost ' || (p % 3)
-           || ']] [[Category:' || lang || '|k]] [[Category:' || source || ']]' AS text
-  FROM (SELECT CAST(floor(doc_id / 4) AS BIGINT) AS p, 2020 + doc_id % 2 AS y,
-               CAST(floor((doc_id % 4) / 2) AS INT) AS m, text, lang, source
+  SELECT CASE WHEN p % 10 = 3 THEN 'Talk:Page ' || p WHEN p % 10 = 4 THEN 'Page ' || p || {lit(SPECIAL)}
+              WHEN p % 10 = 5 AND late = 1 THEN 'PAGE_' || p WHEN p % 10 = 6 THEN 'Page ' || p || ':'
+              ELSE 'Page ' || p END AS title,
+         CASE WHEN doc_id % 5 <> 0 THEN 'user' || (doc_id % 7) END AS username,
+         y || '-' || lpad(CAST(1 + CASE WHEN p % 10 = 7 THEN 0 ELSE late END AS VARCHAR), 2, '0') || '-01T00:00:00Z' AS ts,
+         text || ' {{{{Infobox}}}} == See also == [[Page' || CASE WHEN p % 10 IN (2, 4) THEN '_' ELSE ' ' END || (p + 1)
+           || '|next]] [[page ' || (p + 2) || '#s]] [[Page ' || (2 * p) || ']] [[File:x.jpg|thumb]] [[Ghost ' || (p % 3)
+           || ']]' || CASE WHEN p % 10 = 8 THEN '' ELSE ' [[Category:' || lang || '|k]] [[Category:' || source || ']]' END AS text,
+         doc_id
+  FROM (SELECT doc_id, CAST(floor(doc_id / 4) AS BIGINT) AS p, 2020 + doc_id % 2 AS y,
+               CAST(floor((doc_id % 4) / 2) AS INT) AS late, text, lang, source
         FROM documents) d
 ),
 rev AS (
-  SELECT title, CAST(NULL AS VARCHAR) AS username, split_part(ts, '-', 1) AS year, ts, text FROM corpus
+  SELECT title, username, split_part(ts, '-', 1) AS year, ts, text, doc_id FROM corpus
 )"""
 
 LINKS = f"""list_sort(list_distinct([lower(x) FOR x IN
@@ -54,7 +60,7 @@ def latest(name: str, source: str) -> str:
     return f"""
 {name} AS (
   SELECT lower(title) AS title, replace(lower(title), ' ', '_') AS title_key, year, ts, text
-  FROM (SELECT *, row_number() OVER (PARTITION BY replace(lower(title), ' ', '_'), year ORDER BY ts DESC) AS rn
+  FROM (SELECT *, row_number() OVER (PARTITION BY replace(lower(title), ' ', '_'), year ORDER BY ts DESC, doc_id DESC) AS rn
         FROM {source}) t
   WHERE rn = 1
 )"""
@@ -92,7 +98,9 @@ edges AS (
 nodes AS (
   SELECT title, year, false AS is_stub FROM pg
   UNION ALL
-  SELECT DISTINCT e.dst AS title, e.year, true AS is_stub FROM edges e
+  SELECT DISTINCT e.dst AS title, e.year,
+         NOT EXISTS (SELECT 1 FROM pg WHERE pg.title_key = e.dst_key AND pg.year = e.year) AS is_stub
+  FROM edges e
   WHERE NOT EXISTS (SELECT 1 FROM pg WHERE pg.title = e.dst AND pg.year = e.year)
 ),
 link_w AS (
@@ -118,12 +126,24 @@ cat_nodes AS (
 )
 
 
+# What each export profile rewrites, in the original order, and
+# into what; written out here so that a wrong table in the engine shows.
+_SHORT = " ()-–.'/*’,&+"
+_LONG = " ()-–.'/*’,&+!#@$;%?=<>\\^[]{}\""
+_LONGEST = " ()-–.'/*’,&+!#@$;%?=<>\\^[]{}~`\""
+REWRITES = {
+    "link": [(c, "plus_" if c == "+" else "_") for c in _SHORT],
+    "word": [(c, {"+": "plus_", "@": "at", "-": "__", "=": "equal_"}.get(c, "_")) for c in _LONG],
+    "word_edge": [(c, {"+": "plus_", "@": "at", "-": "__", "=": "equal_"}.get(c, "_")) for c in _LONGEST],
+    "category_label": [(c, {"+": "plus_", "@": "at", "-": "__", "=": "equal_"}.get(c, "_")) for c in _LONG],
+    "category": [(c, {"+": "plus", "@": "at", "-": "__", "=": "equal_"}.get(c, "_")) for c in _LONG],
+    "category_page": [(c, {"+": "plus_", "@": "at", "-": "__"}.get(c, "_")) for c in _LONG if c != "="],
+}
+
+
 def _sql_safe(expr: str, profile: str) -> str:
-    spec = PROFILES[profile]
-    for ch in spec["chars"]:
-        if ch in spec["keep"]:
-            continue
-        expr = f"replace({expr}, {lit(ch)}, {lit(spec['special'].get(ch, '_'))})"
+    for ch, new in REWRITES[profile]:
+        expr = f"replace({expr}, {lit(ch)}, {lit(new)})"
     return expr
 
 
@@ -166,11 +186,53 @@ FROM pg_jan
 """
 )
 
+EDGE_NAME = "replace(src, ' ', '_') || '_TO_' || '_' || " + _sql_safe("dst", "link") + " || year"
+
+
+def _graph_of(pg: str, tag: str) -> str:
+    """Edges with weights and nodes of one set of pages."""
+    return f"""
+e_{tag} AS (
+  SELECT title AS src, title_key AS src_key, links, year, dst, replace(dst, ' ', '_') AS dst_key
+  FROM (SELECT title, title_key, year, links, unnest(links) AS dst FROM {pg}) u
+),
+w_{tag} AS (
+  SELECT e.src, e.dst, e.year, CAST(coalesce(len(list_intersect(e.links, t.links)), 0) AS DOUBLE) AS weight
+  FROM e_{tag} e LEFT JOIN {pg} t ON t.title_key = e.dst_key AND t.year = e.year
+),
+n_{tag} AS (
+  SELECT t.title, t.year, NOT EXISTS (SELECT 1 FROM {pg} p WHERE p.title_key = replace(t.title, ' ', '_') AND p.year = t.year) AS is_stub
+  FROM (SELECT title, year FROM {pg} UNION SELECT dst, year FROM e_{tag}) t
+)"""
+
+
+GRAPH_MERGE = (
+    "WITH" + CORPUS + ","
+    + latest("latest_jan", "(SELECT * FROM rev WHERE substr(ts, 6, 2) = '01')") + ","
+    + pages("pg_jan", "latest_jan") + ","
+    + latest("latest_all", "rev") + ","
+    + pages("pg_all", "latest_all") + ","
+    + _graph_of("pg_jan", "jan") + "," + _graph_of("pg_all", "all")
+    + f"""
+SELECT 'edges' AS tbl, year, src AS a, dst AS b, {EDGE_NAME} AS name, weight AS x, CAST(NULL AS DOUBLE) AS y FROM (
+  SELECT * FROM w_jan
+  UNION ALL SELECT * FROM w_all l WHERE NOT EXISTS (SELECT 1 FROM w_jan j WHERE j.src = l.src AND j.dst = l.dst AND j.year = l.year)) t
+UNION ALL
+SELECT 'nodes', year, title, NULL, NULL, CAST(is_stub AS DOUBLE), NULL FROM (
+  SELECT * FROM n_jan
+  UNION ALL SELECT * FROM n_all l WHERE NOT EXISTS (SELECT 1 FROM n_jan j WHERE j.title = l.title AND j.year = l.year)) t
+"""
+)
+
 FLAT = "WITH" + CORPUS + "\nSELECT title, username, year, ts AS \"timestamp\", text FROM rev"
 
 SQL: dict[str, str] = {
     "flatten_revisions": FLAT,
     "xml_round_trip": FLAT,
+    "rejected_revisions": """SELECT CASE WHEN doc_id % 10 = 9 THEN 'Odd ' || doc_id END AS title,
+        '2020-01-01T00:00:00Z' AS "timestamp",
+        CASE WHEN doc_id % 10 = 9 THEN 'malformed revision' ELSE 'page without a readable title' END AS reject_reason
+        FROM documents WHERE doc_id % 10 IN (7, 8, 9)""",
     "latest_per_year": BASE + 'SELECT title, year, ts AS "timestamp", text FROM latest',
     "distinct_years": "WITH" + CORPUS + "\nSELECT DISTINCT year FROM rev",
     "main_titles": BASE + "SELECT title, year FROM latest WHERE NOT regexp_matches(title, ':[^:]')",
@@ -191,6 +253,10 @@ SQL: dict[str, str] = {
                         + _text("categories") + " AS categories_text, "
                         + _wordcount_text("wc", "pg") + " AS wordcount_text FROM pg",
     "pages_first_write_wins": FIRST_WRITE_WINS,
+    "pages_where": BASE + """SELECT 'year' AS asked, title, year, CAST(len(links) AS INT) AS n_links FROM pg WHERE year = '2021'
+        UNION ALL SELECT 'title' AS asked, title, year, CAST(len(links) AS INT) AS n_links FROM pg WHERE title_key = 'page_5'""",
+    "compat_pages": BASE + 'SELECT title AS "Title", year AS "Year", ' + _text("links") + ' AS "Links", '
+                    + _text("categories") + ' AS "Categories", ' + _wordcount_text("wc", "pg") + ' AS "Wordcount" FROM pg',
     "streaming_ingest": STREAMING_INGEST,
     "resolve_links": BASE + """SELECT e.src, e.dst, e.year,
         EXISTS (SELECT 1 FROM pg t WHERE t.title_key = e.dst_key AND t.year = e.year) AS dst_found FROM edges e""",
@@ -202,14 +268,21 @@ SQL: dict[str, str] = {
     "link_edges": BASE + "SELECT src, dst, year, weight FROM link_w",
     "word_edges": BASE + """SELECT e.src, e.dst, e.year, round(coalesce(w.weight, 0.0), 6) AS weight
         FROM edges e LEFT JOIN word_w w ON w.src = e.src AND w.dst = e.dst AND w.year = e.year""",
-    "edge_name": BASE + "SELECT src, dst, year, replace(src, ' ', '_') || '_TO_' || '_' || "
-                 + _sql_safe("dst", "link") + " || year AS name FROM link_w",
+    "edge_name": BASE + "SELECT src, dst, year, " + EDGE_NAME + " AS name FROM edges",
     "graph_safe_name": BASE + "SELECT title, year, '_' || " + _sql_safe("title", "link") + " AS link_name, "
                        + "'_' || " + _sql_safe("title", "word") + " AS word_name, "
                        + _sql_safe("title", "word_edge") + " AS word_edge_text, "
                        + _sql_safe("title", "category") + " AS category_text, "
+                       + _sql_safe("title", "category_label") + " AS category_label, "
                        + "'_' || " + _sql_safe("title", "category_page") + " AS category_page FROM nodes",
-    "graph_round_trip": BASE + "SELECT src, dst, year, weight FROM link_w",
+    "graph_round_trip": BASE + f"""
+        SELECT 'nodes' AS tbl, year, title AS a, NULL AS b, NULL AS name, CAST(is_stub AS DOUBLE) AS x, NULL AS y FROM nodes
+        UNION ALL SELECT 'edges', year, src, dst, {EDGE_NAME}, weight, NULL FROM link_w
+        UNION ALL SELECT 'word_edges', e.year, e.src, e.dst, 'has_link_to', round(coalesce(w.weight, 0.0), 6), NULL
+          FROM edges e LEFT JOIN word_w w ON w.src = e.src AND w.dst = e.dst AND w.year = e.year
+        UNION ALL SELECT 'category_nodes', year, title, category, NULL, NULL, NULL FROM cat_nodes
+        UNION ALL SELECT 'cliques', year, category, NULL, NULL, count(*), (count(*) * (count(*) - 1)) / 2 FROM cat_nodes GROUP BY year, category""",
+    "graph_merge": GRAPH_MERGE,
     "out_degree": BASE + """SELECT n.title, n.year, count(e.dst) AS out_degree
         FROM nodes n LEFT JOIN link_w e ON e.src = n.title AND e.year = n.year GROUP BY n.title, n.year""",
     "neighbours": BASE + """SELECT DISTINCT title, year, neighbour FROM (
@@ -220,6 +293,11 @@ SQL: dict[str, str] = {
                CAST(row_number() OVER (PARTITION BY year ORDER BY weight DESC, src, dst) AS INT) AS "rank"
         FROM link_w) t WHERE "rank" <= 10""",
     "category_nodes": BASE + "SELECT title, year, category FROM cat_nodes",
+    "category_nodes_all": BASE + """, every AS (
+          SELECT title, year, category FROM cat_nodes
+          UNION ALL SELECT title, year, '' AS category FROM pg WHERE len(categories) = 0)
+        SELECT a.title, a.year, a.category, count(b.title) AS degree FROM every a LEFT JOIN every b
+        ON a.category = b.category AND a.year = b.year AND a.title <> b.title GROUP BY ALL""",
     "category_edges": BASE + """SELECT g.category, g.year, g.n_pages, coalesce(p.n_pairs, 0) AS n_pairs
         FROM (SELECT category, year, count(*) AS n_pages FROM cat_nodes GROUP BY ALL) g
         LEFT JOIN (SELECT a.category, a.year, count(*) AS n_pairs FROM cat_nodes a JOIN cat_nodes b
@@ -231,6 +309,3 @@ SQL: dict[str, str] = {
         FROM cat_nodes a LEFT JOIN cat_nodes b
         ON a.category = b.category AND a.year = b.year AND a.title <> b.title GROUP BY ALL""",
 }
-
-# Word-graph edges carry a constant name; kept here so exports can be checked.
-WORD_EDGE_LABEL = WORD_EDGE_NAME

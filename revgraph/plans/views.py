@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Outgoing edges per node; stubs and pages without links get 0.
 OUT_DEGREE = """
-SELECT n.title, n.year, COUNT(e.dst) AS out_degree
-FROM {nodes} n LEFT JOIN {edges} e ON e.src = n.title AND e.year = n.year
-GROUP BY n.title, n.year
+SELECT n.title, n.year, COALESCE(e.out_degree, 0) AS out_degree
+FROM {nodes} n LEFT JOIN (
+  SELECT src, year, COUNT(dst) AS out_degree FROM {edges} GROUP BY src, year
+) e ON e.src = n.title AND e.year = n.year
 """
 
 # Undirected neighbourhood: each edge seen from both ends, self-links once.

@@ -70,6 +70,7 @@ LINK_EDGE = StructType(
     [
         StructField("src", StringType()),
         StructField("dst", StringType()),
+        StructField("name", StringType()),
         StructField("weight", LongType()),
         StructField("year", StringType()),
     ]
@@ -79,6 +80,7 @@ WORD_EDGE = StructType(
     [
         StructField("src", StringType()),
         StructField("dst", StringType()),
+        StructField("name", StringType()),
         StructField("weight", DoubleType()),
         StructField("year", StringType()),
     ]
@@ -91,3 +93,13 @@ CATEGORY_NODE = StructType(
         StructField("year", StringType()),
     ]
 )
+
+# A (category, year) clique in compact form: its pages and undirected pairs.
+CATEGORY_CLIQUE = StructType(
+    [
+        StructField("category", StringType()),
+        StructField("n_pages", LongType()),
+        StructField("n_pairs", LongType()),
+        StructField("year", StringType()),
+    ]
+)

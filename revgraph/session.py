@@ -8,8 +8,10 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job wants; cluster-specific sizes (executors, shuffle
 # partitions, memory) are left to the deployment.
@@ -63,35 +65,46 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "revgraph", f"{name}-{uuid.uuid4().hex}")
 
 
-# Bytes of input per shuffle partition when the deployment sets no count;
-# AQE then merges partitions that turn out small.
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back: a lineage cut that survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Bytes per shuffle partition when the deployment sets no count; AQE then
+# merges partitions that turn out small.
 BYTES_PER_SHUFFLE_PARTITION = 512 * 1024 * 1024
 
+# How much larger than its file the text of a compressed dump is, at a guess.
+EXPANSION = {"bz2": 8, "gz": 5, "zst": 5, "xz": 9}
+
 
 def input_bytes(spark: SparkSession, paths) -> int:
-    """Total size on disk of files, folders or globs (file-system metadata only)."""
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in [paths] if isinstance(paths, str) else paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(hconf)
-        for status in fs.globStatus(path) or []:
-            total += fs.getContentSummary(status.getPath()).getLength()
-    return total
+    """Size of files, folders or globs, compressed ones as large as their text may be (file-system metadata only)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([paths] if isinstance(paths, str) else list(paths))
+    suffix = F.lower(F.substring_index("path", ".", -1))
+    factor = F.lit(1)
+    for name, n in EXPANSION.items():
+        factor = F.when(suffix == name, n).otherwise(factor)
+    return int(files.agg(F.coalesce(F.sum(F.col("length") * factor), F.lit(0)).alias("n")).first()["n"])
 
 
-def size_shuffle_partitions(spark: SparkSession, paths) -> int:
-    """Set ``spark.sql.shuffle.partitions`` from the input size, unless the deployment set it.
+def size_shuffle_for(spark: SparkSession, moved_bytes: Callable[[], int]) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the bytes a job moves, unless the deployment set it.
 
     Spark's default of 200 would give partitions of hundreds of GB at 100 TB;
-    one partition per ``BYTES_PER_SHUFFLE_PARTITION`` of input keeps each
-    task's shuffle data within executor memory, and AQE coalesces the
-    partitions that end up small.
+    one partition per ``BYTES_PER_SHUFFLE_PARTITION`` keeps each task's shuffle
+    data within executor memory, and AQE coalesces those that end up small.
     """
     if spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     default = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(default, -(-input_bytes(spark, paths) // BYTES_PER_SHUFFLE_PARTITION))
+    n = max(default, -(-int(moved_bytes()) // BYTES_PER_SHUFFLE_PARTITION))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
+
+
+def size_shuffle_partitions(spark: SparkSession, paths) -> int:
+    """``size_shuffle_for`` a job that moves about its input once."""
+    return size_shuffle_for(spark, lambda: input_bytes(spark, paths))

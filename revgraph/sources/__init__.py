@@ -1,15 +1,17 @@
-from revgraph.sources.corpus import corpus_revisions, documents, wiki_dump, wiki_revisions
-from revgraph.sources.dump import read_dump, write_dump
+from revgraph.sources.corpus import corpus_revisions, documents, odd_dump, wiki_dump, wiki_revisions
+from revgraph.sources.dump import read_revisions, rejected_revisions, write_dump
 from revgraph.sources.store import compat_pages, pages_where, read_graph, read_pages, write_graph, write_pages
 
 __all__ = [
     "compat_pages",
     "corpus_revisions",
     "documents",
+    "odd_dump",
     "pages_where",
-    "read_dump",
     "read_graph",
     "read_pages",
+    "read_revisions",
+    "rejected_revisions",
     "wiki_dump",
     "wiki_revisions",
     "write_dump",

@@ -1,35 +1,155 @@
-"""XML page dumps.
-
-Uses Spark's built-in XML source with an explicit schema: a page with a
-single ``<revision>`` still loads as an array, ``<text xml:space=...>`` loads
-as its text, an ``<ip>`` contributor loads as a NULL username, and leading
-white space of the text is kept (it decides whether a token is a stop word).
-A directory or a list of paths is read in one job; uncompressed and bzip2
-dumps are split by the row tag, so large dumps spread over many tasks.
+"""XML page dumps (S1, S2, P2), read revision by revision.
+
+The text source splits a dump file at ``</revision>``, so a large file (plain
+or bzip2) spreads over many tasks and a record is one revision, never a whole
+page history. Each revision is parsed by Spark's ``from_xml`` with an explicit
+schema: ``<text xml:space=...>`` loads as its text, an ``<ip>`` contributor as
+a NULL username, leading white space of the text is kept (it decides whether a
+token is a stop word).
+
+A page's title stands before its first revision only. Within a block it is
+carried forward in the order of the file; revisions at the start of a block
+get the title of the page open at the end of the blocks before, from a table
+with one row per block.
+
+What cannot be parsed is not lost: ``parse_revisions`` keeps it with a
+``reject_reason``, ``read_revisions`` returns the good rows and
+``rejected_revisions`` the others.
+
+Limits: ``</revision>``, ``<revision`` and ``<page`` must not stand inside
+CDATA sections or comments (dump texts escape ``<``), and a page's title must
+precede its revisions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from revgraph.schema import DUMP_PAGE
+from revgraph.functions.text import revision_year
+from revgraph.session import stored
 
 ROW_TAG = "page"
 ROOT_TAG = "mediawiki"
+SEPARATOR = "</revision>"
+XML = {"excludeAttribute": "true", "ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_corrupt_record"}
 
+#: Place of a revision: its file, the block it was read in, and its number there.
+PLACE = ["file", "block", "row"]
+#: Carried instead of a title when a page's head cannot be read.
+_UNREADABLE = "\x00"
 
-def read_dump(spark: SparkSession, paths) -> DataFrame:
-    """One row per ``<page>``: ``title``, ``revision`` array."""
-    if isinstance(paths, str):
-        paths = [paths]
-    return (
-        spark.read.format("xml")
-        .schema(DUMP_PAGE)
-        .option("rowTag", ROW_TAG)
-        .option("excludeAttribute", "true")
-        .option("ignoreSurroundingSpaces", "false")
-        .load(list(paths))
+
+def _chunks(df: DataFrame) -> DataFrame:
+    return df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+
+
+def numbered(chunks: DataFrame) -> DataFrame:
+    """Chunks of a batch with ``row``, which grows within each block."""
+    return chunks.withColumn("row", F.monotonically_increasing_id())
+
+
+def read_chunks(spark: SparkSession, paths) -> DataFrame:
+    """Text up to each ``</revision>`` with its place."""
+    return numbered(_chunks(spark.read.option("lineSep", SEPARATOR).text([paths] if isinstance(paths, str) else list(paths))))
+
+
+def stream_chunks(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The chunks of new files, not numbered yet."""
+    reader = spark.readStream.option("lineSep", SEPARATOR)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return _chunks(reader.text(path))
+
+
+def _head(value: Column) -> Column:
+    """The title of the last page that begins in a chunk: NULL if none does, a mark if it cannot be read."""
+    head = F.concat(F.lit("<page"), F.substring_index(F.substring_index(value, "<page", -1), "<revision", 1), F.lit("</page>"))
+    parsed = F.from_xml(head, "title string, _corrupt_record string", XML)
+    return F.when(value.contains("<page"), F.coalesce(F.when(parsed["_corrupt_record"].isNull(), parsed["title"]), F.lit(_UNREADABLE)))
+
+
+def _carry_titles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fill the title forward within each block; rows come in the order of the file."""
+    last: dict[tuple[str, int], str | None] = {}
+    for batch in batches:
+        file, block = batch.column("file").to_pylist(), batch.column("block").to_pylist()
+        cuts = [0, *(i for i in range(1, len(file)) if (file[i], block[i]) != (file[i - 1], block[i - 1])), len(file)] if file else []
+        parts = []
+        for a, b in zip(cuts, cuts[1:]):
+            known = last.get((file[a], block[a]))
+            own = pc.fill_null_forward(pa.concat_arrays([pa.array([known], pa.string()), batch.column("title").slice(a, b - a)]))
+            last = {(file[a], block[a]): own[-1].as_py()}
+            parts.append(own.slice(1))
+        if parts:
+            at = batch.schema.get_field_index("title")
+            yield batch.set_column(at, "title", pa.concat_arrays(parts))
+
+
+def parse_revisions(chunks: DataFrame) -> DataFrame:
+    """``file, block, row, title, username, year, timestamp, text, record, reject_reason``.
+
+    ``title`` is NULL for revisions of a page that began in an earlier block.
+    A revision that cannot be parsed keeps its XML in ``record``, besides the
+    fields that stand before the fault.
+    """
+    value = F.col("value")
+    record = F.concat(F.lit("<revision"), F.substring_index(value, "<revision", -1), F.lit(SEPARATOR))
+    schema = "timestamp string, contributor struct<username:string>, text string, _corrupt_record string"
+    rows = chunks.where(value.contains("<revision")).select(*PLACE, _head(value).alias("title"), F.from_xml(record, schema, XML).alias("r"))
+    flat = rows.select(
+        *PLACE, "title",
+        F.col("r.contributor.username").alias("username"),
+        revision_year(F.col("r.timestamp")).alias("year"),
+        F.col("r.timestamp").alias("timestamp"),
+        F.coalesce("r.text", F.lit("")).alias("text"),
+        F.col("r._corrupt_record").alias("record"),
     )
+    carried = flat.mapInArrow(_carry_titles, flat.schema)
+    reason = F.when(F.col("record").isNotNull(), "malformed revision").when(F.col("title") == _UNREADABLE, "page without a readable title")
+    reason = reason.when(F.col("year").isNull(), "revision without a timestamp")
+    return carried.withColumn("reject_reason", reason)
+
+
+def block_titles(chunks: DataFrame) -> DataFrame:
+    """``file, block, open_title``: the page open at the start of each block.
+
+    One row per block, found by a scan that parses page heads only.
+    """
+    last = chunks.select(*PLACE, _head(F.col("value")).alias("title")).groupBy("file", "block").agg(F.max_by("title", F.when(F.col("title").isNotNull(), F.col("row"))).alias("last"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return last.select("file", "block", F.last("last", ignorenulls=True).over(before).alias("open_title"))
+
+
+def with_titles(revisions: DataFrame, heads: DataFrame) -> DataFrame:
+    """Give revisions without a title that of the page open before their block."""
+    out = revisions.join(heads, ["file", "block"], "left")
+    title = F.coalesce("title", "open_title", F.lit(_UNREADABLE))
+    reason = F.coalesce("reject_reason", F.when(title == _UNREADABLE, "page without a readable title"))
+    return out.select(*PLACE, F.when(title != _UNREADABLE, title).alias("title"), *[c for c in revisions.columns if c not in (*PLACE, "title", "reject_reason")], reason.alias("reject_reason"))
+
+
+def _all_revisions(spark: SparkSession, paths) -> DataFrame:
+    chunks = read_chunks(spark, paths)
+    return with_titles(parse_revisions(chunks), stored(block_titles(chunks), "block-titles"))
+
+
+def read_revisions(spark: SparkSession, paths) -> DataFrame:
+    """One row per revision: ``title, username, year, timestamp, text, pos``; ``pos`` orders a page's revisions."""
+    good = _all_revisions(spark, paths).where("reject_reason IS NULL")
+    return good.select("title", "username", "year", "timestamp", "text", F.struct("block", "row").alias("pos"))
+
+
+REJECT = ["file", "block", "title", "timestamp", "record", "reject_reason"]
+
+
+def rejected_revisions(spark: SparkSession, paths) -> DataFrame:
+    """What ``read_revisions`` leaves out, with the reason and, if it could not be parsed, the XML."""
+    return _all_revisions(spark, paths).where("reject_reason IS NOT NULL").select(*REJECT)
 
 
 def write_dump(pages: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revgraph.functions.text import title_key
-from revgraph.schema import CATEGORY_NODE, LINK_EDGE, NODE, PAGE, WORD_EDGE
+from revgraph.schema import CATEGORY_CLIQUE, CATEGORY_NODE, LINK_EDGE, NODE, PAGE, WORD_EDGE
 
 PAGE_COLUMNS = [f.name for f in PAGE.fields]
 
@@ -40,15 +40,34 @@ def pages_where(pages: DataFrame, year: str | None = None, title: str | None = N
     return out
 
 
-def _existing_keys(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+def _if_stored(load) -> DataFrame | None:
+    """The table that ``load`` reads, or None if its path does not exist; any other error is raised."""
     try:
-        existing = read_pages(spark, path, fmt).select(title_key("title").alias("_key"), F.col("year").alias("_year"))
-        existing.schema  # noqa: B018 - forces path resolution
-        return existing
-    except AnalysisException:
+        return load()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
+def unstored(rows: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """The rows (``title_key`` or ``title``, ``year``) whose page and year are not in the store yet.
+
+    Joined on the title key, so rows that are still partitioned by it (the
+    output of ``latest_per_year``) are not shuffled again. Only the folders of
+    the rows' own years are scanned; those are few, and reading them costs a
+    pass over ``rows``, which callers keep cheap by storing them first.
+    """
+    spark = rows.sparkSession
+    existing = _if_stored(lambda: read_pages(spark, path, fmt))
+    if existing is None:
+        return rows
+    years = [r["year"] for r in rows.select("year").distinct().collect()]
+    keys = existing.where(F.col("year").isin(years)).select(title_key("title").alias("_key"), F.col("year").alias("_year"))
+    own = F.col("title_key") if "title_key" in rows.columns else title_key("title")
+    return rows.join(keys, (own == F.col("_key")) & (F.col("year") == F.col("_year")), "left_anti")
+
+
 def write_pages(pages: DataFrame, path: str, fmt: str = "parquet", mode: str = "first_write_wins") -> None:
     """Store pages partitioned by year.
 
@@ -57,15 +76,11 @@ def write_pages(pages: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     ``overwrite`` and ``append`` are Spark's own modes. Rows are rebalanced
     on ``year`` before writing (see ``_by_year``).
     """
-    data = pages.select(*PAGE_COLUMNS)
     write_mode = mode
     if mode == "first_write_wins":
-        existing = _existing_keys(pages.sparkSession, path, fmt)
-        if existing is not None:
-            cond = (title_key(data["title"]) == existing["_key"]) & (data["year"] == existing["_year"])
-            data = data.join(existing, cond, "left_anti")
+        pages = unstored(pages, path, fmt)
         write_mode = "append"
-    _by_year(data).write.format(fmt).mode(write_mode).partitionBy("year").save(path)
+    _by_year(pages.select(*PAGE_COLUMNS)).write.format(fmt).mode(write_mode).partitionBy("year").save(path)
 
 
 def _by_year(df: DataFrame) -> DataFrame:
@@ -93,6 +108,11 @@ def compat_pages(pages: DataFrame) -> DataFrame:
     )
 
 
+def write_json_by_year(compat: DataFrame, path: str) -> None:
+    """JSON files in a folder for each year (``_year=...``); the year stays a field of each row."""
+    compat.withColumn("_year", F.col("Year")).hint("rebalance", "_year").write.mode("overwrite").partitionBy("_year").json(path)
+
+
 # ---------------------------------------------------------------- graph store
 
 GRAPH_TABLES = {
@@ -100,6 +120,7 @@ GRAPH_TABLES = {
     "edges": LINK_EDGE,
     "word_edges": WORD_EDGE,
     "category_nodes": CATEGORY_NODE,
+    "cliques": CATEGORY_CLIQUE,
 }
 
 # Identity of a row in each graph table, for ``mode="merge"``.
@@ -108,6 +129,7 @@ GRAPH_KEYS = {
     "edges": ["src", "dst", "year"],
     "word_edges": ["src", "dst", "year"],
     "category_nodes": ["title", "year", "category"],
+    "cliques": ["category", "year"],
 }
 
 
@@ -124,12 +146,9 @@ def write_graph(tables: dict[str, DataFrame], path: str, fmt: str = "parquet", m
         if mode == "merge":
             write_mode = "append"
             keys = GRAPH_KEYS[name]
-            try:
-                stored = read_graph(df.sparkSession, path, [name], fmt)[name].select(*keys)
-                stored.schema  # noqa: B018 - forces path resolution
-                df = df.join(stored, keys, "left_anti")
-            except AnalysisException:
-                pass
+            existing = _if_stored(lambda: read_graph(df.sparkSession, path, [name], fmt)[name])  # noqa: B023 - called at once
+            if existing is not None:
+                df = df.join(existing.select(*keys), keys, "left_anti")
         w = _by_year(df.select(*[f.name for f in GRAPH_TABLES[name].fields])).write.format(fmt).mode(write_mode).partitionBy("year")
         if fmt == "csv":
             w = w.option("header", "true")

@@ -1,3 +1,3 @@
-from revgraph.streaming.ingest import dump_stream, ingest_stream
+from revgraph.streaming.ingest import ingest_stream
 
-__all__ = ["dump_stream", "ingest_stream"]
+__all__ = ["ingest_stream"]

@@ -3,7 +3,7 @@
 The original job walks the files of its input folder one after the other and
 skips every (year, page) already written. Here the folder is a file stream:
 Spark tracks which files were processed in the stream's checkpoint, each
-micro-batch runs the batch plan (flatten -> latest per year -> annotate) and
+micro-batch runs the batch plan (parse -> latest per year -> annotate) and
 appends only pages not yet in the store. A retried batch finds its own pages
 already stored and adds nothing, so a lost executor or a restart cannot
 duplicate a page.
@@ -14,25 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from revgraph.operators.revisions import flatten_revisions
-from revgraph.plans.graphs import build_pages
-from revgraph.schema import DUMP_PAGE
+from revgraph.plans.graphs import ingest_chunks
 from revgraph.session import scratch_path
-from revgraph.sources.dump import ROW_TAG
-from revgraph.sources.store import write_pages
-
-
-def dump_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (
-        spark.readStream.format("xml")
-        .schema(DUMP_PAGE)
-        .option("rowTag", ROW_TAG)
-        .option("excludeAttribute", "true")
-        .option("ignoreSurroundingSpaces", "false")
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+from revgraph.sources.dump import numbered, stream_chunks
 
 
 def ingest_stream(
@@ -48,14 +32,16 @@ def ingest_stream(
     """Start the ingest stream; with ``available_now`` it stops when caught up.
 
     ``checkpoint_path`` defaults to a new folder under the shared
-    ``spark.checkpoint.dir``; pass the same path again to resume.
+    ``spark.checkpoint.dir``; pass the same path again to resume. A batch
+    takes ``max_files_per_trigger`` files; without it the first one is the
+    whole backlog. Rejected revisions go where the batch job puts them.
     """
     checkpoint_path = checkpoint_path or scratch_path(spark, "ingest-stream")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_pages(build_pages(flatten_revisions(batch)), store_path, fmt=fmt)
+        ingest_chunks(numbered(batch), store_path, fmt)
 
-    writer = dump_stream(spark, dump_path, max_files_per_trigger).writeStream.foreachBatch(write_batch)
+    writer = stream_chunks(spark, dump_path, max_files_per_trigger).writeStream.foreachBatch(write_batch)
     writer = writer.option("checkpointLocation", checkpoint_path)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)

@@ -4,9 +4,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from revgraph.operators import flatten_revisions, latest_per_year
+from revgraph.operators import latest_per_year
 from revgraph.plans import build_pages, ingest
-from revgraph.sources import read_dump, read_pages
+from revgraph.sources import read_pages, read_revisions, rejected_revisions
 
 FILE_A = """<mediawiki>
   <page>
@@ -75,9 +75,8 @@ def _dump_dir(tmp_dir):
 
 def test_read_and_flatten(spark, tmp_dir):
     d = _dump_dir(tmp_dir)
-    pages = read_dump(spark, d)
-    assert pages.count() == 4  # two files, one job
-    rev = flatten_revisions(pages)
+    rev = read_revisions(spark, d)  # two files, one job
+    assert rejected_revisions(spark, d).count() == 0
     rows = {(r.title, r.timestamp): r for r in rev.collect()}
     assert len(rows) == 6
     ip = rows[("Alpha Page", "2019-07-01T10:00:00Z")]
@@ -86,12 +85,12 @@ def test_read_and_flatten(spark, tmp_dir):
     assert "&&&" in ip.text
     assert rows[("Alpha Page", "2020-01-05T00:00:00Z")].text == ""  # <text ... />
     assert rows[("Gamma", "2019-02-02T00:00:00Z")].text == ""  # no <text>
-    assert rows[("Beta", "2019-07-01T10:00:00Z")].year == "2019"  # single revision still an array
+    assert rows[("Beta", "2019-07-01T10:00:00Z")].year == "2019"  # a page with a single revision
 
 
 def test_latest_is_per_page_not_per_timestamp(spark, tmp_dir):
     # Alpha Page and Beta share a timestamp; each keeps its own text.
-    latest = latest_per_year(flatten_revisions(read_dump(spark, _dump_dir(tmp_dir))))
+    latest = latest_per_year(read_revisions(spark, _dump_dir(tmp_dir)))
     got = {(r.title, r.year): r.text for r in latest.collect()}
     assert got[("alpha page", "2019")].startswith("\nthe [[Beta|b]]")
     assert got[("beta", "2019")].startswith("beta links")
@@ -136,7 +135,7 @@ def test_ingest_store(spark, tmp_dir):
 
 
 def test_build_pages_matches_ingest(spark, tmp_dir):
-    pages = build_pages(flatten_revisions(read_dump(spark, _dump_dir(tmp_dir))))
+    pages = build_pages(read_revisions(spark, _dump_dir(tmp_dir)))
     assert pages.filter(F.col("title") == "beta").first().links == ["alpha page", "gamma"]
 
 
@@ -144,7 +143,7 @@ def test_store_modes_and_lookup(spark, tmp_dir):
     from revgraph.sources import compat_pages, pages_where, write_pages
 
     store = os.path.join(tmp_dir, "store2")
-    pages = build_pages(flatten_revisions(read_dump(spark, _dump_dir(tmp_dir))))
+    pages = build_pages(read_revisions(spark, _dump_dir(tmp_dir)))
     write_pages(pages, store, fmt="json", mode="overwrite")
     back = read_pages(spark, store, fmt="json")
     assert back.count() == 4
@@ -220,3 +219,100 @@ def test_stream_restart_adds_nothing(spark, tmp_dir):
     assert snapshot() == first
     ingest_stream(spark, dump, store, os.path.join(tmp_dir, "ckpt-lost")).awaitTermination()  # replays all
     assert snapshot() == first
+
+
+def _big_dump(path, pages=40, long_page=7, long_revisions=400):
+    with open(path, "w") as f:
+        f.write("<mediawiki>\n")
+        for p in range(pages):
+            f.write(f"  <page>\n    <title>Page {p} &amp; é</title>\n    <ns>0</ns>\n")
+            for r in range(long_revisions if p == long_page else 3):
+                f.write(
+                    f"    <revision><timestamp>20{10 + r % 5}-01-01T00:00:{r % 60:02}Z</timestamp><contributor><username>u{r}</username></contributor>"
+                    f'<text xml:space="preserve">  text {p} {r} &lt;ref&gt; {"x" * 200}</text></revision>\n'
+                )
+            f.write("  </page>\n")
+        f.write("</mediawiki>\n")
+
+
+def test_one_file_and_one_page_spread_over_many_tasks(spark, tmp_dir):
+    """Blocks far smaller than the file, and than the longest page, give the rows of the whole-page XML source."""
+    from revgraph.sources.dump import read_chunks
+
+    d = os.path.join(tmp_dir, "big")
+    os.makedirs(d)
+    _big_dump(os.path.join(d, "a.xml"))
+    size = os.path.getsize(os.path.join(d, "a.xml"))
+    whole = (
+        spark.read.format("xml").schema("title string, revision array<struct<timestamp:string,contributor:struct<username:string>,text:string>>")
+        .option("rowTag", "page").option("excludeAttribute", "true").option("ignoreSurroundingSpaces", "false").load(d)
+        .select("title", F.explode("revision").alias("r")).select("title", "r.contributor.username", "r.timestamp", "r.text")
+    )
+    want = sorted(map(tuple, whole.collect()))
+    conf = {"spark.sql.files.maxPartitionBytes": "8k", "spark.sql.files.openCostInBytes": "1k", "spark.sql.files.minPartitionNum": "1"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        assert read_chunks(spark, d).rdd.getNumPartitions() >= 0.8 * size / 8192 > 10
+        got = read_revisions(spark, d)
+        assert sorted(map(tuple, got.select("title", "username", "timestamp", "text").collect())) == want
+        latest = {(r.title, r.year): r.text for r in latest_per_year(got).collect()}
+        store = os.path.join(tmp_dir, "store")
+        assert ingest(spark, d, store) == 0
+        assert read_pages(spark, store).count() == len(latest)
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    assert latest[("page 7 & é", "2010")].startswith("  text 7 ")
+
+
+def test_malformed_revisions_are_kept_and_counted(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "odd")
+    os.makedirs(d)
+    page = "<page>{}<revision><timestamp>2019-01-0{}T00:00:00Z</timestamp><text>{}</text></revision></page>\n"
+    body = page.format("<title>Good</title>", 1, "fine") + page.format("<title>Bad</title>", 1, "a & b") + page.format("<title>A & B</title>", 2, "x") + page.format("", 3, "no title")
+    body += "<page><title>Both</title><revision><timestamp>2019-01-01T00:00:00Z</timestamp><text>ok</text></revision><revision><text>a < b</text></revision></page>\n"
+    body += page.format("<title>Last</title>", 4, "after").replace("</page>", "")
+    _write(d, "a.xml", "<mediawiki>" + body)
+    good = {(r.title, r.text) for r in read_revisions(spark, d).collect()}
+    assert good == {("Good", "fine"), ("Both", "ok"), ("Last", "after")}
+    bad = sorted((r.title or "", r.reject_reason) for r in rejected_revisions(spark, d).collect())
+    assert bad == [("", "page without a readable title")] * 2 + [("Bad", "malformed revision"), ("Both", "malformed revision")]
+    store = os.path.join(tmp_dir, "store")
+    assert ingest(spark, d, store) == 4
+    assert spark.read.json(store + "_rejects").count() == 4
+    assert read_pages(spark, store).count() == 3
+
+
+def test_a_broken_store_is_an_error(spark, tmp_dir):
+    import pytest
+
+    from revgraph.sources.store import unstored, write_graph
+
+    rows = spark.createDataFrame([("a", "2020")], "title string, year string")
+    assert unstored(rows, os.path.join(tmp_dir, "nothing")).count() == 1
+    broken = os.path.join(tmp_dir, "broken", "year=2020")
+    os.makedirs(broken)
+    _write(broken, "part-0.parquet", "no parquet")
+    with pytest.raises(Exception, match="not a Parquet file"):
+        unstored(rows, os.path.dirname(broken)).count()
+    nodes = os.path.join(tmp_dir, "graph", "nodes", "year=2020")
+    os.makedirs(nodes)
+    _write(nodes, "part-0.parquet", "no parquet")
+    with pytest.raises(Exception, match="not a Parquet file"):
+        write_graph({"nodes": spark.createDataFrame([("a", True, "2020")], "title string, is_stub boolean, year string")}, os.path.join(tmp_dir, "graph"), mode="merge")
+
+
+def test_stored_pages_are_dropped_before_their_text_is_read(spark, tmp_dir):
+    """The anti-join stands below all text work, on the window's key."""
+    from revgraph.operators import annotate
+    from revgraph.session import stored
+    from revgraph.sources.store import unstored
+
+    store = os.path.join(tmp_dir, "store")
+    ingest(spark, _dump_dir(tmp_dir), store)
+    latest = stored(latest_per_year(read_revisions(spark, _dump_dir(os.path.join(tmp_dir, "again")))), "latest")
+    plan = annotate(unstored(latest, store))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("regexp") < plan.index("LeftAnti") and "year" in plan[plan.index("LeftAnti"):]
+    assert "regexp" not in plan[plan.index("LeftAnti"):]
+    assert "IN (2019,2020)" in unstored(latest, store)._jdf.queryExecution().executedPlan().toString()

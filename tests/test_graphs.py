@@ -182,9 +182,9 @@ def test_graph_store_csv(spark, tmp_dir):
 
     p = pages_df(spark, [("a b", "2020", ["c, d"], [], {}), ("c, d", "2020", [], [], {})])
     g = link_graph(p)
-    write_graph({"nodes": g.nodes.select("title", "is_stub", "year"), "edges": g.edges.select("src", "dst", "weight", "year")}, tmp_dir, fmt="csv")
+    write_graph({"nodes": g.nodes.select("title", "is_stub", "year"), "edges": g.edges}, tmp_dir, fmt="csv")
     back = read_graph(spark, tmp_dir, ["nodes", "edges"], fmt="csv")
-    assert {(r.src, r.dst, r.weight, r.year) for r in back["edges"].collect()} == {("a b", "c, d", 0, "2020")}
+    assert {(r.src, r.dst, r.name, r.weight, r.year) for r in back["edges"].collect()} == {("a b", "c, d", "a_b_TO__c__d2020", 0, "2020")}
     assert back["nodes"].count() == 2
 
 
@@ -241,12 +241,73 @@ def test_weights_with_skew_split(spark):
         plan = le._jdf.queryExecution().executedPlan().toString()
         we = word_edges(p)
         got_words = {(r.src, r.dst, r.year): r.weight for r in we.collect()}
+        word_plan = we._jdf.queryExecution().executedPlan().toString()
     finally:
         _restore(spark, old)
     hot = sum(1 for (_, d, _) in exp_links if d == "p0")
     assert hot * 3 >= len(exp_links)  # the hot target really holds a third of the edges
-    assert "skew=true" in plan
+    assert "skew=true" in plan and "skew=true" in word_plan
     assert got_links == exp_links
     assert got_words.keys() == exp_words.keys()
     for k, v in exp_words.items():
         assert got_words[k] == pytest.approx(v)
+
+
+def test_node_and_target_joins_with_skew_split(spark):
+    """The hot target's edges, and a category that holds most pages, are split although the other side of the
+    join comes from an aggregate or a window on the join's key."""
+    from revgraph.operators import edges, latest_per_year
+
+    rows = _random_pages(7, n_pages=300, hot_share=0.9, max_links=3)
+    rows = [(t, y, links, ["big"] if i % 4 else ["big", f"c{i}"], words) for i, (t, y, links, _, words) in enumerate(rows)]
+    old = _with_conf(spark, SKEW_CONF)
+    try:
+        p = pages_df(spark, rows).repartition(8)
+        nodes = category_nodes(p)
+        found = {
+            "resolve": resolve_links(latest_per_year(p.withColumn("timestamp", F.lit("t")))).select("src", "dst", "year", "dst_found"),
+            "endpoints": graph_endpoints(all_nodes(p), edges(p)),
+            "degree": category_degree(nodes, category_cliques(nodes)),
+        }
+        got = {name: sorted(map(tuple, df.collect())) for name, df in found.items()}
+        plans = {name: df._jdf.queryExecution().executedPlan().toString() for name, df in found.items()}
+    finally:
+        _restore(spark, old)
+    assert {name for name, plan in plans.items() if "skew=true" in plan} == set(found)
+    titles = {(t, y) for t, y, *_ in rows}
+    want = sorted((t, d, y, (d, y) in titles) for t, y, links, *_ in rows for d in links)
+    assert got["resolve"] == want
+    assert got["endpoints"] == sorted((t, d, y, False, not ok) for t, d, y, ok in want)
+    size = Counter((c, y) for _, y, _, cats, _ in rows for c in cats)
+    assert got["degree"] == sorted((t, y, c, size[c, y] - 1) for t, y, _, cats, _ in rows for c in cats)
+
+
+def test_word_edges_walk_the_page_with_fewer_words(spark):
+    """Rows walked are the sum of the smaller word counts, not of links against words."""
+    from revgraph.operators import walked_rows
+
+    rows = _random_pages(11, n_pages=60, hot_share=0.3, max_links=6)
+    words = {(t, y): len(w) for t, y, _, _, w in rows}
+    want = sum(min(words[t, y], words[d, y]) for t, y, links, *_ in rows for d in links if (d, y) in words)
+    p = pages_df(spark, rows)
+    assert walked_rows(p, F.size("wordcount")).first()["rows"] == want > 0
+    plan = word_edges(p)._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(links" not in plan.replace(" ", "")
+
+
+def test_other_spellings_resolve_and_are_no_stubs(spark):
+    """A link resolves (J2) if and only if its node is no stub (J3), whatever its spelling."""
+    p = pages_df(spark, [("foo bar", "2020", ["foo_bar", "gone", "gone_x", "gone x"], [], {}), ("a_b", "2020", ["a b", "foo bar"], [], {}), ("gone", "2021", [], [], {})])
+    nodes = {(r.title, r.year): r.is_stub for r in all_nodes(p).collect()}
+    assert nodes[("foo_bar", "2020")] is False and nodes[("a b", "2020")] is False
+    unresolved = {(r.dst, r.year) for r in resolve_links(p).where("NOT dst_found").collect()}
+    assert {(r.title, r.year) for r in stub_nodes(p).collect()} == unresolved == {("gone", "2020"), ("gone_x", "2020"), ("gone x", "2020")}
+
+
+def test_questions_without_weights_join_no_items(spark):
+    """Endpoints and degrees come from the edges alone."""
+    from revgraph.operators import edges
+
+    p = pages_df(spark, [("a", "2020", ["b", "b2"], [], {}), ("b", "2020", [], [], {})])
+    plan = graph_endpoints(all_nodes(p), edges(p))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2
