@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revgraph.llm.common import stored
@@ -19,13 +19,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     """
     known = labels.where(learn & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # Few ids reach the window: those in a share of the hash range that is 8 standard deviations wider than needed.
+    # Few ids are sorted: those in a share of the hash range that is 8 standard deviations wider than needed.
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52)) / float(1 << 52)
-    share = F.lit(1.0)
+    ids = known.limit(0)
     for c, n in totals.items():
-        share = F.when(F.col("label") == c, F.lit((per_class + 8 * per_class**0.5) / n)).otherwise(share)
-    order = Window.partitionBy("label").orderBy(place, "doc_id")
-    ids = known.where(place <= share).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_class).drop("_n")
+        near = known.where((F.col("label") == c) & (place <= (per_class + 8 * per_class**0.5) / n))
+        ids = ids.unionByName(near.orderBy(place, "doc_id").limit(per_class))
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id")
     return stored(sample.where(F.col("text").isNotNull()).dropDuplicates(["text", "label"]), "labelled"), totals
 
