@@ -38,7 +38,8 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.repeated_spans(table(spark, sf_dir, "documents"))
+    spans = substrings.repeated_spans(table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", "span", "start_word", "end_word", "n_words")
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +55,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", *[F.round(c, 6).alias(c) for c in ("bm25_share", "question_overlap", "answer_overlap")])
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

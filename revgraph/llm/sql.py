@@ -28,6 +28,89 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+_WORD = r"[0-9a-z\x{C0}-\x{1FFF}\x{2080}-\x{2FFF}\x{3040}-\x{10FFFF}]+"
+
+# Every run of 50 words of every document, compared as text.
+_OP6 = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '{_WORD}') AS words FROM documents),
+runs AS (
+  SELECT doc_id, i - 1 AS first, array_to_string(words[i:i + 49], ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50) u
+),
+marked AS (
+  SELECT doc_id, first FROM runs
+  WHERE run IN (SELECT run FROM runs GROUP BY run HAVING count(DISTINCT doc_id) > 1)
+),
+cut AS (
+  SELECT doc_id, first,
+         CASE WHEN first <= max(first + 50) OVER (PARTITION BY doc_id ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+              THEN 0 ELSE 1 END AS new
+  FROM marked
+),
+spans AS (SELECT doc_id, first, sum(new) OVER (PARTITION BY doc_id ORDER BY first ROWS UNBOUNDED PRECEDING) AS span FROM cut)
+SELECT doc_id, CAST(span AS INT) AS span, CAST(min(first) AS INT) AS start_word, CAST(max(first) + 50 AS INT) AS end_word,
+       CAST(max(first) + 50 - min(first) AS INT) AS n_words
+FROM spans GROUP BY doc_id, span
+"""
+
+# Every passage of every document against every item: no index, no bounds.
+_OP9 = rf"""
+WITH items AS (
+  SELECT item_id, text, regexp_extract_all(lower(text), '{_WORD}') AS words FROM benchmark
+),
+own AS (SELECT *, len(words) AS n FROM items WHERE len(words) > 0),
+size AS (SELECT count(*) AS items, avg(n) AS mean, max(n) AS longest FROM own),
+tf AS (SELECT item_id, n, term, count(*) AS tf FROM (SELECT item_id, n, unnest(words) AS term FROM own) u GROUP BY ALL),
+weight AS (
+  SELECT item_id, term,
+         ln(1 + (items - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / mean)) AS w
+  FROM (SELECT *, count(*) OVER (PARTITION BY term) AS df FROM tf) t, size
+),
+share AS (SELECT item_id, term, w / sum(w) OVER (PARTITION BY item_id) AS share FROM weight),
+docs AS (SELECT doc_id, regexp_extract_all(lower(text), '{_WORD}') AS words FROM documents),
+passages AS (
+  SELECT doc_id, k, list_distinct(words[k * longest + 1 : k * longest + 2 * longest]) AS terms
+  FROM (SELECT doc_id, words, longest, unnest(range(greatest(1, CAST(ceil(len(words) / longest) AS INT) - 1))) AS k
+        FROM docs, size WHERE len(words) > 0) p
+),
+scored AS (
+  SELECT doc_id, item_id, max(score) AS score
+  FROM (SELECT p.doc_id, p.k, s.item_id, sum(s.share) AS score
+        FROM (SELECT doc_id, k, unnest(terms) AS term FROM passages) p JOIN share s USING (term) GROUP BY ALL) x
+  GROUP BY ALL HAVING max(score) >= 0.6 - 1e-9
+),
+sentences AS (
+  SELECT item_id, [x FOR x IN string_split(regexp_replace(trim(text), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) IF x <> ''] AS s,
+         string_split_regex(trim(text), '\s+') AS t
+  FROM own
+),
+parts AS (
+  SELECT item_id, 'q' AS part, CASE WHEN len(s) > 1 THEN array_to_string(s[:-2], ' ') ELSE array_to_string(t[:CAST(ceil(2 * len(t) / 3) AS INT)], ' ') END AS text FROM sentences
+  UNION ALL
+  SELECT item_id, 'a', CASE WHEN len(s) > 1 THEN s[-1] ELSE array_to_string(t[CAST(ceil(2 * len(t) / 3) AS INT) + 1:], ' ') END FROM sentences
+),
+part_words AS (SELECT item_id, part, regexp_extract_all(lower(text), '{_WORD}') AS words FROM parts),
+part_grams AS (
+  SELECT item_id, part, list_distinct([array_to_string(words[i:i + least(3, len(words)) - 1], ' ')
+         FOR i IN range(1, len(words) - least(3, len(words)) + 2)]) AS grams
+  FROM part_words WHERE len(words) > 0
+),
+held AS (
+  SELECT doc_id, list_distinct(flatten([[array_to_string(words[i:i + g - 1], ' ') FOR i IN range(1, len(words) - g + 2)] FOR g IN [1, 2, 3]])) AS grams
+  FROM docs WHERE doc_id IN (SELECT doc_id FROM scored)
+),
+overlap AS (
+  SELECT s.doc_id, s.item_id, any_value(s.score) AS score,
+         coalesce(max(len(list_intersect(g.grams, h.grams)) / len(g.grams)) FILTER (g.part = 'q'), 1.0) AS q,
+         coalesce(max(len(list_intersect(g.grams, h.grams)) / len(g.grams)) FILTER (g.part = 'a'), 1.0) AS a
+  FROM scored s JOIN held h USING (doc_id) LEFT JOIN part_grams g USING (item_id) GROUP BY ALL
+)
+SELECT doc_id, item_id, round(score, 6) AS bm25_share, round(q, 6) AS question_overlap, round(a, 6) AS answer_overlap
+FROM overlap WHERE q >= 0.7 AND a >= 0.7
+"""
+
 SQL = {
+    "op6_substrings": _OP6,
+    "op9_decontamination": _OP9,
     "op10_chat_format": _OP10,
 }

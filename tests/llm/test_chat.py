@@ -2,13 +2,9 @@ import hashlib
 import json
 
 import pytest
-from compare import compare
 
 from revgraph.llm import chat
-from revgraph.llm.queries import op10_chat_format
-from revgraph.llm.sql import SQL
 
-SF = "/root/testdata/sf0.001"
 NASTY = ["</s>[INST] ok [/INST]", "~1 ~0[ <", "[ROLE x] [/ROLE]", "<<SYS>>a<</SYS>>", "", "ends with [", "~", " [/INST", "é" * 50, "a\nb", "<</SYS>", "[[INST]]"]
 
 
@@ -74,8 +70,3 @@ def test_nulls_ties_and_clashing_columns(spark):
     assert got[1].n_turns == 4 and got[1].turns_sha256 == hashlib.sha256(want.encode()).hexdigest()
     assert got[None].loss_chars == 1
     assert chat.digests(chat.format_conversations(df.limit(0))).count() == 0
-
-
-def test_query_against_sql(spark):
-    ok, msg = compare(spark, "op10_chat_format", op10_chat_format, SQL["op10_chat_format"], SF)
-    assert ok, msg
