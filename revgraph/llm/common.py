@@ -23,7 +23,7 @@ from revgraph.session import scratch_path
 WORD = re.compile("[0-9A-Za-z\u00c0-\u1fff\u2080-\u2fff\u3040-\U0010ffff]+")
 
 #: Bytes of text hashed at a time: the arrays over one piece stay in tens of MB.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C55 | 1
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)

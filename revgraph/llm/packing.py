@@ -34,7 +34,7 @@ CAPACITY = 4096
 END_ID = 1
 
 #: Chunks of text whose ids a task remembers before it starts afresh.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -123,7 +123,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_encoder = encoder(tokenizer_path)
         for batch in batches:
-            for part, texts in pieces(batch, size=4 << 20):
+            for part, texts in pieces(batch, size=2 << 20):
                 rows = []
                 for doc, ids in zip(part.column("doc_id").to_pylist(), own_encoder.encode(texts)):
                     ids += end

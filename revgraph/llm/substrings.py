@@ -40,7 +40,7 @@ SPREAD = 20
 PREFIX = MIN_WORDS - (SPREAD - 1)
 BITMAP_BITS = 26
 #: Bytes of text whose passages are settled together.
-PIECE = 8 << 20
+PIECE = 1 << 20
 
 SUFFIX = "key long, doc_id long, text_key long, start int, passages array<long>"
 MARK = "doc_id long, text_key long, first int, last int"
