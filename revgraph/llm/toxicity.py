@@ -4,10 +4,11 @@ Terms are words and the first four and five characters of longer words (so
 that an inflected insult meets its stem). ``fit`` keeps the terms that lean
 to toxic examples by a likelihood-ratio test, takes their document
 frequencies from the whole corpus, and indexes a bounded sample of labelled
-examples: postings by term, and for each term and block of examples the
+examples, one of each group of near copies (else the chance words of a text
+that is copied often would pass for signs of its class): postings by term, and for each term and block of examples the
 largest weight. A search visits blocks by their upper bounds and stops when
 no block left can change the k nearest, so the cosines and the ranking are
-exact. Votes are weighted by cosine; a logistic curve fitted on examples
+exact. Votes are weighted by the squared cosine; a logistic curve fitted on examples
 scored by an index that does not hold them makes the score a probability.
 
 Defined results: a null or empty text, and any text without a term, has no
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revgraph.llm.common import WordBatch, pieces
+from revgraph.llm.common import WordBatch, mix, pieces
 from revgraph.llm.labelled import class_weights, labelled_sample, logistic, sigmoid
 
 #: Bounds of what is learned from: labelled documents a class, and terms.
@@ -145,7 +146,8 @@ class Model:
         if not len(terms) or not len(self.ids):
             return 0.0, np.empty(0, np.int64), np.empty(0)
         near, cosine = self.index.search(terms, weights, NEIGHBOURS)
-        return float((cosine * self.labels[near]).sum() / (cosine.sum() + PRIOR_VOTE)), near, cosine
+        vote = cosine * cosine
+        return float((vote * self.labels[near]).sum() / (vote.sum() + PRIOR_VOTE)), near, cosine
 
     def probability(self, votes: np.ndarray) -> np.ndarray:
         return np.full(len(votes), self.constant) if self.constant is not None else sigmoid(votes * self.curve[0] + self.curve[1])
@@ -174,6 +176,47 @@ def _term_counts(sample: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+#: Smallest shingle hashes by which near copies among the examples are found.
+COPY_KEYS = 6
+
+
+def _one_of_each(sample: DataFrame) -> DataFrame:
+    """The sample without near copies: of documents of one label that share a smallest shingle the first by id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in pieces(batch):
+                words = WordBatch(texts)
+                h, at = words.windows(5)
+                cut = np.searchsorted(words.doc[at], np.arange(len(texts) + 1))
+                full = np.flatnonzero(np.diff(cut) > 0)
+                keys = np.zeros((len(texts), COPY_KEYS), dtype=np.uint64)
+                for k in range(COPY_KEYS):
+                    if len(full):
+                        keys[full, k] = np.minimum.reduceat(mix(h + np.uint64(k + 1)), cut[full])
+                has = np.diff(cut) > 0
+                own = [row.tolist() if ok else [] for row, ok in zip(keys.view(np.int64), has)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("label").cast(pa.int32()), pa.array(own, pa.list_(pa.int64()))], names=["doc_id", "label", "keys"])
+
+    rows = sorted(sample.mapInArrow(run, "doc_id long, label int, keys array<long>").collect())  # at most 2 * per_class
+    group = list(range(len(rows)))
+
+    def end(i: int) -> int:
+        while group[i] != i:
+            group[i] = group[group[i]]
+            i = group[i]
+        return i
+
+    seen: dict[tuple, int] = {}
+    for i, r in enumerate(rows):
+        for k, key in enumerate(r["keys"]):
+            j = end(seen.setdefault((r["label"], k, key), i))
+            group[max(end(i), j)] = min(end(i), j)
+    kept = sorted({(rows[i]["doc_id"], rows[i]["label"]) for i in range(len(rows)) if end(i) == i})
+    ids = sample.sparkSession.createDataFrame(kept, "doc_id long, label int")
+    return sample.join(F.broadcast(ids), ["doc_id", "label"])
+
+
 def _g2(a: Column, b: Column, na: int, nb: int) -> Column:
     """Likelihood ratio of a 2 x 2 table: a of na and b of nb hold the term."""
     n = na + nb
@@ -209,6 +252,7 @@ def corpus_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndar
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", per_class: int = PER_CLASS, max_terms: int = MAX_TERMS) -> Model:
     """Learn from the labelled documents that ``learn`` allows (bounds: ``per_class``, ``max_terms``)."""
     sample, totals = labelled_sample(docs, labels, label, learn, per_class)
+    sample = _one_of_each(sample)
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     na, nb = sizes.get(1, 0), sizes.get(0, 0)
     none = Vocabulary(np.empty(0, np.uint64))
