@@ -4,7 +4,10 @@ A text's shingles are its runs of five words (a shorter text is one shingle);
 a shingle weighs its count times the mean inverse document frequency of its
 words. Word frequencies come from all documents, in ``BUCKETS`` hash buckets,
 so the table that tasks share has a fixed size. Weights are rounded down to a
-grid of ``GRID`` in their logarithm, for sampling and verifying alike.
+grid of ``GRID`` in their logarithm, for sampling and verifying alike. Two
+texts are linked if their weighted Jaccard similarity is at least
+``SIMILARITY``, or the plain one is: rare words in the few places where copies
+differ must not part texts that share four shingles in five.
 
 Consistent weighted sampling takes the shingle that minimises a random value;
 two texts agree on a sample with the probability of their weighted Jaccard
@@ -103,6 +106,9 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     return (np.log((1 + rows) / (1 + seen)) + 1).astype(np.float32)
 
 
+LINK = "a long, b long, similarity double, plain double, linked boolean"
+
+
 class Shingles:
     """Distinct shingles of several texts with their weight levels, sorted by text and shingle."""
 
@@ -156,8 +162,8 @@ class Shingles:
         return key
 
 
-def similarity(a: Shingles, b: Shingles) -> np.ndarray:
-    """Weighted Jaccard similarity of text i of ``a`` and text i of ``b``."""
+def similarity(a: Shingles, b: Shingles) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted and plain Jaccard similarity of text i of ``a`` and text i of ``b``."""
     n = len(a.cut) - 1
     h = np.concatenate((a.hash, b.hash))
     doc = np.concatenate((a.doc, b.doc))
@@ -167,7 +173,11 @@ def similarity(a: Shingles, b: Shingles) -> np.ndarray:
     both = np.flatnonzero((h[1:] == h[:-1]) & (doc[1:] == doc[:-1]))
     shared = np.bincount(doc[both], weights=np.minimum(w[both], w[both + 1]), minlength=n)
     total = np.bincount(doc, weights=w, minlength=n)
-    return np.divide(shared, total - shared, out=np.zeros(n), where=total > 0)
+    common, all_ = np.bincount(doc[both], minlength=n).astype(float), np.bincount(doc, minlength=n)
+    return (
+        np.divide(shared, total - shared, out=np.zeros(n), where=total > 0),
+        np.divide(common, all_ - common, out=np.zeros(n), where=all_ > 0),
+    )
 
 
 def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -231,18 +241,18 @@ def words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, words: DataFrame, idf: np.ndarray) -> DataFrame:
-    """a, b, similarity and linked (similarity of at least ``SIMILARITY``) for every pair of nodes."""
+    """a, b, weighted and plain similarity and linked (either is at least ``SIMILARITY``) for every pair of nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             open_ = zstandard.ZstdDecompressor()
             for part, a in pieces_of_words(batch, "wa", open_):
                 b = [open_.decompress(x).decode("utf-8", "surrogatepass") for x in part.column("wb").to_pylist()]
-                s = similarity(Shingles(WordBatch(a), idf), Shingles(WordBatch(b), idf))
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(s), pa.array(s >= SIMILARITY)], names=["a", "b", "similarity", "linked"])
+                s, plain = similarity(Shingles(WordBatch(a), idf), Shingles(WordBatch(b), idf))
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(s), pa.array(plain), pa.array(np.maximum(s, plain) >= SIMILARITY)], names=["a", "b", "similarity", "plain", "linked"])
 
     both = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
-    return both.select("a", "b", "wa", "wb").mapInArrow(run, "a long, b long, similarity double, linked boolean")
+    return both.select("a", "b", "wa", "wb").mapInArrow(run, LINK)
 
 
 def pieces_of_words(batch: pa.RecordBatch, column: str, open_: zstandard.ZstdDecompressor) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -293,7 +303,7 @@ def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, texts: DataFrame, idf: np.ndarray) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b, similarity) between distinct texts, and the classes (node, root) they make.
+    """Verified links (a, b, similarity, plain) between distinct texts, and the classes (node, root) they make.
 
     Links between texts of one class may be left out, links between classes never.
     """
@@ -303,7 +313,7 @@ def links(docs: DataFrame, texts: DataFrame, idf: np.ndarray) -> tuple[DataFrame
     wanted = members.select("node").distinct().join(texts.select("node", "k1", "k2"), "node")
     words = stored(words_of(docs, stored(wanted, "wanted")), "words")
     spark = docs.sparkSession
-    done = spark.createDataFrame([], "a long, b long, similarity double, linked boolean")
+    done = spark.createDataFrame([], LINK)
     roots = spark.createDataFrame([], "node long, root long")
     left = members.withColumn("root", F.col("node"))
     for turn in range(ROUNDS):
@@ -330,7 +340,7 @@ def links(docs: DataFrame, texts: DataFrame, idf: np.ndarray) -> tuple[DataFrame
         if not new.where("linked").isEmpty():
             done = done.unionByName(new)
             roots = None
-    return done.where("linked").select("a", "b", "similarity"), connected(done.where("linked")) if roots is None else roots
+    return done.where("linked").drop("linked"), connected(done.where("linked")) if roots is None else roots
 
 
 def _pairs(rows: DataFrame, done: DataFrame) -> DataFrame:
@@ -369,23 +379,24 @@ def merging_links(left: DataFrame, words: DataFrame, idf: np.ndarray) -> DataFra
             return x
 
         out = []
-        for i, j, s in found:
+        for i, j, s, plain in found:
             x, y = end(int(root[i])), end(int(root[j]))
             if x != y:
                 parent[max(x, y)] = min(x, y)
-                out.append((min(node[i], node[j]), max(node[i], node[j]), s, True))
-        cols = list(zip(*out)) or [[], [], [], []]
-        return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.bool_()))], names=["a", "b", "similarity", "linked"])
+                out.append((min(node[i], node[j]), max(node[i], node[j]), s, plain, True))
+        cols = list(zip(*out)) or [[]] * 5
+        return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()))], names=["a", "b", "similarity", "plain", "linked"])
 
     both = a.unionByName(b).join(words, "node")
-    return both.groupBy("key", "ia", "ib").applyInArrow(compare, "a long, b long, similarity double, linked boolean")
+    return both.groupBy("key", "ia", "ib").applyInArrow(compare, LINK)
 
 
-def block_similarities(own: Shingles, a: np.ndarray, b: np.ndarray, root: np.ndarray) -> list[tuple[int, int, float]]:
-    """(i, j, similarity) of all texts i of ``a`` and j of ``b`` with different roots and a similarity of at least ``SIMILARITY``.
+def block_similarities(own: Shingles, a: np.ndarray, b: np.ndarray, root: np.ndarray) -> list[tuple[int, int, float, float]]:
+    """(i, j, weighted, plain similarity) of the linked texts i of ``a`` and j of ``b`` with different roots.
 
     The smaller of two weights is a sum over weight steps that both reach, so
-    one product of (text x shingle step) matrices gives all shared weights.
+    one product of (text x shingle step) matrices gives all shared weights; the
+    columns of lowest steps alone give the shared shingles.
     """
     n = len(own.cut) - 1
     w = np.exp(own.level * GRID)
@@ -408,28 +419,33 @@ def block_similarities(own: Shingles, a: np.ndarray, b: np.ndarray, root: np.nda
     col, row, value = place[col[keep]], row[keep], np.sqrt(value[shared])
     by = np.argsort(col, kind="stable")
     col, row = col[by], row[by]
-    both = np.zeros((len(a), len(b)))
+    lowest_step = (new_h[at])[shared]
+    both, common = np.zeros((len(a), len(b))), np.zeros((len(a), len(b)))
     for lo in range(0, len(value), 2048):
         i, j = np.searchsorted(col, (lo, lo + 2048))
         m = np.zeros((n, min(2048, len(value) - lo)), dtype=np.float32)
         m[row[i:j], col[i:j] - lo] = value[col[i:j]]
         both += m[a] @ m[b].T
-    close = both >= (SIMILARITY - 1e-3) * (total[a][:, None] + total[b][None, :] - both)
+        held = (m[:, lowest_step[lo : lo + 2048]] > 0).astype(np.float32)
+        common += held[a] @ held[b].T
+    size = np.diff(own.cut)
+    least = SIMILARITY - 1e-3
+    close = (both >= least * (total[a][:, None] + total[b][None, :] - both)) | (common >= least * (size[a][:, None] + size[b][None, :] - common))
     x, y = np.nonzero(close & (root[a][:, None] != root[b][None, :]))
     out = []
     for i, j in zip(a[x].tolist(), b[y].tolist()):
-        s = _similarity_of(own, i, j)
-        if s >= SIMILARITY:
-            out.append((i, j, s))
+        s, plain = _similarity_of(own, i, j)
+        if max(s, plain) >= SIMILARITY:
+            out.append((i, j, s, plain))
     return out
 
 
-def _similarity_of(own: Shingles, i: int, j: int) -> float:
+def _similarity_of(own: Shingles, i: int, j: int) -> tuple[float, float]:
     a, b = slice(own.cut[i], own.cut[i + 1]), slice(own.cut[j], own.cut[j + 1])
     wa, wb = np.exp(own.level[a] * GRID), np.exp(own.level[b] * GRID)
     _, x, y = np.intersect1d(own.hash[a], own.hash[b], assume_unique=True, return_indices=True)
     shared = np.minimum(wa[x], wb[y]).sum()
-    return float(shared / (wa.sum() + wb.sum() - shared))
+    return float(shared / (wa.sum() + wb.sum() - shared)), len(x) / (len(wa) + len(wb) - len(x))
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -446,29 +462,47 @@ def classes(docs: DataFrame) -> DataFrame:
     return rows.join(named, ["k1", "k2"], "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "k1", "k2")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the two halves of each text's key in ``__k1`` and ``__k2``."""
+def _row_keys(doc_id: pa.Array, k1: np.ndarray) -> np.ndarray:
+    """One 64-bit value for each row's doc_id and words."""
+    ids = doc_id.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+    return mix(ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C55) ^ k1.view(np.uint64))
+
+
+def _let_through(docs: DataFrame, places: np.ndarray, wanted: bool) -> DataFrame:
+    """The rows of ``docs`` that the bitmap lets through, or the others, with their words' keys in ``__k1``, ``__k2``."""
     docs = docs.withColumn("text", F.col("text").cast("string"))
-    names, at = docs.columns, docs.columns.index("text")
+    names, at, own_id = docs.columns, docs.columns.index("text"), docs.columns.index("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
             for part, texts in pieces(named, f"c{at}"):
-                yield pa.RecordBatch.from_arrays([*part.columns, *_halves(WordBatch(texts))], names=[*names, "__k1", "__k2"])
+                k1, k2 = _halves(WordBatch(texts))
+                hit = in_bitmap(_row_keys(part.column(own_id), k1.fill_null(0).to_numpy(zero_copy_only=False)), places) & k1.is_valid().to_numpy(zero_copy_only=False)
+                rows = pa.RecordBatch.from_arrays([*part.columns, k1, k2], names=[*names, "__k1", "__k2"])
+                yield rows.filter(pa.array(hit == wanted))
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__k1", T.LongType()), T.StructField("__k2", T.LongType())]))
 
 
+def _gone_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = _row_keys(batch.column("__d"), batch.column("__g1").to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
+
+
 def representatives(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the smallest doc_id; all columns as they were.
 
     Rows equal in doc_id and words are the one document and stay or go
-    together; rows without a doc_id or without words stay.
+    together; rows without a doc_id or without words stay. A bitmap of fixed
+    size keeps apart the rows that may have to go: only these are joined with
+    the list of what goes, all others stay where they are.
     """
     found = classes(docs)
     gone = found.where((F.col("class_id") != F.col("doc_id")) & F.col("k1").isNotNull()).distinct()
     gone = stored(gone.select(F.col("doc_id").alias("__d"), F.col("k1").alias("__g1"), F.col("k2").alias("__g2")), "gone")
-    rows = keyed(docs)
+    places = bitmap(gone.mapInArrow(_gone_keys, "key long"), BITMAP_BITS)
     same = (F.col("doc_id").cast("long") == F.col("__d")) & (F.col("__k1") == F.col("__g1")) & (F.col("__k2") == F.col("__g2"))
-    return rows.join(gone, same, "left_anti").drop("__k1", "__k2")
+    kept = _let_through(docs, places, True).join(gone, same, "left_anti")
+    return _let_through(docs, places, False).unionByName(kept).drop("__k1", "__k2")
