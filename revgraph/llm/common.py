@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revgraph.session import scratch_path
+from revgraph import session
 
 #: The same words as ``WordBatch`` finds, for one text.
 WORD = re.compile("[0-9A-Za-z\u00c0-\u1fff\u2080-\u2fff\u3040-\U0010ffff]+")
@@ -30,16 +30,27 @@ _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 
 
+#: Rows of text that Spark hands to a worker at a time. Its own default suits numbers: at some kB a row it takes
+#: hundreds of MB on both sides.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def lean_batches(spark: SparkSession) -> None:
+    """Hand texts to the workers in small batches, unless the deployment chose a size."""
+    if not spark.sparkContext.getConf().contains(_BATCH) and int(spark.conf.get(_BATCH)) == 10_000:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    lean_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: a lineage cut that survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    lean_batches(df.sparkSession)
+    return session.stored(df, name)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -167,29 +178,35 @@ _CLASS[ord("0") : ord("9") + 1] = _CLASS[ord("a") : ord("z") + 1] = _CLASS[ord("
 _CLASS[0x80:] = True
 
 
-def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
+#: A bitmap has at most 2**27 places: 16 MB, wherever it is sent.
+MOST_BITS = 27
+
+
+def bitmap(keys: DataFrame, most: int = MOST_BITS) -> np.ndarray:
     """A bitmap of 2**bits places with the place of every 64-bit ``key`` set.
 
-    It reaches the driver as at most 2**bits / 32 rows, so its size is fixed by
-    ``bits`` alone; with more keys it only lets more strangers through.
+    It has 16 places for each key, so one stranger in 16 is let through, but
+    2**most at most; with more keys than that it only lets more strangers
+    through. It reaches the driver as at most 2**most / 64 rows.
     """
+    bits = min(most, max(12, (16 * keys.count() - 1).bit_length()))
     place = f"shiftrightunsigned(key, {64 - bits})"
     rows = (
-        keys.select(F.expr(f"shiftright({place}, 5)").alias("word"), F.expr(f"shiftleft(1L, cast({place} & 31 as int))").alias("bit"))
+        keys.select(F.expr(f"shiftright({place}, 6)").alias("word"), F.expr(f"shiftleft(1L, cast({place} & 63 as int))").alias("bit"))
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
-        .toPandas()
+        .toArrow()
     )
-    out = np.zeros(1 << (bits - 5), dtype=np.uint32)
-    out[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).astype(np.uint32)
+    out = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return out
 
 
 def in_bitmap(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Which of the uint64 ``keys`` may be in the bitmap."""
-    bits = int(len(places)).bit_length() - 1 + 5
+    bits = int(len(places)).bit_length() - 1 + 6
     at = keys >> np.uint64(64 - bits)
-    return (places[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) == 1
+    return (places[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
 def crc32_of(doc_id: str = "doc_id"):

@@ -51,7 +51,6 @@ POOL = 1 << 13
 LEVELS = 160
 #: Rounds of comparing a bucket with one of its texts before its remaining classes are compared.
 ROUNDS = 2
-BITMAP_BITS = 26
 #: Buckets up to this size are compared pair by pair; texts of a block on either side.
 SMALL = 16
 BLOCK_A, BLOCK_B = 128, 512
@@ -217,7 +216,7 @@ def words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     The documents are read again and let through by a bitmap of fixed size, so
     texts that no pair needs are not shuffled.
     """
-    places = bitmap(wanted.select(F.col("k1").alias("key")), BITMAP_BITS)
+    places = bitmap(wanted.select(F.col("k1").alias("key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack, sent = zstandard.ZstdCompressor(level=1), set()
@@ -502,7 +501,7 @@ def representatives(docs: DataFrame) -> DataFrame:
     found = classes(docs)
     gone = found.where((F.col("class_id") != F.col("doc_id")) & F.col("k1").isNotNull()).distinct()
     gone = stored(gone.select(F.col("doc_id").alias("__d"), F.col("k1").alias("__g1"), F.col("k2").alias("__g2")), "gone")
-    places = bitmap(gone.mapInArrow(_gone_keys, "key long"), BITMAP_BITS)
+    places = bitmap(gone.mapInArrow(_gone_keys, "key long"))
     same = (F.col("doc_id").cast("long") == F.col("__d")) & (F.col("__k1") == F.col("__g1")) & (F.col("__k2") == F.col("__g2"))
     kept = _let_through(docs, places, True).join(gone, same, "left_anti")
     return _let_through(docs, places, False).unionByName(kept).drop("__k1", "__k2")

@@ -34,7 +34,7 @@ CAPACITY = 4096
 END_ID = 1
 
 #: Chunks of text whose ids a task remembers before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

@@ -38,7 +38,6 @@ MIN_WORDS = 50
 GRAM = 8
 SPREAD = 20
 PREFIX = MIN_WORDS - (SPREAD - 1)
-BITMAP_BITS = 26
 #: Bytes of text whose passages are settled together.
 PIECE = 1 << 20
 
@@ -184,7 +183,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, span, start_word, end_word (exclusive), n_words of every maximal repeated span."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = stored(_prefix_counts(docs).where("n > 1").select("key"), "prefixes")
-    found = stored(_candidates(docs, bitmap(shared, BITMAP_BITS)), "suffixes")
+    found = stored(_candidates(docs, bitmap(shared)), "suffixes")
     within = found.where("key is null").select("doc_id", "text_key", F.col("start").alias("first"), F.col("passages")[0].cast("int").alias("last"))
     across = found.where("key is not null").repartition("key").sortWithinPartitions("key").mapInArrow(_compare_neighbours, MARK)
     ends = within.unionByName(across).groupBy("doc_id", "text_key", "first").agg((F.max("last") + MIN_WORDS).alias("end"))

@@ -44,8 +44,10 @@ def test_window_hashes_by_definition():
 
 def test_bitmap_holds_its_keys(spark):
     keys = [-(1 << 63), -1, 0, 1, (1 << 63) - 1, 123456789 << 30]
-    places = bitmap(spark.createDataFrame([(k,) for k in keys], "key long"), 20)
+    places = bitmap(spark.createDataFrame([(k,) for k in keys], "key long"))
     assert in_bitmap(np.asarray(keys, dtype=np.int64).view(np.uint64), places).all()
     assert int(sum(bin(x).count("1") for x in places)) <= len(keys)
-    none = bitmap(spark.range(0).select(F.col("id").alias("key")), 12)
+    full = bitmap(spark.range(5000).select(F.xxhash64("id").alias("key")), 13)
+    assert len(full) == 1 << 7 and in_bitmap(np.asarray(keys, dtype=np.int64).view(np.uint64), full).shape == (6,)
+    none = bitmap(spark.range(0).select(F.col("id").alias("key")))
     assert not in_bitmap(np.asarray(keys, dtype=np.int64).view(np.uint64), none).any()
