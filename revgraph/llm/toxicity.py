@@ -1,15 +1,18 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine over a block-max inverted index.
 
 Terms are words and the first four and five characters of longer words (so
-that an inflected insult meets its stem). ``fit`` keeps the terms that lean
-to toxic examples by a likelihood-ratio test, takes their document
-frequencies from the whole corpus, and indexes a bounded sample of labelled
-examples, one of each group of near copies (else the chance words of a text
-that is copied often would pass for signs of its class): postings by term, and for each term and block of examples the
-largest weight. A search visits blocks by their upper bounds and stops when
-no block left can change the k nearest, so the cosines and the ranking are
-exact. Votes are weighted by the squared cosine; a logistic curve fitted on examples
-scored by an index that does not hold them makes the score a probability.
+that an inflected insult meets its stem). ``fit`` takes a bounded sample of
+labelled examples of both classes, one of each group of near copies (else the
+chance words of a text that is copied often would pass for signs of its
+class), and indexes their whole vectors: every term, by its document frequency
+in the whole corpus. A term that leans to toxic examples weighs more, by the
+square root of its likelihood ratio; none is left out. Postings give the
+scores of terms that few examples hold; for the common terms there is the
+largest weight of each in each block of examples, and a search visits blocks
+by these bounds and stops when no block left can change the k nearest, so the
+cosines and the ranking are exact. Votes are weighted by the squared cosine; a
+logistic curve fitted on examples scored by an index that does not hold them
+makes the score a probability.
 
 Defined results: a null or empty text, and any text without a term, has no
 neighbours and gets the score of zero votes; repeated rows are scored each;
@@ -24,22 +27,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revgraph.llm.common import WordBatch, mix, pieces
 from revgraph.llm.labelled import class_weights, labelled_sample, logistic, sigmoid
 
-#: Bounds of what is learned from: labelled documents a class, and terms.
+#: Labelled documents of a class that are learned from.
 PER_CLASS = 4096
-MAX_TERMS = 4096
-#: Least likelihood ratio (twice the log) of a term against no association.
-MIN_G2 = 40.0
 PREFIXES = (4, 5)
 NEIGHBOURS = 16
 #: Weight of the vote for "not toxic" that every text starts with.
 PRIOR_VOTE = 0.25
 BLOCK = 64
+#: Share of the examples from which on a term is common.
+COMMON = 0.2
 THRESHOLD = 0.7
 
 
@@ -54,28 +57,37 @@ def terms_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Vocabulary:
-    """Positions of the selected terms; most terms are refused by one look at a table of their top bits."""
+    """Positions of the indexed terms, found from a table of where the terms of each run of top bits begin."""
 
     def __init__(self, terms: np.ndarray):
-        self.terms = np.sort(terms.astype(np.uint64))
-        self.maybe = np.zeros(1 << 16, dtype=bool)
-        self.maybe[(self.terms >> np.uint64(48)).astype(np.int64)] = True
+        self.terms = np.sort(np.ascontiguousarray(terms).view(np.uint64))
+        bits = min(22, max(8, 2 + len(terms).bit_length()))
+        self.shift = np.uint64(64 - bits)
+        top = (self.terms >> self.shift).astype(np.int64)
+        self.start = np.searchsorted(top, np.arange((1 << bits) + 1)).astype(np.int32)
 
     def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term, times) triples, sorted, for the selected terms that occur."""
+        """(text, term, times) triples, sorted, for the indexed terms that occur."""
         terms, docs = terms_of(texts)
-        hit = np.flatnonzero(self.maybe[(terms >> np.uint64(48)).astype(np.int64)])
-        terms, docs = terms[hit], docs[hit]
-        at = np.minimum(np.searchsorted(self.terms, terms), max(0, len(self.terms) - 1))
-        ok = self.terms[at] == terms if len(self.terms) else np.zeros(0, bool)
-        pair, times = np.unique(docs[ok] * max(1, len(self.terms)) + at[ok], return_counts=True)
-        return pair // max(1, len(self.terms)), pair % max(1, len(self.terms)), times
-
-
-def vectors(vocabulary: Vocabulary, idf: np.ndarray, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        top = (terms >> self.shift).astype(np.int64)
+        at, end = self.start[top], self.start[top + 1]
+        place = np.full(len(terms), -1, dtype=np.int64)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            same = self.terms[at[left]] == terms[left]
+            place[left[same]] = at[left[same]]
+            at[left] += 1
+            left = left[~same & (at[left] < end[left])]
+        ok = place >= 0
+        size = max(1, len(self.terms))
+        pair, times = np.unique(docs[ok] * size + place[ok], return_counts=True)
+        return pair // size, pair % size, times
+
+
+def vectors(vocabulary: Vocabulary, worth: np.ndarray, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text its terms and their TF-IDF weights, of length 1."""
     doc, term, times = vocabulary.counts(texts)
-    weight = (1 + np.log(times)) * idf[term]
+    weight = (1 + np.log(times)) * worth[term]
     cut = np.searchsorted(doc, np.arange(len(texts) + 1))
     out = []
     for a, b in zip(cut, cut[1:]):
@@ -85,56 +97,79 @@ def vectors(vocabulary: Vocabulary, idf: np.ndarray, texts: list[str]) -> list[t
 
 
 class BlockMaxIndex:
-    """Inverted index over example vectors with the largest weight of each term in each block of examples."""
+    """Inverted index over example vectors.
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], terms: int):
+    Terms of few examples have postings, whose scores are summed in full.
+    Terms of at least ``COMMON`` of the examples are kept as rows of blocks
+    of examples, with their largest weight in each block: these bound what
+    they can add, and only blocks that may hold one of the k nearest are scored.
+    """
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], terms: int, common: float | None = None):
         # Examples led by the same term stand together, which keeps the bounds of blocks tight.
         lead = np.asarray([t[np.argmax(w)] for t, w in rows], dtype=np.int64)
         self.example = np.lexsort((np.arange(len(rows)), lead))
         sizes = np.asarray([len(rows[i][0]) for i in self.example], dtype=np.int64)
-        post = np.repeat(np.arange(len(rows)), sizes)
+        post = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
         term = np.concatenate([rows[i][0] for i in self.example]) if len(rows) else np.empty(0, np.int64)
         weight = np.concatenate([rows[i][1] for i in self.example]) if len(rows) else np.empty(0)
-        order = np.lexsort((post, term))
-        self.post, self.weight, term = post[order], weight[order], term[order]
-        self.cut = np.searchsorted(term, np.arange(terms + 1))
         self.blocks = -(-len(rows) // BLOCK)
-        self.top = np.zeros((terms, max(1, self.blocks)))
-        np.maximum.at(self.top, (term, self.post // BLOCK), self.weight)
+        often = np.bincount(term, minlength=terms) >= max(2.0, (COMMON if common is None else common) * len(rows))
+        #: Row of a common term, -1 for the others.
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        own = often[term]
+        self.dense = np.zeros((self.blocks, BLOCK, int(often.sum())))
+        self.dense[post[own] // BLOCK, post[own] % BLOCK, self.row[term[own]]] = weight[own]
+        self.top = self.dense.max(axis=1)
+        post, weight, term = post[~own], weight[~own], term[~own]
+        order = np.lexsort((post, term))
+        self.post, self.weight = post[order], weight[order]
+        self.cut = np.searchsorted(term[order], np.arange(terms + 1))
         self.visited = 0
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine above 0 (ties: smaller example) and their cosines."""
-        bound = weights @ self.top[terms]
-        todo = bound > 0
-        score = np.zeros(self.blocks * BLOCK)
-        floor, at_once = 0.0, 2
+        a, b = self.cut[terms], self.cut[terms + 1]
+        some = np.flatnonzero(b > a)
+        size = self.blocks * BLOCK
+        if len(some):
+            spans = list(zip(a[some].tolist(), b[some].tolist()))
+            own = np.concatenate([self.weight[i:j] for i, j in spans]) * np.repeat(weights[some], b[some] - a[some])
+            score = np.bincount(np.concatenate([self.post[i:j] for i, j in spans]), weights=own, minlength=size)
+        else:
+            score = np.zeros(size)
+        query = np.zeros(self.dense.shape[2])
+        row = self.row[terms]
+        query[row[row >= 0]] = weights[row >= 0]
+        blocks = score.reshape(self.blocks, BLOCK)
+        more = self.top @ query
+        # Scores only grow: the k-th largest so far is a floor, whichever blocks are still to come.
+        bound, todo = blocks.max(axis=1) + more, more > 0
+        floor, at_once = self._floor(score, k), 2
         while True:
             best = np.flatnonzero(todo & (bound * (1 + 1e-9) >= floor))
             if not len(best):
                 break
             best = best[np.argsort(-bound[best], kind="stable")[:at_once]]
-            now = np.zeros(self.blocks, dtype=bool)
-            now[best] = True
             todo[best] = False
             self.visited += len(best)
-            for t, w in zip(terms, weights):
-                a, b = self.cut[t], self.cut[t + 1]
-                own = self.post[a:b]
-                keep = now[own // BLOCK]
-                score[own[keep]] += w * self.weight[a:b][keep]
-            found = score[score > 0]
-            floor = np.partition(found, -k)[-k] if len(found) >= k else 0.0
+            for i in best.tolist():
+                blocks[i] += self.dense[i] @ query
+            floor = self._floor(score, k)
             at_once *= 4
-        hit = np.flatnonzero(score > 0)
+        hit = np.flatnonzero((score >= floor) & (score > 0))
         order = np.lexsort((self.example[hit], -score[hit]))[:k]
         return self.example[hit[order]], score[hit[order]]
 
+    @staticmethod
+    def _floor(score: np.ndarray, k: int) -> float:
+        return max(0.0, float(np.partition(score, -k)[-k])) if len(score) >= k else 0.0
+
 
 @dataclass
 class Model:
     vocabulary: Vocabulary
-    idf: np.ndarray
+    worth: np.ndarray  # of each term: idf, times its weight by the likelihood ratio
     index: BlockMaxIndex
     ids: np.ndarray
     labels: np.ndarray
@@ -228,7 +263,7 @@ def _g2(a: Column, b: Column, na: int, nb: int) -> Column:
 
 
 def corpus_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, int]:
-    """Documents of the whole corpus that hold each selected term, and the number of documents."""
+    """Documents of the whole corpus that hold each indexed term, and the number of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, rows = np.zeros(len(vocabulary.terms), dtype=np.int64), 0
@@ -239,18 +274,15 @@ def corpus_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndar
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(seen[at], rows))], names=["term", "n"])
 
-    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    out, rows = np.zeros(len(vocabulary.terms), dtype=np.int64), 0
-    for r in found:  # one row for each of at most MAX_TERMS terms
-        if r["term"] < 0:
-            rows = r["n"]
-        else:
-            out[r["term"]] = r["n"]
-    return out, rows
+    found = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row for each term of the examples
+    at, n = found.column("term").to_numpy(), found.column("n").to_numpy()
+    out = np.zeros(len(vocabulary.terms), dtype=np.int64)
+    out[at[at >= 0]] = n[at >= 0]
+    return out, int(n[at < 0].sum())
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", per_class: int = PER_CLASS, max_terms: int = MAX_TERMS) -> Model:
-    """Learn from the labelled documents that ``learn`` allows (bounds: ``per_class``, ``max_terms``)."""
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", per_class: int = PER_CLASS) -> Model:
+    """Learn from the labelled documents that ``learn`` allows, at most ``per_class`` of each class."""
     sample, totals = labelled_sample(docs, labels, label, learn, per_class)
     sample = _one_of_each(sample)
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -258,30 +290,33 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
     none = Vocabulary(np.empty(0, np.uint64))
     if not na or not nb:
         return Model(none, np.empty(0), BlockMaxIndex([], 0), np.empty(0), np.empty(0), np.zeros(2), 1.0 if na else 0.0)
-    counts = _term_counts(sample).withColumn("g2", _g2(F.col("toxic"), F.col("clean"), na, nb))
-    kept = counts.where((F.col("g2") >= MIN_G2) & (F.col("toxic") * nb > F.col("clean") * na)).orderBy(F.desc("g2"), "term").limit(max_terms)
-    vocabulary = Vocabulary(np.asarray([r["term"] for r in kept.select("term").collect()], dtype=np.int64).view(np.uint64))
+    lean = F.when(F.col("toxic") * nb > F.col("clean") * na, F.greatest(_g2(F.col("toxic"), F.col("clean"), na, nb), F.lit(0.0))).otherwise(F.lit(0.0))
+    counts = _term_counts(sample).select("term", lean.alias("g2")).toArrow()
+    vocabulary = Vocabulary(counts.column("term").to_numpy())
+    g2 = counts.column("g2").to_numpy()[np.argsort(counts.column("term").to_numpy().view(np.uint64))]
     seen, rows = corpus_frequencies(docs, vocabulary)
-    idf = np.log((1 + rows) / (1 + seen)) + 1
+    worth = (np.log((1 + rows) / (1 + seen)) + 1) * (1 + np.sqrt(g2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces(batch):
-                found = vectors(vocabulary, idf, texts)
+                found = vectors(vocabulary, worth, texts)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), part.column("label").cast(pa.int32()), pa.array([t for t, _ in found], pa.list_(pa.int64())), pa.array([w for _, w in found], pa.list_(pa.float64()))],
                     names=["doc_id", "label", "terms", "weights"],
                 )
 
-    examples = sample.mapInArrow(run, "doc_id long, label int, terms array<long>, weights array<double>").collect()  # at most 2 * per_class
-    examples.sort(key=lambda r: (r["doc_id"], r["label"], r["terms"]))
-    y = np.asarray([r["label"] for r in examples])
-    rows_ = [(np.asarray(r["terms"], dtype=np.int64), np.asarray(r["weights"])) for r in examples]
-    ids = np.asarray([r["doc_id"] for r in examples], dtype=np.int64)
+    examples = sample.mapInArrow(run, "doc_id long, label int, terms array<long>, weights array<double>").toArrow().combine_chunks()  # at most 2 * per_class rows
+    cut = np.concatenate(([0], np.cumsum(pc.list_value_length(examples.column("terms")).to_numpy())))
+    terms, weights = (pc.list_flatten(examples.column(c)).to_numpy() for c in ("terms", "weights"))
+    y, ids = (examples.column(c).to_numpy().astype(np.int64) for c in ("label", "doc_id"))
+    order = sorted(range(len(y)), key=lambda i: (ids[i], y[i], terms[cut[i] : cut[i + 1]].tolist()))
+    y, ids = y[order], ids[order]
+    rows_ = [(terms[cut[i] : cut[i + 1]], weights[cut[i] : cut[i + 1]]) for i in order]
 
     def indexed(which: np.ndarray, curve: np.ndarray) -> Model:
         own = [i for i in which if len(rows_[i][0])]
-        return Model(vocabulary, idf, BlockMaxIndex([rows_[i] for i in own], len(vocabulary.terms)), ids[own], y[own], curve)
+        return Model(vocabulary, worth, BlockMaxIndex([rows_[i] for i in own], len(vocabulary.terms)), ids[own], y[own], curve)
 
     fold = np.arange(len(y)) % 2
     votes = np.zeros(len(y))
@@ -302,7 +337,7 @@ def score(docs: DataFrame, model: Model, evidence: int = 3) -> DataFrame:
         for batch in batches:
             for part, texts in pieces(batch):
                 votes, near = np.zeros(len(texts)), []
-                for i, v in enumerate(vectors(model.vocabulary, model.idf, texts)):
+                for i, v in enumerate(vectors(model.vocabulary, model.worth, texts)):
                     votes[i], own, cosine = model.votes(v)
                     near.append([{"doc_id": int(model.ids[e]), "toxic": int(model.labels[e]), "cosine": float(c)} for e, c in zip(own[:evidence], cosine)])
                 p = model.probability(votes)
@@ -323,7 +358,7 @@ def keep(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
             for part, texts in pieces(named, f"c{at}"):
-                votes = np.asarray([model.votes(v)[0] for v in vectors(model.vocabulary, model.idf, texts)])
+                votes = np.asarray([model.votes(v)[0] for v in vectors(model.vocabulary, model.worth, texts)])
                 yield part.filter(pa.array(model.probability(votes) < THRESHOLD)).rename_columns(batch.schema.names)
 
     return docs.mapInArrow(run, docs.schema)

@@ -93,6 +93,54 @@ def test_toxicity_held_out(spark):
     assert all(0 < e["cosine"] <= 1 + 1e-9 for own in got.evidence for e in own)
 
 
+def test_toxicity_neighbours_are_those_of_whole_texts(spark, monkeypatch):
+    """Every term and every example of both classes counts: neighbours equal those from dense vectors of all terms."""
+    monkeypatch.setattr(toxicity, "_one_of_each", lambda sample: sample)
+    docs, labels = read("documents"), read("labels")
+    rows = docs.merge(labels, on="doc_id").drop_duplicates("text").groupby("toxic").head(40)
+    asked = docs[~docs.doc_id.isin(labels.doc_id)].head(60)
+    df = spark.createDataFrame([(int(i), t) for i, t in zip([*rows.doc_id, *asked.doc_id], [*rows.text, *asked.text])], "doc_id long, text string")
+    marks = spark.createDataFrame([(int(i), int(y)) for i, y in zip(rows.doc_id, rows.toxic)], "doc_id long, toxic int")
+    model = toxicity.fit(df, marks, F.lit(True))
+    own = {int(i): t for i, t in zip(rows.doc_id, rows.text)}
+    terms, _ = toxicity.terms_of(list(own.values()))
+    assert len(model.ids) == len(own) and set(np.unique(terms)) == set(model.vocabulary.terms)
+
+    def dense(text):
+        h, n = np.unique(toxicity.terms_of([text])[0], return_counts=True)
+        at = np.searchsorted(model.vocabulary.terms, h).clip(max=len(model.worth) - 1)
+        known = model.vocabulary.terms[at] == h
+        out = np.zeros(len(model.worth))
+        out[at[known]] = (1 + np.log(n[known])) * model.worth[at[known]]
+        return out / max(np.linalg.norm(out), 1e-300)
+
+    examples = {i: dense(t) for i, t in own.items()}
+    got = {r.doc_id: r.evidence for r in toxicity.score(df, model).collect()}
+    for i, t in [*zip(asked.doc_id, asked.text), *zip(rows.doc_id, rows.text)]:
+        v = dense(t)
+        best = sorted((-float(v @ e) for e in examples.values()))[:3]
+        assert [e.cosine for e in got[i]] == pytest.approx([-b for b in best if b < 0])
+        assert all(e.cosine == pytest.approx(float(v @ examples[e.doc_id])) for e in got[i])
+    assert all(got[i][0].cosine == pytest.approx(1) for i in own)
+    assert {e.toxic for own in got.values() for e in own} == {0, 1}
+
+
+@pytest.mark.parametrize("common", [0.01, 0.2, 1.0])
+def test_block_max_search_over_common_terms(common):
+    rng, rows = np.random.default_rng(5), []
+    for _ in range(400):
+        t = np.sort(rng.choice(200, 40, replace=False, p=(p := 1 / np.arange(1, 201)) / p.sum()))
+        w = rng.random(40) * (1 + t / 20)
+        rows.append((t, w / np.sqrt((w * w).sum())))
+    index, dense = toxicity.BlockMaxIndex(rows, 200, common), np.zeros((400, 200))
+    for i, (t, w) in enumerate(rows):
+        dense[i, t] = w
+    for t, w in rows[::23]:
+        near, got = index.search(t, w, 16)
+        cosine = dense[:, t] @ w
+        assert got == pytest.approx(np.sort(cosine)[::-1][:16]) and cosine[near] == pytest.approx(got)
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(2)
     terms, rows = 60, []
