@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revgraph.llm.common import WordBatch, mix, pieces
+from revgraph.llm.common import WordBatch, pieces
 from revgraph.llm.labelled import class_weights, labelled_sample, logistic, sigmoid
 
 #: Labelled documents of a class that are learned from.
@@ -211,12 +211,43 @@ def _term_counts(sample: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-#: Smallest shingle hashes by which near copies among the examples are found.
-COPY_KEYS = 6
+#: Similarity of 5-word shingles from which on an example is a copy.
+COPY = 0.8
+
+
+def first_of_copies(shingles: list[np.ndarray], labels: list[int]) -> list[int]:
+    """Positions of the sets that no kept earlier set of the same label is a copy of; every drop is checked in full.
+
+    Of two sets with a similarity of ``COPY`` or more, each has one of the
+    shingles they share among its rarest, so many as are more than a fifth.
+    """
+    every, times = np.unique(np.concatenate([np.empty(0, np.uint64), *shingles]), return_counts=True)
+    rank = np.empty(len(every), dtype=np.int64)
+    rank[np.lexsort((every, times))] = np.arange(len(every))
+    holds: dict[tuple[int, int], list[int]] = {}
+    kept, sets = [], {}
+    for i, (own, label) in enumerate(zip(shingles, labels)):
+        place = np.sort(rank[np.searchsorted(every, own)])
+        n = len(place)
+        rarest = [(label, p) for p in place[: n - int(np.ceil(COPY * n - 1e-9)) + 1].tolist()]
+        copy = False
+        for j in sorted({j for p in rarest for j in holds.get(p, ())}):
+            m = len(sets[j])
+            if min(n, m) >= COPY * max(n, m) - 1e-9:
+                both = len(np.intersect1d(place, sets[j], assume_unique=True))
+                if both >= COPY * (n + m - both) - 1e-9:
+                    copy = True
+                    break
+        if not copy:
+            kept.append(i)
+            sets[i] = place
+            for p in rarest:
+                holds.setdefault(p, []).append(i)
+    return kept
 
 
 def _one_of_each(sample: DataFrame) -> DataFrame:
-    """The sample without near copies: of documents of one label that share a smallest shingle the first by id."""
+    """The sample without the documents that are near copies of a kept one of their label with a smaller id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,32 +255,20 @@ def _one_of_each(sample: DataFrame) -> DataFrame:
                 words = WordBatch(texts)
                 h, at = words.windows(5)
                 cut = np.searchsorted(words.doc[at], np.arange(len(texts) + 1))
-                full = np.flatnonzero(np.diff(cut) > 0)
-                keys = np.zeros((len(texts), COPY_KEYS), dtype=np.uint64)
-                for k in range(COPY_KEYS):
-                    if len(full):
-                        keys[full, k] = np.minimum.reduceat(mix(h + np.uint64(k + 1)), cut[full])
-                has = np.diff(cut) > 0
-                own = [row.tolist() if ok else [] for row, ok in zip(keys.view(np.int64), has)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("label").cast(pa.int32()), pa.array(own, pa.list_(pa.int64()))], names=["doc_id", "label", "keys"])
-
-    rows = sorted(sample.mapInArrow(run, "doc_id long, label int, keys array<long>").collect())  # at most 2 * per_class
-    group = list(range(len(rows)))
-
-    def end(i: int) -> int:
-        while group[i] != i:
-            group[i] = group[group[i]]
-            i = group[i]
-        return i
-
-    seen: dict[tuple, int] = {}
-    for i, r in enumerate(rows):
-        for k, key in enumerate(r["keys"]):
-            j = end(seen.setdefault((r["label"], k, key), i))
-            group[max(end(i), j)] = min(end(i), j)
-    kept = sorted({(rows[i]["doc_id"], rows[i]["label"]) for i in range(len(rows)) if end(i) == i})
-    ids = sample.sparkSession.createDataFrame(kept, "doc_id long, label int")
-    return sample.join(F.broadcast(ids), ["doc_id", "label"])
+                own = [np.unique(h[i:j]).view(np.int64) for i, j in zip(cut, cut[1:])]
+                flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]), pa.int32()), pa.array(np.concatenate(own)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("label").cast(pa.int32()), part.column("row"), flat], names=["doc_id", "label", "row", "shingles"])
+
+    columns = sample.columns
+    sample = sample.withColumn("row", F.xxhash64("text"))
+    found = sample.mapInArrow(run, "doc_id long, label int, row long, shingles array<long>").toArrow().combine_chunks()  # at most 2 * per_class rows
+    cut = np.concatenate(([0], np.cumsum(pc.list_value_length(found.column("shingles")).to_numpy())))
+    flat = pc.list_flatten(found.column("shingles")).to_numpy().view(np.uint64)
+    rows = list(zip(*(found.column(c).to_pylist() for c in ("doc_id", "label", "row"))))
+    order = sorted(range(len(rows)), key=rows.__getitem__)
+    first = first_of_copies([flat[cut[i] : cut[i + 1]] for i in order], [rows[i][1] for i in order])
+    ids = sample.sparkSession.createDataFrame([rows[order[i]] for i in first], "doc_id long, label int, row long")
+    return sample.join(F.broadcast(ids), ["doc_id", "label", "row"]).select(*columns)
 
 
 def _g2(a: Column, b: Column, na: int, nb: int) -> Column:

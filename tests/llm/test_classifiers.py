@@ -191,3 +191,29 @@ def test_samples_are_bounded_and_logistic_fits(spark):
     x = rng.standard_normal(20_000)
     y = (rng.random(20_000) < sigmoid(2 * x - 1)).astype(int)
     assert logistic(x[:, None], y, np.ones(len(x))) == pytest.approx([2, -1], abs=0.15)
+
+
+def test_only_verified_copies_leave_the_examples(spark):
+    rng = np.random.default_rng(4)
+    words = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
+    passage, base, chain = words(40), words(200), words(100)
+    rows = [(i, " ".join(passage + words(30)), i % 2) for i in range(100)]  # half the shingles shared, none a copy
+    rows += [(100 + i, " ".join(base[:198] + words(2)), 1) for i in range(5)]  # copies of the first
+    rows += [(110 + i, " ".join(chain[9 * i :] + words(9 * i)), 0) for i in range(6)]  # each like the next, the ends not
+    rows += [(120, " ".join(base), 0), (121, "a b", 0), (122, "", 0), (123, "", 1), (7, " ".join(words(50)), 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(3)
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    kept = []
+    for i, t, y in sorted(rows):
+        own = shingles(t)
+        if not any(y == z and own and len(own & s) >= 0.8 * len(own | s) for s, z in ((shingles(u), z) for _, u, z in kept)):
+            kept.append((i, t, y))
+    got = toxicity._one_of_each(df)
+    assert got.columns == df.columns and sorted(map(tuple, got.select("doc_id", "text", "label").collect()), key=str) == sorted(kept, key=str)
+    assert len([i for i, _, _ in kept if i < 100]) == 101 and {i for i, _, _ in kept if 100 <= i < 110} == {100}
+    assert 1 < len([i for i, _, _ in kept if 110 <= i < 120]) < 6
+    assert toxicity._one_of_each(df.limit(0)).count() == 0
