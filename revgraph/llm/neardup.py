@@ -9,8 +9,9 @@ texts are linked if their weighted Jaccard similarity is at least
 ``SIMILARITY``, or the plain one is: rare words in the few places where copies
 differ must not part texts that share four shingles in five.
 
-Consistent weighted sampling takes the shingle that minimises a random value;
-two texts agree on a sample with the probability of their weighted Jaccard
+Consistent weighted sampling takes the shingle that minimises a random value,
+which is drawn from the shingle's own hash wherever it is small enough to win
+in a text of some hundred shingles or more, however many; two texts agree on a sample with the probability of their weighted Jaccard
 similarity. ``BANDS`` bands of ``ROWS`` samples make the candidates. Equal
 texts are one class from the start and only their representative goes on.
 
@@ -46,9 +47,14 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 BUCKETS = 1 << 18
 GRID = 0.1
-#: Random values of the sampling: each shingle draws one of so many rows for every sample.
-POOL = 1 << 13
 LEVELS = 160
+#: Sampling values that are not among a shingle's smallest are drawn from a table of so many rows.
+POOL = 1 << 13
+#: Weight levels of a band, each with sampling values of its own, and the share of the first band's that are drawn exactly.
+BAND = 32
+TAIL = 1 / 64
+#: Sampling values that are drawn together.
+DRAWN = 1 << 20
 #: Rounds of comparing a bucket with one of its texts before its remaining classes are compared.
 ROUNDS = 2
 #: Buckets up to this size are compared pair by pair; texts of a block on either side.
@@ -56,19 +62,58 @@ SMALL = 16
 BLOCK_A, BLOCK_B = 128, 512
 
 
+def _weight(level: np.ndarray | int) -> np.ndarray:
+    return np.exp(np.asarray(level) * GRID)
+
+
+#: End of the time in which the points of the first band are drawn exactly.
+_TAU = -np.log1p(-TAIL) / float(_weight(BAND - 1))
+
+
 def sampling_table() -> np.ndarray:
-    """Rank of the sampling value by weight level and random row, as unsigned 32-bit numbers.
+    """First point after ``_TAU`` by weight level of the first band and random row, as the bits of 32-bit floats.
 
-    For a weight w and random r, c ~ Gamma(2, 1), b ~ U(0, 1): t = floor(ln w / r + b),
-    ln a = ln c - r (t - b) - r. Equal a means equal t, so a value stands for its
-    sample of the weight too.
+    The sampling value of a weight w is the first time of a point of weight
+    at most w, of points that fall at rate one over times and weights: it is
+    exponential with rate w, and the same for two weights unless the heavier
+    has an earlier point.
     """
     rng = np.random.default_rng(20240229)
-    r, c, b = rng.gamma(2, 1, POOL), rng.gamma(2, 1, POOL), rng.random(POOL)
-    level = (np.arange(LEVELS) * GRID)[:, None]
-    a = np.log(c) - r * (np.floor(level / r + b) - b + 1)
-    _, rank = np.unique(a, return_inverse=True)
-    return rank.reshape(a.shape).astype(np.uint32)
+    rate = np.diff(_weight(np.arange(BAND)), prepend=0.0)
+    first = np.minimum.accumulate(rng.exponential(size=(BAND, POOL)) / rate[:, None], axis=0)
+    return (_TAU + first).astype(np.float32).view(np.uint32)
+
+
+def _uniform(h: np.ndarray, step: int) -> np.ndarray:
+    """Numbers between 0 and 1 from 64-bit hashes, others for each step."""
+    key = mix(np.asarray([step + 1], dtype=np.uint64))
+    return ((mix(h ^ key) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+
+
+def _first_points(h: np.ndarray, weight: np.ndarray, low: float, high: float, time: np.ndarray, end: np.ndarray | float, step: int) -> np.ndarray:
+    """First times of points with a weight of ``low`` to ``weight``; infinite from ``end`` on.
+
+    ``time`` is that of the first point below ``high``. Going on to the next
+    point of less weight until one is light enough, all draws are the same
+    for every weight.
+    """
+    out = np.full(len(h), np.inf)
+    at, time, top = np.arange(len(h)), time.copy(), np.full(len(h), high)
+    end = np.broadcast_to(end, len(h))
+    while len(at):
+        top = low + _uniform(h[at], step) * (top - low)
+        alive = time < end[at]
+        light = alive & (top <= weight[at])
+        out[at[light]] = time[light]
+        more = alive & ~light
+        at, top, time = at[more], top[more], time[more]
+        time = time - np.log(_uniform(h[at], step + 1)) / (top - low)
+        step += 2
+    return out
+
+
+def _bits(time: np.ndarray) -> np.ndarray:
+    return time.astype(np.float32).view(np.uint32).astype(np.uint64)
 
 
 _TABLE: np.ndarray | None = None
@@ -137,19 +182,45 @@ class Shingles:
         global _TABLE
         if _TABLE is None:
             _TABLE = sampling_table()
-        table, base = _TABLE.ravel(), self.level * POOL
+        table, base = _TABLE.ravel(), np.minimum(self.level, BAND - 1) * POOL
         shift, low, high = np.uint64(64 - POOL.bit_length() + 1), np.uint64(0xFFFFFFFF), np.uint64(32)
+        tail = np.uint64((round(1 / TAIL) - 1) << 40)
         full = np.flatnonzero(np.diff(self.cut) > 0)
         out = np.zeros((len(self.cut) - 1, BANDS * ROWS), dtype=np.uint64)
         if not len(full):
             return out
         odd = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
-        starts = self.cut[full]
-        for k in range(BANDS * ROWS):
-            h = self.hash * odd[k]
-            value = table[base + (h >> shift).astype(np.int64)].astype(np.uint64) << high
-            value |= (h >> np.uint64(8)) & low
-            out[full, k] = np.minimum.reduceat(value, starts)
+        starts, weight = self.cut[full], _weight(self.level)
+        heavy = [np.flatnonzero(self.level >= b) for b in range(BAND, LEVELS, BAND)]
+        together = max(1, min(BANDS * ROWS, DRAWN // len(self.hash)))
+        for k in range(0, BANDS * ROWS, together):
+            own_odd = odd[k : k + together]
+            value, early = np.empty((len(own_odd), len(self.hash)), dtype=np.uint64), []
+            for row, o in zip(value, own_odd):
+                h = self.hash * o
+                np.left_shift(table[base + (h >> shift).view(np.int64)], high, out=row, dtype=np.uint64)
+                early.append(np.flatnonzero((h & tail) == 0))
+                h >>= np.uint64(8)
+                h &= low
+                row |= h
+            sample, early = np.repeat(np.arange(len(early)), [len(e) for e in early]), np.concatenate(early)
+            own = mix(self.hash[early] * own_odd[sample] ^ own_odd[sample])
+            top = float(_weight(BAND - 1))
+            found = _first_points(own, weight[early], 0.0, top, -np.log1p(-TAIL * _uniform(own, 0)) / top, _TAU, 1)
+            hit = np.isfinite(found)
+            sample, early, found = sample[hit], early[hit], found[hit]
+            value[sample, early] = (value[sample, early] & low) | (_bits(found) << high)
+            for i, rows in enumerate(heavy, 1):
+                if not len(rows):
+                    break
+                floor, top = float(_weight(BAND * i - 1)), float(_weight(BAND * (i + 1) - 1))
+                own = (mix(self.hash[rows] * own_odd[:, None] ^ own_odd[:, None]) + mix(np.asarray([i], dtype=np.uint64))).ravel()
+                so_far = value[:, rows].ravel()
+                end = (so_far >> high).astype(np.uint32).view(np.float32)
+                found = _first_points(own, np.tile(weight[rows], len(own_odd)), floor, top, -np.log(_uniform(own, 0)) / (top - floor), end, 1)
+                value[:, rows] = np.minimum(so_far, (so_far & low) | (_bits(found) << high)).reshape(len(own_odd), -1)
+            for row, at in zip(value, range(k, k + together)):
+                out[full, at] = np.minimum.reduceat(row, starts)
         return out
 
     def bands(self) -> np.ndarray:

@@ -98,6 +98,46 @@ def test_samples_agree_as_often_as_texts_are_similar():
     assert (s[0] == s[2]).mean() < 0.1
 
 
+def _shingles(hashes, levels):
+    own = neardup.Shingles.__new__(neardup.Shingles)
+    order = [np.argsort(h) for h in hashes]
+    own.hash = np.concatenate([h[o] for h, o in zip(hashes, order)])
+    own.level = np.concatenate([v[o] for v, o in zip(levels, order)])
+    own.doc = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
+    own.cut = np.cumsum([0, *map(len, hashes)])
+    return own
+
+
+@pytest.mark.parametrize("n", [3, 300, 30_000, 1_500_000])
+def test_samples_agree_in_texts_of_any_length(n):
+    """Shingles of edited places are rarer, hence heavier; some are repeated, hence much heavier."""
+    rng = np.random.default_rng(n)
+    h = rng.integers(0, 2**63, n + 2 * (n // 10 + 1)).astype(np.uint64) * np.uint64(2)
+    level = rng.integers(14, 20, len(h))
+    level[n:] = 25
+    level[: n // 50] += 40
+    e = n // 10 + 1
+    own = _shingles([h[: n + e], np.concatenate((h[:n], h[n + e :]))], [level[: n + e], np.concatenate((level[:n], level[n + e :]))])
+    w = np.exp(level * neardup.GRID)
+    true = w[:n].sum() / w.sum()
+    s = own.samples()
+    assert abs((s[0] == s[1]).mean() - true) < 4 * (true * (1 - true) / s.shape[1]) ** 0.5 + 0.01
+
+
+def test_sampling_follows_weights():
+    rng = np.random.default_rng(1)
+    for a, b in ((0, 0), (5, 25), (20, 31), (30, 33), (31, 70), (64, 66), (100, 140)):
+        pair = [rng.integers(0, 2**63, 400).astype(np.uint64) for _ in range(2)]
+        # One shingle against another, and against itself in another weight.
+        many = _shingles([np.asarray([x, y]) for x, y in zip(*pair)], [np.asarray([a, b])] * 400)
+        wins = many.samples() & np.uint64(0xFFFFFFFF)
+        odd = neardup.mix(np.arange(1, neardup.BANDS * neardup.ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+        low = ((pair[0][:, None] * odd[None, :]) >> np.uint64(8)) & np.uint64(0xFFFFFFFF)
+        assert abs((wins == low).mean() - 1 / (1 + np.exp((b - a) * neardup.GRID))) < 0.01
+        one = [_shingles([np.asarray([x]) for x in pair[0]], [np.asarray([v])] * 400).samples() for v in (a, b)]
+        assert abs((one[0] == one[1]).mean() - np.exp((a - b) * neardup.GRID)) < 0.01
+
+
 def test_connected_components(spark):
     links = [(1, 2), (2, 3), (3, 4), (10, 11), (12, 11), (7, 6), (4, 5), (20, 21), (21, 22), (22, 23), (23, 24), (24, 20)]
     got = {r.node: r.root for r in neardup.connected(spark.createDataFrame(links, "a long, b long")).collect()}
