@@ -47,8 +47,8 @@ _letter: np.ndarray | None = None
 def _is_letter(codes: np.ndarray) -> np.ndarray:
     global _letter
     if _letter is None:
-        _letter = np.asarray([chr(c).isalpha() for c in range(0x10000)])
-    return _letter[np.minimum(codes, 0xFFFF)] | (codes > 0xFFFF)
+        _letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+    return _letter[codes]
 
 
 def ngram_places(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

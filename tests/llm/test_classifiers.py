@@ -64,6 +64,17 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in langid.identify(edge_cases(spark), nothing).collect()} == {"und"}
 
 
+def test_letters_beyond_the_first_plane():
+    """Emoji are no letters and mark no n-gram; letters of other planes are."""
+    emoji, gothic = "\U0001f600\U0001f680 \U0001f600", "\U00010330\U00010331"
+    assert langid.ngram_places([emoji, gothic, "ab"])[2].tolist() == [False, True, True]
+    assert langid.ngram_places([f"ab{emoji}"])[0].tolist() == langid.ngram_places(["ab"])[0].tolist()
+    marks = np.ones((1, 1), np.float32)
+    model = langid.Model(["a", "b"], np.zeros(langid.PLACES, int), marks, np.asarray([[1.0, 0.0]]))
+    lang, score = model.predict([emoji, gothic])
+    assert lang == ["und", "a"] and score[0] == 0.0
+
+
 def test_quality_held_out(spark):
     got = queries.op7_quality(spark, SF).toPandas().merge(read("labels"), on="doc_id")
     held = got[got.held_out]
