@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from revgraph.llm import ann, chat, decontam, langid, neardup, packing, pii, quality, substrings, toxicity
+from revgraph.llm import ann, chat, decontam, langid, neardup, packing, pii, quality, spelling, substrings, toxicity, tries, urls
 from revgraph.llm.common import crc32_of, table
 
 #: A conversation whose text holds the template's own control strings.
@@ -65,6 +65,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows.unionByName(extra)))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages")).drop("pattern")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.grafted_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_neardup": op2_neardup,
@@ -76,4 +88,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_chat_format": op10_chat_format,
+    "op11_spelling": op11_spelling,
+    "op12_url_filter": op12_url_filter,
+    "op13_prefix_trie": op13_prefix_trie,
 }
