@@ -7,7 +7,7 @@ import math
 import duckdb
 import pandas as pd
 
-TABLES = ["documents", "conversations", "embeddings", "labels", "benchmark"]
+TABLES = ["documents", "conversations", "embeddings", "labels", "benchmark", "pages"]
 
 
 def duck(sf_dir: str, sql: str) -> pd.DataFrame:
@@ -18,7 +18,7 @@ def duck(sf_dir: str, sql: str) -> pd.DataFrame:
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
     if hasattr(v, "item"):
         v = v.item()
