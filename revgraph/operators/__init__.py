@@ -17,12 +17,14 @@ from revgraph.operators.links import (
     walked_rows,
     word_edges,
 )
+from revgraph.operators.reach import category_components, paths, strongest_word_edges
 from revgraph.operators.revisions import distinct_years, flatten_revisions, latest_per_piece, latest_per_year, main_titles, page_counts
 
 __all__ = [
     "all_nodes",
     "annotate",
     "category_cliques",
+    "category_components",
     "category_degree",
     "category_link_count",
     "category_linked",
@@ -39,7 +41,9 @@ __all__ = [
     "page_counts",
     "page_features",
     "page_words",
+    "paths",
     "resolve_links",
+    "strongest_word_edges",
     "stub_nodes",
     "walked_rows",
     "word_count",

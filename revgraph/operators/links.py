@@ -123,20 +123,25 @@ def _shared_items(resolved: DataFrame, items: DataFrame, contribution: Column) -
     return shared.select(*EDGE_KEY, contribution.alias("c"))
 
 
-def _weighted_edges(pages: DataFrame, items: DataFrame, degree: Column, contribution: Column, zero) -> DataFrame:
-    """Every edge with the sum of its shared-item contributions.
+def _weighted_edges(e: DataFrame, pages: DataFrame, items: DataFrame, degree: Column, contribution: Column, zero) -> DataFrame:
+    """Every edge of ``e`` with the sum of its shared-item contributions.
 
     Each edge also enters the sum once with ``zero``, so unresolved targets
     and edges with nothing in common get weight 0 from the same aggregation
     (one shuffle, map-side combined) instead of a join back to all edges.
     """
-    e = edges(pages, degree)
     resolved = e.join(_targets(pages, degree), ["dst_key", "year"])
     shared = _shared_items(resolved, items, contribution)
     every = e.select(*EDGE_KEY, F.lit(zero).alias("c"))
     return shared.unionByName(every).groupBy(*EDGE_KEY).agg(F.sum("c").alias("weight"))
 
 
+def _with_source(edge_keys: DataFrame, pages: DataFrame, degree: Column) -> DataFrame:
+    """Edges ``src, src_key, year, dst, dst_key`` with their source page's degree."""
+    sources = _targets(pages, degree).select(F.col("dst_key").alias("src_key"), "year", F.col("dst_deg").alias("src_deg"))
+    return edge_keys.join(own_exchange(sources, "src_key", "year"), ["src_key", "year"])
+
+
 def walked_rows(pages: DataFrame, degree: Column) -> DataFrame:
     """``rows``: the item rows that the walks of all resolved edges read, sum(min(src, dst degree))."""
     resolved = edges(pages, degree).join(_targets(pages, degree), ["dst_key", "year"])
@@ -157,19 +162,35 @@ def word_items(pages: DataFrame) -> DataFrame:
     return p.select(F.col("title_key").alias("key"), "year", gen).filter(nonempty)
 
 
+def _word_ratio() -> Column:
+    n1 = F.col("v_walk").cast("double")
+    n2 = F.col("v_probe").cast("double")
+    return F.least(n1, n2) / F.greatest(n1, n2)
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """A5/G1: ``src, dst, year, weight`` with weight = number of shared links.
 
     0 when the target page is absent or nothing is shared; self-links count
     all the page's links.
     """
-    one = F.lit(1).cast("bigint")
-    return _weighted_edges(pages, link_items(pages), F.size("links"), one, 0)
+    degree = F.size("links")
+    return _weighted_edges(edges(pages, degree), pages, link_items(pages), degree, F.lit(1).cast("bigint"), 0)
 
 
 def word_edges(pages: DataFrame) -> DataFrame:
     """weight = sum over shared words of ``min(n1,n2)/max(n1,n2)`` (double)."""
-    n1 = F.col("v_walk").cast("double")
-    n2 = F.col("v_probe").cast("double")
-    ratio = F.least(n1, n2) / F.greatest(n1, n2)
-    return _weighted_edges(pages, word_items(pages), F.size("wordcount"), ratio, 0.0)
+    degree = F.size("wordcount")
+    return _weighted_edges(edges(pages, degree), pages, word_items(pages), degree, _word_ratio(), 0.0)
+
+
+def link_weights(edge_keys: DataFrame, pages: DataFrame) -> DataFrame:
+    """A5 for the given edges ``src, src_key, year, dst, dst_key`` only; ``pages`` hold their ends."""
+    degree = F.size("links")
+    return _weighted_edges(_with_source(edge_keys, pages, degree), pages, link_items(pages), degree, F.lit(1).cast("bigint"), 0)
+
+
+def word_weights(edge_keys: DataFrame, pages: DataFrame) -> DataFrame:
+    """A6 for the given edges only."""
+    degree = F.size("wordcount")
+    return _weighted_edges(_with_source(edge_keys, pages, degree), pages, word_items(pages), degree, _word_ratio(), 0.0)

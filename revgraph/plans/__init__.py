@@ -14,12 +14,14 @@ from revgraph.plans.graphs import (
     store_revisions,
     word_graph,
 )
-from revgraph.plans.views import SAMPLES, register_graph_views, run_sample
+from revgraph.plans.maintenance import update_tables
+from revgraph.plans.views import SAMPLES, ask, register_graph_views, run_sample
 
 __all__ = [
     "SAMPLES",
     "CategoryGraph",
     "Graph",
+    "ask",
     "build_graphs",
     "build_pages",
     "category_graph",
@@ -33,5 +35,6 @@ __all__ = [
     "register_graph_views",
     "run_sample",
     "store_revisions",
+    "update_tables",
     "word_graph",
 ]

@@ -18,9 +18,12 @@ from revgraph.functions.text import array_to_text, strip_markup, wordcount_text
 from revgraph.operators import (
     all_nodes,
     category_cliques,
+    category_components,
     category_degree,
     category_link_count,
+    category_linked,
     category_nodes,
+    category_partners,
     distinct_years,
     edges,
     flatten_revisions,
@@ -30,17 +33,19 @@ from revgraph.operators import (
     main_titles,
     page_counts,
     page_words,
+    paths,
     resolve_links,
+    strongest_word_edges,
     stub_nodes,
     word_count,
     word_edges,
 )
-from revgraph.plans.graphs import build_pages, checkpointed, graph_tables, store_revisions
-from revgraph.plans.views import run_sample
+from revgraph.plans.graphs import build_graphs, build_pages, checkpointed, graph_tables, load_graphs, store_revisions
+from revgraph.plans.views import ask, run_sample
 from revgraph.session import scratch_path
 from revgraph.sources.corpus import odd_dump, wiki_dump, wiki_revisions
 from revgraph.sources.dump import read_revisions, rejected_revisions, write_dump
-from revgraph.sources.store import compat_pages, pages_where, read_graph, read_pages, write_graph, write_pages
+from revgraph.sources.store import compact, compat_pages, find_pages, pages_where, read_graph, read_pages, vacuum, write_graph, write_pages
 
 REVISION_COLUMNS = ["title", "username", "year", "timestamp", "text"]
 
@@ -163,7 +168,7 @@ def _store_view(pages: DataFrame) -> DataFrame:
 
 def q_pages_round_trip(spark, sf):
     path = scratch_path(spark, "pages")
-    write_pages(_pages(spark, sf), path, mode="overwrite")
+    write_pages(build_pages(wiki_revisions(spark, sf), in_order=True), path, mode="overwrite", in_order=True)
     return _store_view(read_pages(spark, path))
 
 
@@ -187,11 +192,23 @@ def q_pages_first_write_wins(spark, sf):
 def q_pages_where(spark, sf):
     """S6/P5 over a written store: a whole year, and every year of one title in another spelling."""
     path = scratch_path(spark, "pages")
-    write_pages(_pages(spark, sf), path, mode="overwrite")
-    stored = read_pages(spark, path)
+    write_pages(build_pages(wiki_revisions(spark, sf), in_order=True), path, mode="overwrite", in_order=True)
     cols = ["title", "year", F.size("links").alias("n_links")]
-    year = pages_where(stored, year="2021").select(F.lit("year").alias("asked"), *cols)
-    return year.unionByName(pages_where(stored, title="pAgE_5").select(F.lit("title").alias("asked"), *cols))
+    year = pages_where(read_pages(spark, path), year="2021").select(F.lit("year").alias("asked"), *cols)
+    return year.unionByName(find_pages(spark, path, "pAgE_5").select(F.lit("title").alias("asked"), *cols))
+
+
+def q_store_compaction(spark, sf):
+    """Six deliveries as six batches, folded into one, one more delivery, folded again; replaced folders removed."""
+    path = scratch_path(spark, "pages")
+    rev = wiki_revisions(spark, sf)
+    part = F.floor(F.col("doc_id") / 4) % 7
+    for i in range(7):
+        store_revisions(rev.filter(part == i), path, batch=f"delivery-{i}")
+        if i >= 5:
+            compact(spark, path)
+    vacuum(spark, path)
+    return _store_view(read_pages(spark, path))
 
 
 def q_compat_pages(spark, sf):
@@ -291,13 +308,15 @@ def q_graph_round_trip(spark, sf):
 
 
 def q_graph_merge(spark, sf):
-    """Edges and nodes of January's pages, then those of all pages merged in, twice: the first of each key stays."""
-    path = scratch_path(spark, "graph")
+    """Two thirds of January's pages, stored and made into graphs; then the others, to which many of the first
+    link, merged in, and once more with nothing new."""
+    base = scratch_path(spark, "graph")
     january = wiki_revisions(spark, sf).filter(F.substring("timestamp", 6, 2) == "01")
-    for pages in (checkpointed(build_pages(january)), *[_graph_pages(spark, sf, words=True)] * 2):
-        tables = graph_tables(pages)
-        write_graph({name: tables[name] for name in ("nodes", "edges")}, path, mode="merge")
-    return _graph_rows(read_graph(spark, path, ["nodes", "edges"]))
+    late = F.floor(F.col("doc_id") / 4) % 3 == 1
+    for delivery in (january.filter(~late), january.filter(late), january.limit(0)):
+        store_revisions(delivery, f"{base}/store")
+        build_graphs(spark, f"{base}/store", f"{base}/graph", mode="merge")
+    return _graph_rows(load_graphs(spark, f"{base}/graph"))
 
 
 def _views(spark, sf):
@@ -318,6 +337,29 @@ def q_top_edges(spark, sf):
     return run_sample(spark, "top_edges", {"edges": link_edges(_graph_pages(spark, sf))}, k=10)
 
 
+def q_top_word_edges(spark, sf):
+    """The strongest word edges, found without walking those that cannot be among them."""
+    return strongest_word_edges(_graph_pages(spark, sf, words=True), 10)[0].select("year", "rank", "src", "dst", "weight")
+
+
+def q_link_paths(spark, sf):
+    """Pages up to four links away from page 1, and those that reach page 5 by up to two."""
+    p = _graph_pages(spark, sf)
+    e = edges(p).select("src", "dst", "year")
+    page = lambda n: p.where(F.col("title_key") == f"page_{n}").select("title_key", "year")
+    out = paths(e, page(1), 4).withColumn("direction", F.lit("out"))
+    return out.unionByName(paths(e, page(5), 2, "in").withColumn("direction", F.lit("in")))
+
+
+def q_stored_graph_question(spark, sf):
+    """Graph tables written, opened as views and asked in SQL."""
+    path = scratch_path(spark, "graph")
+    write_graph(graph_tables(_graph_pages(spark, sf, words=True)), path)
+    return ask(spark, path, """
+        SELECT n.year, n.is_stub, COUNT(DISTINCT n.title) AS n_targets, COUNT(e.src) AS n_links
+        FROM {nodes} n JOIN {edges} e ON e.dst = n.title AND e.year = n.year GROUP BY n.year, n.is_stub""")
+
+
 # --------------------------------------------------------------- categories
 
 def q_category_nodes(spark, sf):
@@ -343,6 +385,28 @@ def q_category_degree(spark, sf):
     return category_degree(nodes, category_cliques(nodes))
 
 
+def q_category_partners(spark, sf):
+    """Who shares a category with pages 1 and 20."""
+    nodes = checkpointed(category_nodes(_pages(spark, sf)))
+    asked = nodes.where(F.col("title").isin("page 1", "page 20")).select("title", "year")
+    return category_partners(nodes, asked)
+
+
+def q_category_linked(spark, sf):
+    """The categories that the two ends of each link share."""
+    p = _graph_pages(spark, sf)
+    pairs = edges(p).select(F.col("src").alias("a"), F.col("dst").alias("b"), "year")
+    return category_linked(category_nodes(p), pairs)
+
+
+def q_category_components(spark, sf):
+    """Components by all memberships of pages in categories, and by an eighth of them, which leaves more than one."""
+    nodes = checkpointed(category_nodes(_pages(spark, sf)))
+    some = nodes.where(F.substring(F.md5(F.concat("title", F.lit(" "), "category").cast("binary")), 1, 1).isin("0", "1"))
+    both = category_components(nodes).withColumn("of", F.lit("all"))
+    return both.unionByName(category_components(some).withColumn("of", F.lit("some")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_revisions": q_flatten_revisions,
     "xml_round_trip": q_xml_round_trip,
@@ -362,6 +426,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pages_round_trip": q_pages_round_trip,
     "pages_first_write_wins": q_pages_first_write_wins,
     "pages_where": q_pages_where,
+    "store_compaction": q_store_compaction,
     "compat_pages": q_compat_pages,
     "streaming_ingest": q_streaming_ingest,
     "resolve_links": q_resolve_links,
@@ -377,9 +442,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "out_degree": q_out_degree,
     "neighbours": q_neighbours,
     "top_edges": q_top_edges,
+    "top_word_edges": q_top_word_edges,
+    "link_paths": q_link_paths,
+    "stored_graph_question": q_stored_graph_question,
     "category_nodes": q_category_nodes,
     "category_nodes_all": q_category_nodes_all,
     "category_edges": q_category_edges,
     "category_link_count": q_category_link_count,
     "category_degree": q_category_degree,
+    "category_partners": q_category_partners,
+    "category_linked": q_category_linked,
+    "category_components": q_category_components,
 }

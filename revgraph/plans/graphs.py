@@ -18,9 +18,10 @@ from revgraph.operators.annotate import annotate
 from revgraph.operators.categories import category_cliques, category_nodes
 from revgraph.operators.links import all_nodes, link_edges, walked_rows, word_edges
 from revgraph.operators.revisions import latest_per_piece, latest_per_year, main_titles
+from revgraph.plans.maintenance import update_tables
 from revgraph.session import size_shuffle_for, stored
-from revgraph.sources.dump import REJECT, block_titles, parse_revisions, read_chunks, with_titles
-from revgraph.sources.store import compat_pages, read_graph, read_pages, unstored, write_graph, write_json_by_year, write_pages
+from revgraph.sources.dump import REJECT, parse_revisions, read_chunks, split_ends, with_titles
+from revgraph.sources.store import clustered, committed, compat_pages, graph_stored, new_batch, read_graph, read_pages, unstored, write_batch, write_graph, write_json_by_year
 
 
 @dataclass
@@ -35,8 +36,8 @@ class CategoryGraph:
     cliques: DataFrame
 
 
-def build_pages(revisions: DataFrame, only_main: bool = True) -> DataFrame:
-    """Flat revisions -> year-pages (latest revision, annotated).
+def build_pages(revisions: DataFrame, only_main: bool = True, in_order: bool = False) -> DataFrame:
+    """Flat revisions -> year-pages (latest revision, annotated), if asked in the order of the store.
 
     The namespace test gives the same answer for every revision of a page
     key (case and space/underscore do not change whether a ``:`` is followed
@@ -45,7 +46,8 @@ def build_pages(revisions: DataFrame, only_main: bool = True) -> DataFrame:
     """
     if only_main:
         revisions = main_titles(revisions)
-    return annotate(latest_per_year(revisions))
+    latest = latest_per_year(revisions)
+    return annotate(clustered(latest) if in_order else latest)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -53,34 +55,51 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return stored(df, "pages")
 
 
-def store_revisions(revisions: DataFrame, store_path: str, fmt: str = "parquet") -> None:
+def _store_latest(latest: DataFrame, store_path: str, fmt: str, batch: str, rejects: int = 0) -> None:
+    """Add the pages of stored latest revisions that the store lacks, as one batch.
+
+    Pages already stored are dropped on the window's own key, and the rest is
+    put in the store's order, before any text work.
+    """
+    pages = annotate(clustered(unstored(latest, store_path, fmt)))
+    write_batch(pages, store_path, batch, fmt, rejects=rejects, in_order=True)
+
+
+def store_revisions(revisions: DataFrame, store_path: str, fmt: str = "parquet", batch: str | None = None) -> None:
     """Add the pages of ``revisions`` that are not stored yet.
 
-    Pages already stored are dropped on the window's own key before any text
-    work. The latest revisions are stored in between, so neither finding their
+    The latest revisions are stored in between, so neither finding their
     years nor a lost executor reads the revisions again.
     """
     latest = stored(latest_per_year(main_titles(revisions)), "latest")
-    write_pages(annotate(unstored(latest, store_path, fmt)), store_path, fmt=fmt, mode="append")
+    _store_latest(latest, store_path, fmt, batch or new_batch())
 
 
-def ingest_chunks(chunks: DataFrame, store_path: str, fmt: str = "parquet") -> int:
+def ingest_chunks(chunks: DataFrame, store_path: str, fmt: str = "parquet", batch: str | None = None) -> int:
     """Dump text in revision-sized chunks -> year-page store; returns the number of rejected revisions.
 
     Each page is cut down to its latest revision per year and block before its
     title is known everywhere: revisions at a block's start wait under the
     block's name, then get the title of the page open there. What could not be
-    read goes to ``<store>_rejects``, as JSON.
+    read goes to ``<store>_rejects/batch=<name>``, as JSON.
+
+    A named ``batch`` may be run again after a failure at any step: its folders
+    are overwritten until its commit, the last step, and after it nothing is
+    done but to return the number that the commit recorded.
     """
-    heads = stored(block_titles(chunks), "block-titles")
+    spark, batch = chunks.sparkSession, batch or new_batch()
+    done = committed(spark, store_path, batch)
+    if done:
+        return done["rejects"]
     pieces = stored(latest_per_piece(parse_revisions(chunks)), "pieces")
-    revisions = with_titles(pieces, heads)
-    good = revisions.where("reject_reason IS NULL").withColumn("pos", F.struct("block", "row"))
-    store_revisions(good.select("title", "username", "year", "timestamp", "text", "pos"), store_path, fmt)
+    revisions = with_titles(*split_ends(pieces))
     rejects = stored(revisions.where("reject_reason IS NOT NULL").select(*REJECT), "rejects")
     n = rejects.count()
     if n:
-        rejects.write.mode("append").json(f"{store_path.rstrip('/')}_rejects")
+        rejects.write.mode("overwrite").json(f"{store_path.rstrip('/')}_rejects/batch={batch}")
+    good = revisions.where("reject_reason IS NULL").withColumn("pos", F.struct("block", "row"))
+    latest = stored(latest_per_year(main_titles(good.select("title", "username", "year", "timestamp", "text", "pos"))), "latest")
+    _store_latest(latest, store_path, fmt, batch, n)
     return n
 
 
@@ -127,10 +146,17 @@ def build_graphs(
 ) -> None:
     """The graph jobs over a stored year-page table, written as graph tables.
 
+    ``mode="merge"`` brings tables that are there already up to date: only
+    edges that pages stored since touch are walked (``plans.maintenance``).
     The widest shuffle is that of the word walks; unless the deployment set a
     number of shuffle partitions, it follows from the rows they read.
     """
     pages = read_pages(spark, store_path, fmt)
+    if mode == "merge":
+        if graph_stored(spark, graph_path):
+            update_tables(spark, pages, graph_path, include_uncategorised)
+            return
+        mode = "overwrite"
     size_shuffle_for(spark, lambda: walked_rows(pages, F.size("wordcount")).first()["rows"] * WALKED_ROW_BYTES)
     write_graph(graph_tables(pages, include_uncategorised), graph_path, mode=mode)
 

@@ -206,23 +206,17 @@ n_{tag} AS (
 )"""
 
 
-GRAPH_MERGE = (
-    "WITH" + CORPUS + ","
-    + latest("latest_jan", "(SELECT * FROM rev WHERE substr(ts, 6, 2) = '01')") + ","
-    + pages("pg_jan", "latest_jan") + ","
-    + latest("latest_all", "rev") + ","
-    + pages("pg_all", "latest_all") + ","
-    + _graph_of("pg_jan", "jan") + "," + _graph_of("pg_all", "all")
-    + f"""
-SELECT 'edges' AS tbl, year, src AS a, dst AS b, {EDGE_NAME} AS name, weight AS x, CAST(NULL AS DOUBLE) AS y FROM (
-  SELECT * FROM w_jan
-  UNION ALL SELECT * FROM w_all l WHERE NOT EXISTS (SELECT 1 FROM w_jan j WHERE j.src = l.src AND j.dst = l.dst AND j.year = l.year)) t
-UNION ALL
-SELECT 'nodes', year, title, NULL, NULL, CAST(is_stub AS DOUBLE), NULL FROM (
-  SELECT * FROM n_jan
-  UNION ALL SELECT * FROM n_all l WHERE NOT EXISTS (SELECT 1 FROM n_jan j WHERE j.title = l.title AND j.year = l.year)) t
-"""
-)
+# Every graph table of the pages in a common table expression ``pg``.
+GRAPH_ROWS = f"""
+        SELECT 'nodes' AS tbl, year, title AS a, NULL AS b, NULL AS name, CAST(is_stub AS DOUBLE) AS x, NULL AS y FROM nodes
+        UNION ALL SELECT 'edges', year, src, dst, {EDGE_NAME}, weight, NULL FROM link_w
+        UNION ALL SELECT 'word_edges', e.year, e.src, e.dst, 'has_link_to', round(coalesce(w.weight, 0.0), 6), NULL
+          FROM edges e LEFT JOIN word_w w ON w.src = e.src AND w.dst = e.dst AND w.year = e.year
+        UNION ALL SELECT 'category_nodes', year, title, category, NULL, NULL, NULL FROM cat_nodes
+        UNION ALL SELECT 'cliques', year, category, NULL, NULL, count(*), (count(*) * (count(*) - 1)) / 2 FROM cat_nodes GROUP BY year, category"""
+
+# The graphs of January's pages, built at once.
+GRAPH_MERGE = BASE.replace(latest("latest", "rev"), latest("latest", "(SELECT * FROM rev WHERE substr(ts, 6, 2) = '01')")) + GRAPH_ROWS
 
 FLAT = "WITH" + CORPUS + "\nSELECT title, username, year, ts AS \"timestamp\", text FROM rev"
 
@@ -255,6 +249,8 @@ SQL: dict[str, str] = {
     "pages_first_write_wins": FIRST_WRITE_WINS,
     "pages_where": BASE + """SELECT 'year' AS asked, title, year, CAST(len(links) AS INT) AS n_links FROM pg WHERE year = '2021'
         UNION ALL SELECT 'title' AS asked, title, year, CAST(len(links) AS INT) AS n_links FROM pg WHERE title_key = 'page_5'""",
+    "store_compaction": BASE + "SELECT title, year, " + _text("links") + " AS links_text, "
+                        + _text("categories") + " AS categories_text, " + _wordcount_text("wc", "pg") + " AS wordcount_text FROM pg",
     "compat_pages": BASE + 'SELECT title AS "Title", year AS "Year", ' + _text("links") + ' AS "Links", '
                     + _text("categories") + ' AS "Categories", ' + _wordcount_text("wc", "pg") + ' AS "Wordcount" FROM pg',
     "streaming_ingest": STREAMING_INGEST,
@@ -275,13 +271,7 @@ SQL: dict[str, str] = {
                        + _sql_safe("title", "category") + " AS category_text, "
                        + _sql_safe("title", "category_label") + " AS category_label, "
                        + "'_' || " + _sql_safe("title", "category_page") + " AS category_page FROM nodes",
-    "graph_round_trip": BASE + f"""
-        SELECT 'nodes' AS tbl, year, title AS a, NULL AS b, NULL AS name, CAST(is_stub AS DOUBLE) AS x, NULL AS y FROM nodes
-        UNION ALL SELECT 'edges', year, src, dst, {EDGE_NAME}, weight, NULL FROM link_w
-        UNION ALL SELECT 'word_edges', e.year, e.src, e.dst, 'has_link_to', round(coalesce(w.weight, 0.0), 6), NULL
-          FROM edges e LEFT JOIN word_w w ON w.src = e.src AND w.dst = e.dst AND w.year = e.year
-        UNION ALL SELECT 'category_nodes', year, title, category, NULL, NULL, NULL FROM cat_nodes
-        UNION ALL SELECT 'cliques', year, category, NULL, NULL, count(*), (count(*) * (count(*) - 1)) / 2 FROM cat_nodes GROUP BY year, category""",
+    "graph_round_trip": BASE + GRAPH_ROWS,
     "graph_merge": GRAPH_MERGE,
     "out_degree": BASE + """SELECT n.title, n.year, count(e.dst) AS out_degree
         FROM nodes n LEFT JOIN link_w e ON e.src = n.title AND e.year = n.year GROUP BY n.title, n.year""",
@@ -292,6 +282,33 @@ SQL: dict[str, str] = {
         SELECT year, src, dst, weight,
                CAST(row_number() OVER (PARTITION BY year ORDER BY weight DESC, src, dst) AS INT) AS "rank"
         FROM link_w) t WHERE "rank" <= 10""",
+    "top_word_edges": BASE + """SELECT year, "rank", src, dst, weight FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY year ORDER BY weight DESC, src, dst) AS INT) AS "rank"
+        FROM (SELECT e.src, e.dst, e.year, round(coalesce(w.weight, 0.0), 6) AS weight
+              FROM edges e LEFT JOIN word_w w ON w.src = e.src AND w.dst = e.dst AND w.year = e.year) r) t WHERE "rank" <= 10""",
+    "link_paths": BASE.replace("WITH", "WITH RECURSIVE", 1) + """, out_walk AS (
+          SELECT title_key, year, 0 AS hops FROM pg WHERE title_key = 'page_1'
+          UNION SELECT e.dst_key, e.year, w.hops + 1 FROM out_walk w JOIN edges e ON e.src_key = w.title_key AND e.year = w.year WHERE w.hops < 4),
+        in_walk AS (
+          SELECT title_key, year, 0 AS hops FROM pg WHERE title_key = 'page_5'
+          UNION SELECT e.src_key, e.year, w.hops + 1 FROM in_walk w JOIN edges e ON e.dst_key = w.title_key AND e.year = w.year WHERE w.hops < 2)
+        SELECT title_key, year, CAST(min(hops) AS INT) AS hops, 'out' AS direction FROM out_walk GROUP BY title_key, year
+        UNION ALL SELECT title_key, year, CAST(min(hops) AS INT), 'in' FROM in_walk GROUP BY title_key, year""",
+    "stored_graph_question": BASE + """SELECT n.year, n.is_stub, count(DISTINCT n.title) AS n_targets, count(*) AS n_links
+        FROM nodes n JOIN edges e ON e.dst = n.title AND e.year = n.year GROUP BY ALL""",
+    "category_partners": BASE + """SELECT a.title, a.year, a.category, b.title AS partner FROM cat_nodes a JOIN cat_nodes b
+        ON a.category = b.category AND a.year = b.year AND a.title <> b.title WHERE a.title IN ('page 1', 'page 20')""",
+    "category_linked": BASE + """SELECT e.src AS a, e.dst AS b, e.year, x.category FROM edges e
+        JOIN cat_nodes x ON x.title = e.src AND x.year = e.year
+        JOIN cat_nodes y ON y.title = e.dst AND y.year = e.year AND y.category = x.category WHERE e.src <> e.dst""",
+    "category_components": BASE.replace("WITH", "WITH RECURSIVE", 1) + """, member AS (
+          SELECT 'all' AS of, title, year, category FROM cat_nodes
+          UNION ALL SELECT 'some', title, year, category FROM cat_nodes WHERE substr(md5(title || ' ' || category), 1, 1) IN ('0', '1')),
+        reach AS (
+          SELECT of, title, year, title AS other FROM member
+          UNION SELECT r.of, r.title, r.year, b.title FROM reach r
+          JOIN member a ON a.of = r.of AND a.title = r.other AND a.year = r.year JOIN member b ON b.of = a.of AND b.category = a.category AND b.year = a.year)
+        SELECT of, title, year, min(other) AS component FROM reach GROUP BY of, title, year""",
     "category_nodes": BASE + "SELECT title, year, category FROM cat_nodes",
     "category_nodes_all": BASE + """, every AS (
           SELECT title, year, category FROM cat_nodes

@@ -10,6 +10,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revgraph.sources.store import read_graph
+
 # Outgoing edges per node; stubs and pages without links get 0.
 OUT_DEGREE = """
 SELECT n.title, n.year, COALESCE(e.out_degree, 0) AS out_degree
@@ -59,3 +61,11 @@ def run_sample(spark: SparkSession, name: str, tables: dict[str, DataFrame], **p
     analysed, so nothing stays registered in the session.
     """
     return spark.sql(SAMPLES[name], **tables, **params)
+
+
+def ask(spark: SparkSession, graph_path: str, question: str, fmt: str = "parquet", **params) -> DataFrame:
+    """A question to stored graphs: the name of a sample or SQL text with ``{nodes}``, ``{edges}``, ``{word_edges}``,
+    ``{category_nodes}`` and ``{cliques}`` in the place of tables."""
+    text = SAMPLES.get(question, question)
+    tables = {name: df for name, df in read_graph(spark, graph_path, fmt=fmt).items() if "{" + name + "}" in text}
+    return spark.sql(text, **tables, **params)

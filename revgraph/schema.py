@@ -57,6 +57,31 @@ PAGE = StructType(
     ]
 )
 
+# A page as the store keeps it: with its key, so that lookups are pushed to the scan.
+STORED_PAGE = StructType([StructField("title_key", StringType()), *PAGE.fields])
+
+# One row for each batch whose pages count, written last; a batch may replace others.
+COMMIT = StructType(
+    [
+        StructField("batch", StringType()),
+        StructField("replaces", ArrayType(StringType())),
+        StructField("pages", LongType()),
+        StructField("rejects", LongType()),
+    ]
+)
+
+# The range of title keys in each file of the store.
+KEY_RANGE = StructType(
+    [
+        StructField("year", StringType()),
+        StructField("file", StringType()),
+        StructField("low", StringType()),
+        StructField("high", StringType()),
+        StructField("n", LongType()),
+        StructField("batch", StringType()),
+    ]
+)
+
 # Graph tables.
 NODE = StructType(
     [

@@ -8,9 +8,10 @@ a NULL username, leading white space of the text is kept (it decides whether a
 token is a stop word).
 
 A page's title stands before its first revision only. Within a block it is
-carried forward in the order of the file; revisions at the start of a block
-get the title of the page open at the end of the blocks before, from a table
-with one row per block.
+carried forward in the order of the file. The same pass adds one row for each
+block with the title open at its end; once the pass is stored, revisions at the
+start of a block get the title open at the end of the blocks before from those
+rows. So the text of a dump is read once.
 
 What cannot be parsed is not lost: ``parse_revisions`` keeps it with a
 ``reject_reason``, ``read_revisions`` returns the good rows and
@@ -74,20 +75,36 @@ def _head(value: Column) -> Column:
 
 
 def _carry_titles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fill the title forward within each block; rows come in the order of the file."""
-    last: dict[tuple[str, int], str | None] = {}
+    """Fill the title forward within each block, keep revisions, and close each block with a row of its last title.
+
+    Rows come in the order of the file.
+    """
+    now, known, schema = None, None, None
+
+    def block_end() -> pa.RecordBatch:
+        own = {"file": now[0], "block": now[1], "row": -1, "title": known, "text": "", "kind": BLOCK_END}
+        return pa.RecordBatch.from_arrays([pa.array([own.get(f.name)], f.type) for f in schema], schema=schema)
+
     for batch in batches:
+        schema = batch.schema
         file, block = batch.column("file").to_pylist(), batch.column("block").to_pylist()
         cuts = [0, *(i for i in range(1, len(file)) if (file[i], block[i]) != (file[i - 1], block[i - 1])), len(file)] if file else []
-        parts = []
         for a, b in zip(cuts, cuts[1:]):
-            known = last.get((file[a], block[a]))
-            own = pc.fill_null_forward(pa.concat_arrays([pa.array([known], pa.string()), batch.column("title").slice(a, b - a)]))
-            last = {(file[a], block[a]): own[-1].as_py()}
-            parts.append(own.slice(1))
-        if parts:
-            at = batch.schema.get_field_index("title")
-            yield batch.set_column(at, "title", pa.concat_arrays(parts))
+            if now != (file[a], block[a]):
+                if now is not None:
+                    yield block_end()
+                now, known = (file[a], block[a]), None
+            part = batch.slice(a, b - a)
+            title = pc.fill_null_forward(pa.concat_arrays([pa.array([known], pa.string()), part.column("title")]))
+            known = title[-1].as_py()
+            part = part.set_column(schema.get_field_index("title"), schema.field("title"), title.slice(1))
+            yield part.filter(pc.equal(part.column("kind"), REVISION))
+    if now is not None:
+        yield block_end()
+
+
+#: Kinds of rows of a parsed dump; chunks that hold no revision may still open a page.
+REVISION, NO_REVISION, BLOCK_END = "revision", "no revision", "block end"
 
 
 def parse_revisions(chunks: DataFrame) -> DataFrame:
@@ -95,12 +112,16 @@ def parse_revisions(chunks: DataFrame) -> DataFrame:
 
     ``title`` is NULL for revisions of a page that began in an earlier block.
     A revision that cannot be parsed keeps its XML in ``record``, besides the
-    fields that stand before the fault.
+    fields that stand before the fault. Each block ends with a row whose
+    ``reject_reason`` is ``BLOCK_END`` and whose title is the one open there.
     """
     value = F.col("value")
     record = F.concat(F.lit("<revision"), F.substring_index(value, "<revision", -1), F.lit(SEPARATOR))
     schema = "timestamp string, contributor struct<username:string>, text string, _corrupt_record string"
-    rows = chunks.where(value.contains("<revision")).select(*PLACE, _head(value).alias("title"), F.from_xml(record, schema, XML).alias("r"))
+    held = value.contains("<revision")
+    rows = chunks.select(
+        *PLACE, _head(value).alias("title"), F.when(held, REVISION).otherwise(NO_REVISION).alias("kind"), F.when(held, F.from_xml(record, schema, XML)).alias("r")
+    )
     flat = rows.select(
         *PLACE, "title",
         F.col("r.contributor.username").alias("username"),
@@ -108,21 +129,20 @@ def parse_revisions(chunks: DataFrame) -> DataFrame:
         F.col("r.timestamp").alias("timestamp"),
         F.coalesce("r.text", F.lit("")).alias("text"),
         F.col("r._corrupt_record").alias("record"),
+        "kind",
     )
     carried = flat.mapInArrow(_carry_titles, flat.schema)
-    reason = F.when(F.col("record").isNotNull(), "malformed revision").when(F.col("title") == _UNREADABLE, "page without a readable title")
-    reason = reason.when(F.col("year").isNull(), "revision without a timestamp")
-    return carried.withColumn("reject_reason", reason)
-
+    reason = F.when(F.col("kind") == BLOCK_END, BLOCK_END).when(F.col("record").isNotNull(), "malformed revision")
+    reason = reason.when(F.col("title") == _UNREADABLE, "page without a readable title").when(F.col("year").isNull(), "revision without a timestamp")
+    return carried.withColumn("reject_reason", reason).drop("kind")
 
-def block_titles(chunks: DataFrame) -> DataFrame:
-    """``file, block, open_title``: the page open at the start of each block.
 
-    One row per block, found by a scan that parses page heads only.
-    """
-    last = chunks.select(*PLACE, _head(F.col("value")).alias("title")).groupBy("file", "block").agg(F.max_by("title", F.when(F.col("title").isNotNull(), F.col("row"))).alias("last"))
+def split_ends(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The revisions of a parsed (and stored) dump, and ``file, block, open_title``: the page open at the start of each block."""
+    ended = F.col("reject_reason") == BLOCK_END
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return last.select("file", "block", F.last("last", ignorenulls=True).over(before).alias("open_title"))
+    ends = parsed.where(ended).select("file", "block", F.last("title", ignorenulls=True).over(before).alias("open_title"))
+    return parsed.where(F.coalesce(~ended, F.lit(True))), ends
 
 
 def with_titles(revisions: DataFrame, heads: DataFrame) -> DataFrame:
@@ -133,14 +153,13 @@ def with_titles(revisions: DataFrame, heads: DataFrame) -> DataFrame:
     return out.select(*PLACE, F.when(title != _UNREADABLE, title).alias("title"), *[c for c in revisions.columns if c not in (*PLACE, "title", "reject_reason")], reason.alias("reject_reason"))
 
 
-def _all_revisions(spark: SparkSession, paths) -> DataFrame:
-    chunks = read_chunks(spark, paths)
-    return with_titles(parse_revisions(chunks), stored(block_titles(chunks), "block-titles"))
-
-
 def read_revisions(spark: SparkSession, paths) -> DataFrame:
-    """One row per revision: ``title, username, year, timestamp, text, pos``; ``pos`` orders a page's revisions."""
-    good = _all_revisions(spark, paths).where("reject_reason IS NULL")
+    """One row per revision: ``title, username, year, timestamp, text, pos``; ``pos`` orders a page's revisions.
+
+    The parsed revisions are stored once, so the dump is read once.
+    """
+    parsed = stored(parse_revisions(read_chunks(spark, paths)), "revisions")
+    good = with_titles(*split_ends(parsed)).where("reject_reason IS NULL")
     return good.select("title", "username", "year", "timestamp", "text", F.struct("block", "row").alias("pos"))
 
 
@@ -148,8 +167,13 @@ REJECT = ["file", "block", "title", "timestamp", "record", "reject_reason"]
 
 
 def rejected_revisions(spark: SparkSession, paths) -> DataFrame:
-    """What ``read_revisions`` leaves out, with the reason and, if it could not be parsed, the XML."""
-    return _all_revisions(spark, paths).where("reject_reason IS NOT NULL").select(*REJECT)
+    """What ``read_revisions`` leaves out, with the reason and, if it could not be parsed, the XML.
+
+    Stored in between are only rejected revisions and those that wait for a title, without their text.
+    """
+    parsed = parse_revisions(read_chunks(spark, paths)).where(F.col("reject_reason").isNotNull() | F.col("title").isNull())
+    waiting = stored(parsed.drop("text"), "rejects")
+    return with_titles(*split_ends(waiting)).where("reject_reason IS NOT NULL").select(*REJECT)
 
 
 def write_dump(pages: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -4,13 +4,16 @@ The original job walks the files of its input folder one after the other and
 skips every (year, page) already written. Here the folder is a file stream:
 Spark tracks which files were processed in the stream's checkpoint, each
 micro-batch runs the batch plan (parse -> latest per year -> annotate) and
-appends only pages not yet in the store. A retried batch finds its own pages
-already stored and adds nothing, so a lost executor or a restart cannot
-duplicate a page.
+adds only pages not yet in the store. A micro-batch is stored under the names
+of its stream and number and committed last: retried, it overwrites what it had
+begun, and once committed it does nothing, so neither pages nor rejected
+revisions are lost or doubled by a restart.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +22,11 @@ from revgraph.session import scratch_path
 from revgraph.sources.dump import numbered, stream_chunks
 
 
+def stream_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The stream's own id, which Spark keeps in its checkpoint: the same after a restart, another for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint_path.rstrip('/')}/metadata").first()["value"])["id"]
+
+
 def ingest_stream(
     spark: SparkSession,
     dump_path: str,
@@ -39,7 +47,8 @@ def ingest_stream(
     checkpoint_path = checkpoint_path or scratch_path(spark, "ingest-stream")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        ingest_chunks(numbered(batch), store_path, fmt)
+        stream = stream_id(batch.sparkSession, checkpoint_path)
+        ingest_chunks(numbered(batch), store_path, fmt, batch=f"stream-{stream}-{batch_id}")
 
     writer = stream_chunks(spark, dump_path, max_files_per_trigger).writeStream.foreachBatch(write_batch)
     writer = writer.option("checkpointLocation", checkpoint_path)
