@@ -159,6 +159,10 @@ def _email(m: re.Match, move: Move) -> str | None:
     return _by_alphabets(head, alphabets, move, "email" + _shape(head, alphabets)) + dot + top
 
 
+#: Characters of a key or password that are permuted as one number.
+SECRET_BLOCK = 512
+
+
 def _secret(m: re.Match, move: Move) -> str | None:
     """A key or password: hexadecimal values stay hexadecimal, others keep the class of each character."""
     name, value = m.group("name") or "", m.group("value") or m.group("aws")
@@ -170,7 +174,11 @@ def _secret(m: re.Match, move: Move) -> str | None:
         alphabets = [HEX] * len(value)
     else:
         alphabets = [_class_of(c) for c in value]
-    return name + _by_alphabets(value, alphabets, move, "secret" + _shape(value, alphabets))
+    out = name
+    for i in range(0, len(value), SECRET_BLOCK):  # of any length, in blocks
+        part, own = value[i : i + SECRET_BLOCK], alphabets[i : i + SECRET_BLOCK]
+        out += _by_alphabets(part, own, move, "secret" + (f"{i}/" if i else "") + _shape(part, own))
+    return out
 
 
 #: First numbers of an address that belong to hosts of the open internet.
@@ -265,7 +273,7 @@ def _phone(m: re.Match, move: Move) -> str | None:
 KINDS: dict[str, tuple[str, Callable[[re.Match, Move], str | None]]] = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}(?![A-Za-z0-9])", _email),
     "secret": (
-        r"(?P<name>(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9+/_.-]{8,512}(?<![.-]))"
+        r"(?P<name>(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<value>[A-Za-z0-9+/_.-]{8,}(?<![.-]))"
         r"|(?<![A-Za-z0-9])(?P<aws>(?:AKIA|ASIA)[A-Z0-9]{16})(?![A-Za-z0-9])",
         _secret,
     ),

@@ -62,3 +62,18 @@ def test_tables(spark):
     by = {r.doc_id: r for r in kept.collect()}
     assert by[1].n_chars == len(by[1].text) and by[1].kinds == "x" and by[2].text is None
     assert pii.find_and_replace(df.limit(0)).count() == 0 and pii.pseudonymise(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [8, 511, 512, 513, 700, 5000])
+def test_keys_of_any_length_are_replaced_in_full(n):
+    import random
+
+    rng = random.Random(n)
+    for alphabet in ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
+        value = "".join(rng.choice(alphabet) for _ in range(n))
+        text = f"here token={value}, and token={value}."
+        new, found = pii.replace(text)
+        assert found == {"secret": 2} and pii.reveal(new) == text and len(new) == len(text)
+        a, b = new.split(", and ")
+        assert a.removeprefix("here ") == b.removesuffix(".")
+        assert not any(value[i : i + 8] in new for i in range(n - 7))
