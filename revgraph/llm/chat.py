@@ -18,7 +18,10 @@ whose layout is not known keeps a null ``turns`` and is not formatted; a
 record without turns gives an empty text; turns are ordered by turn number
 (nulls first), then role and text, so repeated rows and ties have one order.
 An assistant text takes part in the loss exactly once. A conversation is one
-output row, so all its turns meet in one row by definition of the result.
+output row, so all its turns meet in one row by definition of the result. A
+text may be as long as a row of Spark allows (2 GB for a conversation, its JSON
+and its formatted text each). An empty table gives no rows; only the four columns
+of a turn are read, so others may have any name.
 """
 
 from __future__ import annotations
@@ -258,5 +261,14 @@ def digests(df: DataFrame) -> DataFrame:
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
-    """Training texts for a table with one row per turn: conv_id, layout, turns, formatted, loss."""
-    return format_turns(typed_turns(turns_to_records(rows))).select("conv_id", "layout", "turns", "formatted", "loss")
+    """Training texts for a table with one row per turn: conv_id, layout, turns, formatted, loss.
+
+    Each conversation goes as a JSON record through ``canonical_turns``, whose
+    fingerprint of the row's own field paths selects the mapping. A record
+    beyond the size that Spark parses as a variant has no fingerprint; its
+    turns are those of the typed record.
+    """
+    typed = typed_turns(turns_to_records(rows)).select("conv_id", F.to_json("record").alias("record"), F.col("layout").alias("typed_layout"), F.col("turns").alias("typed_turns"))
+    read = canonical_turns(typed)
+    read = read.withColumns({"layout": F.coalesce("layout", "typed_layout"), "turns": F.coalesce("turns", "typed_turns")})
+    return format_turns(read).select("conv_id", "layout", "turns", "formatted", "loss")

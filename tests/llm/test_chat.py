@@ -2,6 +2,7 @@ import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from revgraph.llm import chat
 
@@ -70,3 +71,19 @@ def test_nulls_ties_and_clashing_columns(spark):
     assert got[1].n_turns == 4 and got[1].turns_sha256 == hashlib.sha256(want.encode()).hexdigest()
     assert got[None].loss_chars == 1
     assert chat.digests(chat.format_conversations(df.limit(0))).count() == 0
+
+
+def test_rows_select_their_mapping_by_fingerprint(spark, monkeypatch):
+    """Turns come from the JSON record and the mapping that its own paths select, not from the typed record."""
+    rows = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, None, None, None), (3, 0, "user", "x")], "conv_id long, turn long, role string, text string")
+    monkeypatch.setattr(chat, "typed_turns", lambda df: df.withColumns({"layout": F.lit(None).cast("string"), "turns": F.lit(None).cast(chat.TURNS)}))
+    got = {r.conv_id: (r.layout, [tuple(t) for t in r.turns]) for r in chat.format_conversations(rows.withColumn("record", F.lit("clash")).withColumn("layout", F.lit("clash"))).collect()}
+    assert got == {1: ("turns", [("user", "q"), ("assistant", "a")]), 2: ("turns", [("", "")]), 3: ("turns", [("user", "x")])}
+    assert chat.format_conversations(rows.limit(0)).count() == 0
+
+
+def test_a_very_long_text(spark):
+    text = "~[INST] é\n" * 2_500_000
+    rows = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    row = chat.digests(chat.format_conversations(rows)).first()
+    assert row.loss_chars == len(text) and row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
