@@ -9,10 +9,18 @@ in the whole corpus. A term that leans to toxic examples weighs more, by the
 square root of its likelihood ratio; none is left out. Postings give the
 scores of terms that few examples hold; for the common terms there is the
 largest weight of each in each block of examples, and a search visits blocks
-by these bounds and stops when no block left can change the k nearest, so the
-cosines and the ranking are exact. Votes are weighted by the squared cosine; a
-logistic curve fitted on examples scored by an index that does not hold them
-makes the score a probability.
+by these bounds and stops when no block left can change the k nearest. Texts
+are searched some dozens at a time, so that a block meets all texts whose bound
+reaches it in one product; those products screen in single precision, the
+nearest are rescored in double, so cosines and ranking are exact. Block bounds
+for the rare terms too were tried: the blocks that stay hold 70 to 85 % of all
+postings, and bounding took longer than it saved. Votes are weighted by the
+squared cosine; a logistic curve fitted on the examples, each scored without
+itself, makes the score a probability.
+
+What reaches the driver are the examples' vectors (8 bytes a term) and the
+shingles that several examples of a class share, never texts; workers get the
+vectors and lay the blocks out themselves.
 
 Defined results: a null or empty text, and any text without a term, has no
 neighbours and gets the score of zero votes; repeated rows are scored each;
@@ -28,7 +36,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revgraph.llm.common import WordBatch, pieces
@@ -42,7 +51,11 @@ NEIGHBOURS = 16
 PRIOR_VOTE = 0.25
 BLOCK = 64
 #: Share of the examples from which on a term is common.
-COMMON = 0.2
+COMMON = 0.1
+#: Texts searched at a time.
+TOGETHER = 64
+#: More than single precision may be off in a sum of weights.
+SLACK = 1e-5
 THRESHOLD = 0.7
 
 
@@ -60,7 +73,16 @@ class Vocabulary:
     """Positions of the indexed terms, found from a table of where the terms of each run of top bits begin."""
 
     def __init__(self, terms: np.ndarray):
-        self.terms = np.sort(np.ascontiguousarray(terms).view(np.uint64))
+        self._lay_out(np.sort(np.ascontiguousarray(terms).view(np.uint64)))
+
+    def __getstate__(self) -> np.ndarray:
+        return self.terms
+
+    def __setstate__(self, terms: np.ndarray) -> None:
+        self._lay_out(terms)
+
+    def _lay_out(self, terms: np.ndarray) -> None:
+        self.terms = terms
         bits = min(22, max(8, 2 + len(terms).bit_length()))
         self.shift = np.uint64(64 - bits)
         top = (self.terms >> self.shift).astype(np.int64)
@@ -110,60 +132,94 @@ class BlockMaxIndex:
         lead = np.asarray([t[np.argmax(w)] for t, w in rows], dtype=np.int64)
         self.example = np.lexsort((np.arange(len(rows)), lead))
         sizes = np.asarray([len(rows[i][0]) for i in self.example], dtype=np.int64)
-        post = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
-        term = np.concatenate([rows[i][0] for i in self.example]) if len(rows) else np.empty(0, np.int64)
-        weight = np.concatenate([rows[i][1] for i in self.example]) if len(rows) else np.empty(0)
+        place = np.uint16 if len(rows) < 1 << 16 else np.int32
+        post = np.repeat(np.arange(len(rows), dtype=place), sizes)
+        term = np.concatenate([rows[i][0] for i in self.example]).astype(np.int32) if len(rows) else np.empty(0, np.int32)
+        weight = np.concatenate([rows[i][1] for i in self.example]) if len(rows) else np.empty(0, np.float32)
         self.blocks = -(-len(rows) // BLOCK)
         often = np.bincount(term, minlength=terms) >= max(2.0, (COMMON if common is None else common) * len(rows))
         #: Row of a common term, -1 for the others.
-        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.row = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
         own = often[term]
-        self.dense = np.zeros((self.blocks, BLOCK, int(often.sum())))
-        self.dense[post[own] // BLOCK, post[own] % BLOCK, self.row[term[own]]] = weight[own]
-        self.top = self.dense.max(axis=1)
+        self.common = post[own], self.row[term[own]], weight[own]
         post, weight, term = post[~own], weight[~own], term[~own]
-        order = np.lexsort((post, term))
+        order = np.argsort(term, kind="stable")
         self.post, self.weight = post[order], weight[order]
-        self.cut = np.searchsorted(term[order], np.arange(terms + 1))
+        self.cut = np.searchsorted(term[order], np.arange(terms + 1)).astype(np.int32)
+        self.dense = self.top = None  # laid out where they are needed first
         self.visited = 0
 
+    def _lay_out(self) -> None:
+        post, row, weight = self.common
+        self.dense = np.zeros((self.blocks, BLOCK, int((self.row >= 0).sum())), dtype=weight.dtype)
+        self.dense[post // BLOCK, post % BLOCK, row] = weight
+        self.top = self.dense.max(axis=1)
+
+    def __getstate__(self) -> dict:
+        return {**vars(self), "dense": None, "top": None}
+
+    def __setstate__(self, state: dict) -> None:
+        vars(self).update(state)
+        self._lay_out()
+
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine above 0 (ties: smaller example) and their cosines."""
-        a, b = self.cut[terms], self.cut[terms + 1]
-        some = np.flatnonzero(b > a)
-        size = self.blocks * BLOCK
-        if len(some):
-            spans = list(zip(a[some].tolist(), b[some].tolist()))
-            own = np.concatenate([self.weight[i:j] for i, j in spans]) * np.repeat(weights[some], b[some] - a[some])
-            score = np.bincount(np.concatenate([self.post[i:j] for i, j in spans]), weights=own, minlength=size)
-        else:
-            score = np.zeros(size)
-        query = np.zeros(self.dense.shape[2])
-        row = self.row[terms]
-        query[row[row >= 0]] = weights[row >= 0]
-        blocks = score.reshape(self.blocks, BLOCK)
-        more = self.top @ query
+        return self.search_all([(terms, weights)], k)[0]
+
+    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = []
+        for i in range(0, len(queries), TOGETHER):
+            out += self._search(queries[i : i + TOGETHER], k)
+        return out
+
+    def _rare(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the postings of the query's rare terms add to every example."""
+        first = self.cut[terms].astype(np.int64)
+        n = self.cut[terms + 1] - first
+        ends = np.cumsum(n)
+        at = np.repeat(first - (ends - n), n)
+        at += np.arange(len(at))
+        return np.bincount(self.post[at], weights=self.weight[at] * np.repeat(weights, n), minlength=self.blocks * BLOCK)
+
+    def _search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        if self.dense is None:
+            self._lay_out()
+        n, size = len(queries), self.blocks * BLOCK
+        rare, query = np.zeros((n, size)), np.zeros((n, self.dense.shape[2]))
+        for own, sparse, (terms, weights) in zip(query, rare, queries):
+            row = self.row[terms]
+            own[row[row >= 0]] = weights[row >= 0]
+            sparse[:] = self._rare(terms, weights)
+        single, score = query.astype(self.dense.dtype), rare.copy()
+        more = single @ self.top.T + self.dense.dtype.type(SLACK)
+        todo = more > SLACK
+        bound = rare.reshape(n, self.blocks, BLOCK).max(axis=2) + more if self.blocks else more
         # Scores only grow: the k-th largest so far is a floor, whichever blocks are still to come.
-        bound, todo = blocks.max(axis=1) + more, more > 0
-        floor, at_once = self._floor(score, k), 2
-        while True:
-            best = np.flatnonzero(todo & (bound * (1 + 1e-9) >= floor))
-            if not len(best):
-                break
-            best = best[np.argsort(-bound[best], kind="stable")[:at_once]]
-            todo[best] = False
-            self.visited += len(best)
-            for i in best.tolist():
-                blocks[i] += self.dense[i] @ query
+        floor = self._floor(score, k)
+        for at_once in (4, self.blocks):
+            now = todo & (bound >= floor[:, None])
+            if at_once < self.blocks:
+                least = -np.partition(np.where(now, -bound, 0.0), at_once - 1, axis=1)[:, at_once - 1]
+                now &= bound >= least[:, None]
+            for i in np.flatnonzero(now.any(axis=0)).tolist():
+                own = np.flatnonzero(now[:, i])
+                score[own, i * BLOCK : (i + 1) * BLOCK] += single[own] @ self.dense[i].T
+            self.visited += int(now.sum())
+            todo &= ~now
             floor = self._floor(score, k)
-            at_once *= 4
-        hit = np.flatnonzero((score >= floor) & (score > 0))
-        order = np.lexsort((self.example[hit], -score[hit]))[:k]
-        return self.example[hit[order]], score[hit[order]]
+        found, wide = [], self.dense.reshape(size, -1)
+        for j in range(n):
+            hit = np.flatnonzero((score[j] >= floor[j] - SLACK) & (score[j] > 0))
+            exact = rare[j, hit] + wide[hit].astype(np.float64) @ query[j]
+            order = np.lexsort((self.example[hit], -exact))[:k]
+            found.append((self.example[hit[order]], np.minimum(exact[order], 1.0)))
+        return found
 
     @staticmethod
-    def _floor(score: np.ndarray, k: int) -> float:
-        return max(0.0, float(np.partition(score, -k)[-k])) if len(score) >= k else 0.0
+    def _floor(score: np.ndarray, k: int) -> np.ndarray:
+        if score.shape[1] < k:
+            return np.zeros(len(score))
+        return np.maximum(0.0, np.partition(score, -k, axis=1)[:, -k])
 
 
 @dataclass
@@ -175,17 +231,32 @@ class Model:
     labels: np.ndarray
     curve: np.ndarray  # slope and intercept
     constant: float | None = None
+    sent: Broadcast | None = None
+
+    def __getstate__(self) -> dict:
+        return {**vars(self), "sent": None}
 
-    def votes(self, vector: tuple[np.ndarray, np.ndarray]) -> tuple[float, np.ndarray, np.ndarray]:
-        terms, weights = vector
-        if not len(terms) or not len(self.ids):
-            return 0.0, np.empty(0, np.int64), np.empty(0)
-        near, cosine = self.index.search(terms, weights, NEIGHBOURS)
-        vote = cosine * cosine
-        return float((vote * self.labels[near]).sum() / (vote.sum() + PRIOR_VOTE)), near, cosine
+    def send(self, spark: SparkSession) -> Broadcast:
+        """The model on its way to the workers, once for all scans; the curve does not travel with it."""
+        if self.sent is None:
+            self.sent = spark.sparkContext.broadcast(self)  # 8 bytes for each term of at most 2 * per_class examples
+        return self.sent
 
-    def probability(self, votes: np.ndarray) -> np.ndarray:
-        return np.full(len(votes), self.constant) if self.constant is not None else sigmoid(votes * self.curve[0] + self.curve[1])
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], own: np.ndarray | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """For each vector the toxic share of the votes, the nearest examples and their cosines; ``own`` are examples that do not count."""
+        if not len(self.ids):
+            return [(0.0, np.empty(0, np.int64), np.empty(0))] * len(vectors)
+        out = []
+        for i, (near, cosine) in enumerate(self.index.search_all(vectors, NEIGHBOURS + (own is not None))):
+            if own is not None:
+                near, cosine = near[near != own[i]][:NEIGHBOURS], cosine[near != own[i]][:NEIGHBOURS]
+            vote = cosine * cosine
+            out.append((float((vote * self.labels[near]).sum() / (vote.sum() + PRIOR_VOTE)), near, cosine))
+        return out
+
+
+def probability(votes: np.ndarray, curve: np.ndarray, constant: float | None) -> np.ndarray:
+    return np.full(len(votes), constant) if constant is not None else sigmoid(votes * curve[0] + curve[1])
 
 
 def _term_counts(sample: DataFrame) -> DataFrame:
@@ -215,60 +286,81 @@ def _term_counts(sample: DataFrame) -> DataFrame:
 COPY = 0.8
 
 
-def first_of_copies(shingles: list[np.ndarray], labels: list[int]) -> list[int]:
-    """Positions of the sets that no kept earlier set of the same label is a copy of; every drop is checked in full.
+def copies(shared: list[np.ndarray], sizes: list[int], labels: list[int]) -> list[int]:
+    """Positions of the sets that a kept earlier set of the same label is a copy of; every one is checked in full.
 
-    Of two sets with a similarity of ``COPY`` or more, each has one of the
-    shingles they share among its rarest, so many as are more than a fifth.
+    ``shared`` holds of each set of ``sizes`` shingles those that are also in
+    another set. Of two sets with a similarity of ``COPY`` or more, each has one
+    of the shingles they share among its rarest, so many as are more than a
+    fifth; shingles of one set alone are its rarest.
     """
-    every, times = np.unique(np.concatenate([np.empty(0, np.uint64), *shingles]), return_counts=True)
-    rank = np.empty(len(every), dtype=np.int64)
-    rank[np.lexsort((every, times))] = np.arange(len(every))
-    holds: dict[tuple[int, int], list[int]] = {}
-    kept, sets = [], {}
-    for i, (own, label) in enumerate(zip(shingles, labels)):
+    every, times = np.unique(np.concatenate([np.empty(0, np.uint64), *shared]), return_counts=True)
+    rank = np.empty(len(every), dtype=np.int32)
+    rank[np.lexsort((every, times))] = np.arange(len(every), dtype=np.int32)
+    holds: dict[int, list[int]] = {}
+    gone, sets = [], {}
+    for i, (own, n, label) in enumerate(zip(shared, sizes, labels)):
         place = np.sort(rank[np.searchsorted(every, own)])
-        n = len(place)
-        rarest = [(label, p) for p in place[: n - int(np.ceil(COPY * n - 1e-9)) + 1].tolist()]
+        more = n - int(np.ceil(COPY * n - 1e-9)) + 1 - (n - len(place))
+        rarest = [2 * p + label for p in place[: max(0, more)].tolist()]
         copy = False
         for j in sorted({j for p in rarest for j in holds.get(p, ())}):
-            m = len(sets[j])
+            m = sizes[j]
             if min(n, m) >= COPY * max(n, m) - 1e-9:
                 both = len(np.intersect1d(place, sets[j], assume_unique=True))
                 if both >= COPY * (n + m - both) - 1e-9:
                     copy = True
                     break
-        if not copy:
-            kept.append(i)
+        if copy:
+            gone.append(i)
+        elif rarest:
             sets[i] = place
             for p in rarest:
                 holds.setdefault(p, []).append(i)
-    return kept
+    return gone
+
+
+def _shingles(texts: list[str]) -> list[np.ndarray]:
+    words = WordBatch(texts)
+    h, at = words.windows(5)
+    cut = np.searchsorted(words.doc[at], np.arange(len(texts) + 1))
+    return [np.unique(h[i:j]) for i, j in zip(cut, cut[1:])]
 
 
 def _one_of_each(sample: DataFrame) -> DataFrame:
     """The sample without the documents that are near copies of a kept one of their label with a smaller id."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The shingles of each text, under their label."""
         for batch in batches:
             for part, texts in pieces(batch):
-                words = WordBatch(texts)
-                h, at = words.windows(5)
-                cut = np.searchsorted(words.doc[at], np.arange(len(texts) + 1))
-                own = [np.unique(h[i:j]).view(np.int64) for i, j in zip(cut, cut[1:])]
-                flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]), pa.int32()), pa.array(np.concatenate(own)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("label").cast(pa.int32()), part.column("row"), flat], names=["doc_id", "label", "row", "shingles"])
+                label = part.column("label").to_numpy().astype(np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([h ^ y for h, y in zip(_shingles(texts), label)]).view(np.int64))], names=["h"])
 
-    columns = sample.columns
+    columns, key = sample.columns, ["doc_id", "label", "row"]
     sample = sample.withColumn("row", F.xxhash64("text"))
-    found = sample.mapInArrow(run, "doc_id long, label int, row long, shingles array<long>").toArrow().combine_chunks()  # at most 2 * per_class rows
-    cut = np.concatenate(([0], np.cumsum(pc.list_value_length(found.column("shingles")).to_numpy())))
-    flat = pc.list_flatten(found.column("shingles")).to_numpy().view(np.uint64)
-    rows = list(zip(*(found.column(c).to_pylist() for c in ("doc_id", "label", "row"))))
-    order = sorted(range(len(rows)), key=rows.__getitem__)
-    first = first_of_copies([flat[cut[i] : cut[i + 1]] for i in order], [rows[i][1] for i in order])
-    ids = sample.sparkSession.createDataFrame([rows[order[i]] for i in first], "doc_id long, label int, row long")
-    return sample.join(F.broadcast(ids), ["doc_id", "label", "row"]).select(*columns)
+    held = sample.select("label", "text").mapInArrow(single, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    several = np.sort(held.where("n > 1").select("h").toArrow().column("h").to_numpy().view(np.uint64))  # of at most 2 * per_class texts
+
+    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The shingles that other texts of the label have too, and the number of all."""
+        for batch in batches:
+            for part, texts in pieces(batch):
+                label, sets = part.column("label").to_numpy().astype(np.uint64), _shingles(texts)
+                own = [(h ^ y)[np.isin(h ^ y, several, assume_unique=True)].view(np.int64) for h, y in zip(sets, label)]
+                flat = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]), pa.int32()), pa.array(np.concatenate(own)))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in key), pa.array([len(h) for h in sets], pa.int32()), flat], names=[*key, "n", "shared"])
+
+    kinds = [F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"), "row", "text"]
+    found = sample.select(*kinds).mapInArrow(common, "doc_id long, label int, row long, n int, shared array<long>").where(F.size("shared") > 0).toArrow().combine_chunks()
+    cut = np.concatenate(([0], np.cumsum(pc.list_value_length(found.column("shared")).to_numpy())))
+    flat = pc.list_flatten(found.column("shared")).to_numpy().view(np.uint64)
+    ids, y, row, n = (found.column(c).to_numpy() for c in (*key, "n"))
+    order = np.lexsort((row, y, ids)).tolist()
+    gone = copies([flat[cut[i] : cut[i + 1]] for i in order], n[order].tolist(), y[order].tolist())
+    dropped = [(int(ids[i]), int(y[i]), int(row[i])) for i in (order[j] for j in gone)]
+    marks = sample.sparkSession.createDataFrame(dropped, "doc_id long, label int, row long")
+    return sample.join(F.broadcast(marks), key, "left_anti").select(*columns)
 
 
 def _g2(a: Column, b: Column, na: int, nb: int) -> Column:
@@ -321,29 +413,38 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
             for part, texts in pieces(batch):
                 found = vectors(vocabulary, worth, texts)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), part.column("label").cast(pa.int32()), pa.array([t for t, _ in found], pa.list_(pa.int64())), pa.array([w for _, w in found], pa.list_(pa.float64()))],
-                    names=["doc_id", "label", "terms", "weights"],
+                    [*(part.column(c) for c in ("doc_id", "label", "row")), pa.array([t.astype(np.int32) for t, _ in found], pa.list_(pa.int32())), pa.array([w.astype(np.float32) for _, w in found], pa.list_(pa.float32()))],
+                    names=["doc_id", "label", "row", "terms", "weights"],
                 )
 
-    examples = sample.mapInArrow(run, "doc_id long, label int, terms array<long>, weights array<double>").toArrow().combine_chunks()  # at most 2 * per_class rows
-    cut = np.concatenate(([0], np.cumsum(pc.list_value_length(examples.column("terms")).to_numpy())))
+    key = [F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"), F.xxhash64("text").alias("row")]
+    sample = sample.select(*key, "text")
+    examples = sample.mapInArrow(run, "doc_id long, label int, row long, terms array<int>, weights array<float>").toArrow().combine_chunks()  # at most 2 * per_class rows
+    n = pc.list_value_length(examples.column("terms")).to_numpy()
+    cut = np.concatenate(([0], np.cumsum(n)))
     terms, weights = (pc.list_flatten(examples.column(c)).to_numpy() for c in ("terms", "weights"))
-    y, ids = (examples.column(c).to_numpy().astype(np.int64) for c in ("label", "doc_id"))
-    order = sorted(range(len(y)), key=lambda i: (ids[i], y[i], terms[cut[i] : cut[i + 1]].tolist()))
-    y, ids = y[order], ids[order]
-    rows_ = [(terms[cut[i] : cut[i + 1]], weights[cut[i] : cut[i + 1]]) for i in order]
-
-    def indexed(which: np.ndarray, curve: np.ndarray) -> Model:
-        own = [i for i in which if len(rows_[i][0])]
-        return Model(vocabulary, worth, BlockMaxIndex([rows_[i] for i in own], len(vocabulary.terms)), ids[own], y[own], curve)
+    ids, y, row = (examples.column(c).to_numpy() for c in ("doc_id", "label", "row"))
+    order = [i for i in np.lexsort((row, y, ids)).tolist() if n[i]]  # an example without a word has no neighbours
+    index = BlockMaxIndex([(terms[cut[i] : cut[i + 1]], weights[cut[i] : cut[i + 1]]) for i in order], len(vocabulary.terms))
+    model = Model(vocabulary, worth, index, ids[order].astype(np.int64), y[order].astype(np.int64), np.zeros(2))
+    places = [(int(ids[i]), int(y[i]), int(row[i]), p) for p, i in enumerate(order)]
+    del examples, terms, weights
+    sent = model.send(docs.sparkSession)
+
+    def score_examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each example by the others."""
+        for batch in batches:
+            for part, texts in pieces(batch):
+                own = part.column("place").to_numpy()
+                votes = [v for v, _, _ in sent.value.votes(vectors(sent.value.vocabulary, sent.value.worth, texts), own)]
+                yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(votes, pa.float64())], names=["label", "vote"])
 
-    fold = np.arange(len(y)) % 2
-    votes = np.zeros(len(y))
-    for f in (0, 1):
-        half = indexed(np.flatnonzero(fold != f), np.zeros(2))
-        for i in np.flatnonzero(fold == f):
-            votes[i] = half.votes(rows_[i])[0]
-    return indexed(np.arange(len(y)), logistic(votes[:, None], y, class_weights(y, totals)))
+    known = sample.sparkSession.createDataFrame(places, "doc_id long, label int, row long, place int")
+    scored = sample.join(F.broadcast(known), ["doc_id", "label", "row"], "left").select("label", F.coalesce("place", F.lit(-1)).alias("place"), "text")
+    own = scored.mapInArrow(score_examples, "label int, vote double").toArrow()
+    votes, marks = own.column("vote").to_numpy(), own.column("label").to_numpy().astype(np.int64)
+    model.curve = logistic(votes[:, None], marks, class_weights(marks, totals))
+    return model
 
 
 SCORED = "doc_id long, score double, predicted int, evidence array<struct<doc_id:bigint,toxic:int,cosine:double>>"
@@ -351,15 +452,15 @@ SCORED = "doc_id long, score double, predicted int, evidence array<struct<doc_id
 
 def score(docs: DataFrame, model: Model, evidence: int = 3) -> DataFrame:
     """doc_id, score, predicted and the nearest examples of every document."""
+    sent, curve, constant = model.send(docs.sparkSession), model.curve, model.constant
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in pieces(batch):
-                votes, near = np.zeros(len(texts)), []
-                for i, v in enumerate(vectors(model.vocabulary, model.worth, texts)):
-                    votes[i], own, cosine = model.votes(v)
-                    near.append([{"doc_id": int(model.ids[e]), "toxic": int(model.labels[e]), "cosine": float(c)} for e, c in zip(own[:evidence], cosine)])
-                p = model.probability(votes)
+                model = sent.value
+                found = model.votes(vectors(model.vocabulary, model.worth, texts))
+                near = [[{"doc_id": int(model.ids[e]), "toxic": int(model.labels[e]), "cosine": float(c)} for e, c in zip(own[:evidence], cosine)] for _, own, cosine in found]
+                p = probability(np.asarray([v for v, _, _ in found]), curve, constant)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32)), pa.array(near, pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())])))],
                     names=["doc_id", "score", "predicted", "evidence"],
@@ -372,12 +473,14 @@ def keep(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that are not predicted toxic; all columns as they were."""
     docs = docs.withColumn("text", F.col("text").cast("string"))
     at = docs.columns.index("text")
+    sent, curve, constant = model.send(docs.sparkSession), model.curve, model.constant
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
             for part, texts in pieces(named, f"c{at}"):
-                votes = np.asarray([model.votes(v)[0] for v in vectors(model.vocabulary, model.worth, texts)])
-                yield part.filter(pa.array(model.probability(votes) < THRESHOLD)).rename_columns(batch.schema.names)
+                model = sent.value
+                votes = np.asarray([v for v, _, _ in model.votes(vectors(model.vocabulary, model.worth, texts))])
+                yield part.filter(pa.array(probability(votes, curve, constant) < THRESHOLD)).rename_columns(batch.schema.names)
 
     return docs.mapInArrow(run, docs.schema)
