@@ -8,6 +8,7 @@ the bytes of a word give a polynomial modulo 2**64, read off one running sum.
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterator
 
@@ -42,6 +43,14 @@ def lean_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
+def release() -> None:
+    """Give back to the system what Arrow and the C library keep for later; for the end of a task that held much."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # in the GNU C library only
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     lean_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -40,7 +40,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revgraph.llm.common import WordBatch, pieces
+from revgraph.llm.common import WordBatch, pieces, release
 from revgraph.llm.labelled import class_weights, labelled_sample, logistic, sigmoid
 
 #: Labelled documents of a class that are learned from.
@@ -52,8 +52,8 @@ PRIOR_VOTE = 0.25
 BLOCK = 64
 #: Share of the examples from which on a term is common.
 COMMON = 0.1
-#: Texts searched at a time.
-TOGETHER = 64
+#: Texts searched at a time: with 8,192 examples some 10 MB of scores.
+TOGETHER = 32
 #: More than single precision may be off in a sum of weights.
 SLACK = 1e-5
 THRESHOLD = 0.7
@@ -161,6 +161,7 @@ class BlockMaxIndex:
     def __setstate__(self, state: dict) -> None:
         vars(self).update(state)
         self._lay_out()
+        self.common = None  # a worker needs the blocks only
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine above 0 (ties: smaller example) and their cosines."""
@@ -438,6 +439,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
                 own = part.column("place").to_numpy()
                 votes = [v for v, _, _ in sent.value.votes(vectors(sent.value.vocabulary, sent.value.worth, texts), own)]
                 yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(votes, pa.float64())], names=["label", "vote"])
+        release()
 
     known = sample.sparkSession.createDataFrame(places, "doc_id long, label int, row long, place int")
     scored = sample.join(F.broadcast(known), ["doc_id", "label", "row"], "left").select("label", F.coalesce("place", F.lit(-1)).alias("place"), "text")
@@ -465,6 +467,7 @@ def score(docs: DataFrame, model: Model, evidence: int = 3) -> DataFrame:
                     [part.column("doc_id"), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32)), pa.array(near, pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())])))],
                     names=["doc_id", "score", "predicted", "evidence"],
                 )
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SCORED)
 
@@ -482,5 +485,6 @@ def keep(docs: DataFrame, model: Model) -> DataFrame:
                 model = sent.value
                 votes = np.asarray([v for v, _, _ in model.votes(vectors(model.vocabulary, model.worth, texts))])
                 yield part.filter(pa.array(probability(votes, curve, constant) < THRESHOLD)).rename_columns(batch.schema.names)
+        release()
 
     return docs.mapInArrow(run, docs.schema)
