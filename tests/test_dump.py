@@ -198,6 +198,12 @@ def test_command_line_jobs(spark, tmp_dir):
     assert rows(g["word_edges"], ["src", "dst", "year"]) == rows(word_edges(pages), ["src", "dst", "year"])
     assert rows(g["category_nodes"], ["title", "year", "category"]) == rows(category_nodes(pages), ["title", "year", "category"])
     assert ("alpha page", "beta", "2019") in {r[:3] for r in rows(g["edges"], ["src", "dst", "year", "weight"])}
+    before = rows(g["nodes"], ["title", "year", "is_stub"])
+    main(["ingest", _dump_dir(os.path.join(tmp_dir, "again")), "--store", store])
+    main(["compact", "--store", store, "--vacuum"])
+    main(["graphs", "--store", store, "--out", out, "--merge"])
+    main(["ask", "out_degree", "--graphs", out])
+    assert rows(read_graph(spark, out)["nodes"], ["title", "year", "is_stub"]) == before
 
 
 def test_stream_restart_adds_nothing(spark, tmp_dir):
