@@ -7,8 +7,10 @@ sample, every vector assigned) cut the space. A query probes the nearest lists
 until they hold ``SHARE`` of all vectors. Within a list the components are
 scanned in blocks of ``COLUMNS``: after each block a candidate is abandoned if
 its distance so far, scaled up to all components, is beyond the distance of
-the k-th neighbour known by more than a test at ``ERROR`` allows. The nearest
-list is scanned first and gives each query its bound for the other lists.
+the k-th neighbour known by more than a test at ``ERROR`` allows, and only the
+candidates still alive are looked up in the next block. The nearest lists, with
+``FIRST`` of all vectors, are scanned first and give each query its bound for
+the others.
 
 Survivors get the exact inner product of the original vectors, summed in
 double precision in the order of the components.
@@ -17,7 +19,8 @@ Defined results: vectors that are null, zero, hold null or non-finite
 components, have no id, or have another length than most (ties: the longer)
 take no part; rows that share an id are one vector (the smallest in order of
 components); equal scores rank by the smaller id; a query with fewer than k
-candidates gets all of them.
+candidates gets all of them; an empty table gives no rows; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -31,11 +34,11 @@ from pyspark.sql import functions as F
 
 from revgraph.llm.common import stored
 
-#: Share of all vectors in the lists that a query probes.
-SHARE = 0.75
+#: Share of all vectors in the lists that a query probes, and in those that it probes first.
+SHARE, FIRST = 0.95, 0.1
 #: Width of the hypothesis test that abandons a candidate.
-ERROR = 2.1
-COLUMNS = 16
+ERROR = 0.85
+COLUMNS = 8
 #: Bounds: lists, sample vectors a list for learning, rounds of k-means, rows of a task on either side.
 LISTS, SAMPLE_EACH, KMEANS_ROUNDS = 4096, 32, 10
 BLOCK_VECTORS, BLOCK_QUERIES = 4096, 512
@@ -114,8 +117,8 @@ def assign(vectors: DataFrame, lists: Lists) -> DataFrame:
 
 
 def probes(queries: DataFrame, lists: Lists, sizes: np.ndarray, k: int) -> DataFrame:
-    """vec_id, embedding, list and place (0 for the nearest, else 1) of the lists that each query probes."""
-    least = max(SHARE * sizes.sum(), k + 1)
+    """vec_id, embedding, list and place (0 for the nearest lists, else 1) of the lists that each query probes."""
+    least, first = max(SHARE * sizes.sum(), k + 1), max(FIRST * sizes.sum(), k + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,7 +128,7 @@ def probes(queries: DataFrame, lists: Lists, sizes: np.ndarray, k: int) -> DataF
             before = np.cumsum(sizes[order], axis=1) - sizes[order]
             row, place = np.nonzero((before < least) & (sizes[order] > 0))
             own = order[row, place]
-            rank = np.where(np.append(True, row[1:] != row[:-1]), 0, 1)
+            rank = np.where(before[row, place] < first, 0, 1)
             yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(pa.array(row)), batch.column("embedding").take(pa.array(row)), pa.array(own.astype(np.int32)), pa.array(rank.astype(np.int32))], names=["vec_id", "embedding", "list", "place"])
 
     return queries.select("vec_id", "embedding").mapInArrow(run, "vec_id long, embedding array<double>, list int, place int")
@@ -139,42 +142,44 @@ def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def scan(q: np.ndarray, x: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Adaptive scan of lifted queries and vectors: surviving (query, vector) pairs and their squared distances.
+def scan(q: np.ndarray, x: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Adaptive scan of lifted queries and vectors: surviving (query, vector) pairs in the order of the
+    queries, their squared distances, and the number of products of components that it took.
 
     ``bound`` holds each query's squared distance to beat (infinite if none is known).
     """
-    d = q.shape[1]
-    if len(x) > k:  # the distances to a first few vectors bound those to the others
+    d, products = q.shape[1], 0
+    if len(x) > k and not np.isfinite(bound).all():  # the distances to a first few vectors bound those to the others
         some = (q * q).sum(axis=1)[:, None] + (x[: 4 * k] ** 2).sum(axis=1)[None, :] - 2 * q @ x[: 4 * k].T
+        products += some.size * d
         bound = np.minimum(bound, np.partition(some, k - 1, axis=1)[:, k - 1])
     bound = np.maximum(bound, 0)
-    part = np.zeros((len(q), len(x)))
-    alive = np.ones(part.shape, dtype=bool)
-    pairs: tuple[np.ndarray, np.ndarray] | None = None
-    for lo in range(0, d, COLUMNS):
-        hi = min(lo + COLUMNS, d)
-        a, b = q[:, lo:hi], x[:, lo:hi]
-        test = (1 + ERROR / hi**0.5) ** 2 if hi < d else 1.0
-        limit = bound * test * hi / d * (1 + 1e-9) + 1e-12
-        if pairs is None:
-            part += np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * a @ b.T, 0)
-            alive &= part <= limit[:, None]
-            if hi < d and alive.mean() < 0.05:
-                pairs = np.nonzero(alive)
-                values = part[pairs]
-        else:
-            i, j = pairs
-            for at in range(0, len(i), PAIRS):
-                s = slice(at, at + PAIRS)
-                diff = a[i[s]] - b[j[s]]
-                values[s] += np.einsum("ij,ij->i", diff, diff)
-            ok = values <= limit[i]
-            pairs, values = (i[ok], j[ok]), values[ok]
-    if pairs is None:
-        pairs = np.nonzero(alive)
-        values = part[pairs]
-    return pairs[0], pairs[1], values
+    edges = [*range(0, d, COLUMNS), d]
+    blocks = [np.ascontiguousarray(x[:, lo:hi]) for lo, hi in zip(edges, edges[1:])]
+    norms = (blocks[0] ** 2).sum(axis=1)
+    found = []
+    for r in range(len(q)):
+        live = values = None
+        for b, lo, hi in zip(blocks, edges, edges[1:]):
+            a = q[r, lo:hi]
+            test = (1 + ERROR / hi**0.5) ** 2 if hi < d else 1.0
+            limit = bound[r] * test * hi / d * (1 + 1e-9) + 1e-12
+            if live is None:
+                products += b.size
+                part = np.maximum(norms - 2 * (b @ a) + a @ a, 0)
+                live = np.flatnonzero(part <= limit)
+                values = part[live]
+            else:
+                products += len(live) * (hi - lo)
+                diff = b[live] - a
+                values += np.einsum("ij,ij->i", diff, diff)
+                ok = values <= limit
+                live, values = live[ok], values[ok]
+            if not len(live):
+                break
+        found.append((np.full(len(live), r), live, values))
+    i, j, dist = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+    return i, j, dist, products
 
 
 FOUND = "query_id long, vec_id long, score double"
@@ -205,7 +210,7 @@ def _search(vectors: DataFrame, asked: DataFrame, lists: Lists, sizes: np.ndarra
             lifted = lists.lift(vm)
             for at in range(0, len(qid), 64):
                 s = slice(at, at + 64)
-                i, j, dist = scan(lists.lift(qm[s], query=True), lifted, bound[s], k + 1)
+                i, j, dist, _ = scan(lists.lift(qm[s], query=True), lifted, bound[s], k + 1)
                 ok = qid[s][i] != vid[j]
                 i, j, dist = i[ok], j[ok], dist[ok]
                 order = np.lexsort((dist, i))

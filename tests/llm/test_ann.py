@@ -68,14 +68,44 @@ def test_vectors_that_take_no_part(spark):
     assert ann.search(df.where("vec_id = 0"), F.lit(True)).count() == 0
 
 
-@pytest.mark.parametrize("columns", [16, 3])
-def test_scan_keeps_all_within_the_bound(monkeypatch, columns):
+@pytest.mark.parametrize("columns, error", [(16, 2.1), (3, 2.1)])
+def test_scan_keeps_all_within_the_bound(monkeypatch, columns, error):
     monkeypatch.setattr(ann, "COLUMNS", columns)
+    monkeypatch.setattr(ann, "ERROR", error)
     rng = np.random.default_rng(0)
     q, x = rng.standard_normal((5, 33)), rng.standard_normal((400, 33))
     true = ((q[:, None, :] - x[None]) ** 2).sum(axis=2)
-    i, j, dist = ann.scan(q, x, np.full(5, np.inf), 10)
+    i, j, dist, _ = ann.scan(q, x, np.full(5, np.inf), 10)
     assert dist == pytest.approx(true[i, j])
     kept = set(zip(i.tolist(), j.tolist()))
     near = {(a, int(b)) for a in range(5) for b in true[a].argsort()[:10]}
     assert len(near & kept) >= 0.95 * len(near) and len(kept) < 1000
+
+
+def test_candidates_are_abandoned_early():
+    """Products of components done on sf0.1 with the bounds that the first lists give, against those of all pairs."""
+    t = pq.read_table("/root/testdata/sf0.1/embeddings.parquet").sort_by("vec_id")
+    x = np.asarray(t.column("embedding").to_pylist(), dtype=np.float64)
+    queries_at = np.flatnonzero(t.column("vec_id").to_numpy() % 20 == 0)
+    longest = (x * x).sum(axis=1).max() ** 0.5 * (1 + 1e-9)
+    lists = ann.Lists(x[:352], longest, 11)
+    lifted, asked, own = lists.lift(x), lists.lift(x[queries_at], query=True), lists.nearest(lists.lift(x))
+    order = lists.distances(asked).argsort(axis=1, kind="stable")
+    sizes = np.bincount(own, minlength=len(lists.centres))
+    before = np.cumsum(sizes[order], axis=1) - sizes[order]
+    done = hits = 0
+    for r, at in enumerate(queries_at):
+        first = np.flatnonzero(np.isin(own, order[r][before[r] < ann.FIRST * len(x)]))
+        rest = np.flatnonzero(np.isin(own, order[r][(before[r] >= ann.FIRST * len(x)) & (before[r] < ann.SHARE * len(x))]))
+        _, j, dist, n = ann.scan(asked[r : r + 1], lifted[first], np.array([np.inf]), 21)
+        seen = dict(zip(first[j].tolist(), dist.tolist()))
+        bound = sorted(v for i, v in seen.items() if i != at)[19]
+        _, j, dist, m = ann.scan(asked[r : r + 1], lifted[rest], np.array([bound]), 21)
+        seen.update(zip(rest[j].tolist(), dist.tolist()))
+        done += n + m
+        score = x @ x[at]
+        score[at] = -np.inf
+        best = sorted((v, i) for i, v in seen.items() if i != at)[:20]
+        hits += len({i for _, i in best} & set(score.argsort()[-20:].tolist()))
+    assert done <= 0.6 * len(queries_at) * x.shape[0] * lifted.shape[1]
+    assert hits >= 0.95 * 20 * len(queries_at)
