@@ -16,11 +16,15 @@ word is marked if and only if some run of ``MIN_WORDS`` words around it stands
 in another document too (up to collisions of 64-bit hashes).
 
 What many rows share is settled early: each task, before and after the
-shuffle, marks what it sees twice and hands on one copy of each passage.
+shuffle, marks what it sees twice and hands on one copy of each passage. Keys
+that more than ``HOT`` documents share are first settled in ``SALTS`` shares
+each, and what these hand on meets by its whole passage.
 
 Defined results: a null text, and one of fewer than ``MIN_WORDS`` words, has
 no spans; documents without spans give no rows; rows equal in doc_id and words
-are one document; words are those of ``revgraph.llm.common.WORD``.
+are one document; words are those of ``revgraph.llm.common.WORD``; texts of
+any length are read whole; an empty table gives no rows; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ SPREAD = 20
 PREFIX = MIN_WORDS - (SPREAD - 1)
 #: Bytes of text whose passages are settled together.
 PIECE = 1 << 20
+#: Documents from which on a key is dealt out in shares, and their number.
+HOT, SALTS = 256, 64
 
 SUFFIX = "key long, doc_id long, text_key long, start int, passages array<long>"
 MARK = "doc_id long, text_key long, first int, last int"
@@ -80,11 +86,11 @@ class Suffixes:
 
 
 def settle(doc: np.ndarray, text: np.ndarray, start: np.ndarray, length: np.ndarray, passages: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray]:
-    """Marks of the passages that two documents among the rows hold, and the rows to hand on.
+    """Marks of the passages that two documents among the rows hold, and which passages are open.
 
     Row i holds ``length[i]`` passages that start at words ``start[i]``, ... of
-    document (doc[i], text[i]). A row is handed on if it holds the first copy
-    of some passage, or any copy of one not found in a second document yet.
+    document (doc[i], text[i]). Open is the first copy of each passage, and
+    any copy of one not found in a second document yet.
     """
     row = np.repeat(np.arange(len(doc)), length)
     word = np.repeat(start, length) + np.arange(len(passages)) - np.repeat(np.cumsum(length) - length, length)
@@ -96,9 +102,9 @@ def settle(doc: np.ndarray, text: np.ndarray, start: np.ndarray, length: np.ndar
     other = (doc[r] != doc[head]) | (text[r] != text[head])
     twice = np.zeros(group[-1] + 1 if len(p) else 0, dtype=bool)
     twice[group[other]] = True
-    keep = np.zeros(len(doc), dtype=bool)
-    keep[r[new]] = True
-    keep[r[~twice[group]]] = True
+    still = np.zeros(len(passages), dtype=bool)
+    still[order[new]] = True
+    still[order[~twice[group]]] = True
     hit = order[twice[group]]
     r, word = row[hit], word[hit]
     by = np.lexsort((word, text[r], doc[r]))
@@ -110,7 +116,12 @@ def settle(doc: np.ndarray, text: np.ndarray, start: np.ndarray, length: np.ndar
     else:
         a = z = np.empty(0, np.int64)
     marks = pa.RecordBatch.from_arrays([pa.array(doc[r[a]]), pa.array(text[r[a]]), pa.array(word[a].astype(np.int32)), pa.array(word[z].astype(np.int32))], names=["doc_id", "text_key", "first", "last"])
-    return marks, keep
+    return marks, still
+
+
+def _rows_with(still: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Which rows of ``length[i]`` passages hold an open one."""
+    return np.bincount(np.repeat(np.arange(len(length)), length), still, len(length)) > 0
 
 
 def _prefix_counts(docs: DataFrame) -> DataFrame:
@@ -128,8 +139,8 @@ def _prefix_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _candidates(docs: DataFrame, places: np.ndarray) -> DataFrame:
-    """Suffixes whose prefix stands in several documents, and marks of what is settled within a piece (key null)."""
+def _candidates(docs: DataFrame, places: np.ndarray, hot: np.ndarray) -> DataFrame:
+    """Suffixes whose prefix stands in several documents, whether in many, and marks of what is settled within a piece (key null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,43 +158,100 @@ def _candidates(docs: DataFrame, places: np.ndarray) -> DataFrame:
                 keys = words.sequence_keys()
                 text = np.asarray([int.from_bytes(keys[i][:8], "little", signed=True) for i in which])
                 start = lo - words.first[which]
-                marks, keep = settle(ids[which], text, start, length, passages)
+                marks, still = settle(ids[which], text, start, length, passages)
                 if marks.num_rows:
-                    n = marks.num_rows
-                    yield _suffix_rows(pa.nulls(n, pa.int64()), marks.column("doc_id"), marks.column("text_key"), marks.column("first"), pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32)), marks.column("last").cast(pa.int64())))
+                    yield _with_flag(_mark_rows(marks), np.zeros(marks.num_rows, dtype=bool))
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)).astype(np.int32)), pa.array(passages))
-                yield _suffix_rows(pa.array(s.key[some].view(np.int64)), pa.array(ids[which]), pa.array(text), pa.array(start.astype(np.int32)), lists).filter(pa.array(keep))
+                rows = _suffix_rows(pa.array(s.key[some].view(np.int64)), pa.array(ids[which]), pa.array(text), pa.array(start.astype(np.int32)), lists)
+                yield _with_flag(rows, in_bitmap(s.key[some], hot)).filter(pa.array(_rows_with(still, length)))
+
+    return docs.mapInArrow(run, SUFFIX + ", hot boolean")
 
-    return docs.mapInArrow(run, SUFFIX)
+
+def _with_flag(rows: pa.RecordBatch, hot: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*rows.columns, pa.array(hot)], names=[*rows.schema.names, "hot"])
 
 
 def _suffix_rows(*columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names=["key", "doc_id", "text_key", "start", "passages"])
 
 
-def _compare_neighbours(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Marks from suffixes in the order of their keys; of the last key's rows those with first copies are carried on."""
+def _mark_rows(marks: pa.RecordBatch) -> pa.RecordBatch:
+    """Marks as rows of suffixes: no key, and the last word in the list."""
+    n = marks.num_rows
+    last = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32)), marks.column("last").cast(pa.int64()))
+    return _suffix_rows(pa.nulls(n, pa.int64()), marks.column("doc_id"), marks.column("text_key"), marks.column("first"), last)
+
+
+def _settled(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch | None, pa.Table, np.ndarray, np.ndarray]]:
+    """Marks from suffixes in the order of their keys, the rows, their open passages, and the rows whose keys are complete.
+
+    Of the last key's rows those with open passages are carried on to the next batch.
+    """
     carried: pa.Table | None = None
+    rest = None
     for batch in rows:
         t = pa.Table.from_batches([batch])
         t = t if carried is None else pa.concat_tables([carried, t]).combine_chunks()
         if not t.num_rows:
             continue
-        lists = t.column("passages").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         key, doc, text, start = (t.column(c).to_numpy() for c in ("key", "doc_id", "text_key", "start"))
+        lists = _lists(t)
         length = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        marks, keep = settle(doc, text, start.astype(np.int64), length, lists.flatten().to_numpy(zero_copy_only=False))
-        if marks.num_rows:
+        marks, still = settle(doc, text, start.astype(np.int64), length, lists.flatten().to_numpy(zero_copy_only=False))
+        last = key == key[-1]
+        yield marks, t, still, ~last
+        carried, rest = t.filter(pa.array(last & _rows_with(still, length))), (None, t, still, last)
+    if rest is not None:
+        yield rest
+
+
+def _lists(t: pa.Table) -> pa.ListArray:
+    lists = t.column("passages").combine_chunks()
+    return lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+
+
+def _compare_neighbours(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Marks of the passages that two documents hold."""
+    for marks, *_ in _settled(rows):
+        if marks is not None and marks.num_rows:
             yield marks
-        carried = t.filter(pa.array(keep & (key == key[-1])))
+
+
+def _settle_shares(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each share's open passages, one a row under a key of its own, and its marks (key null)."""
+    for marks, t, still, complete in _settled(rows):
+        if marks is not None and marks.num_rows:
+            yield _mark_rows(marks)
+        lists = _lists(t)
+        length = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(length)), length)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+        some = np.flatnonzero(still & complete[row])
+        if len(some):
+            passages = pa.array(lists.flatten().to_numpy(zero_copy_only=False)[some])
+            doc, text, start = (t.column(c).to_numpy()[row[some]] for c in ("doc_id", "text_key", "start"))
+            one = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32)), passages)
+            yield _suffix_rows(passages, pa.array(doc), pa.array(text), pa.array((start + at[some]).astype(np.int32)), one)
+
+
+def _with_hot_settled(found: DataFrame) -> DataFrame:
+    """``found`` with the rows of hot keys settled in shares, which hand on one copy of a passage that they hold twice.
+
+    What is handed on goes by its passage, not by the hot key: passages of one key may differ where a shared one ends.
+    """
+    salt = F.pmod(F.xxhash64("doc_id", "text_key", "start"), F.lit(SALTS))
+    shares = found.where("hot").drop("hot").withColumn("salt", salt).repartition("key", "salt").sortWithinPartitions("key", "salt").drop("salt")
+    settled = shares.mapInArrow(_settle_shares, SUFFIX)
+    return found.where("not hot").drop("hot").unionByName(stored(settled, "suffixes"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, span, start_word, end_word (exclusive), n_words of every maximal repeated span."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = stored(_prefix_counts(docs).where("n > 1").select("key"), "prefixes")
-    found = stored(_candidates(docs, bitmap(shared)), "suffixes")
+    shared = stored(_prefix_counts(docs).where("n > 1"), "prefixes")
+    hot = bitmap(shared.where(F.col("n") > HOT).select("key"))  # other keys that it lets through take both steps too, with the same result
+    found = _with_hot_settled(stored(_candidates(docs, bitmap(shared.select("key")), hot), "suffixes"))
     within = found.where("key is null").select("doc_id", "text_key", F.col("start").alias("first"), F.col("passages")[0].cast("int").alias("last"))
     across = found.where("key is not null").repartition("key").sortWithinPartitions("key").mapInArrow(_compare_neighbours, MARK)
     ends = within.unionByName(across).groupBy("doc_id", "text_key", "first").agg((F.max("last") + MIN_WORDS).alias("end"))

@@ -70,6 +70,25 @@ def test_pieces_and_carried_rows_do_not_change_the_result(spark, monkeypatch):
     assert got == brute_force(rows)
 
 
+@pytest.mark.parametrize("salts", [1, 5])
+def test_hot_keys_are_settled_in_shares(spark, monkeypatch, salts):
+    """Keys that many documents hold go through both steps, and few of their rows reach the second."""
+    passage = prose(70)
+    rows = corpus()[:60] + [(1000 + i, " ".join([*prose(i % 9), *passage[i % 3 :], *prose(i % 5)])) for i in range(300)]
+    monkeypatch.setattr(substrings, "HOT", 4)
+    monkeypatch.setattr(substrings, "SALTS", salts)
+    monkeypatch.setattr(substrings, "PIECE", 2000)
+    seen = []
+    settled = substrings._with_hot_settled
+    monkeypatch.setattr(substrings, "_with_hot_settled", lambda found: seen.append((found, settled(found))) or seen[-1][1])
+    got = {}
+    for r in substrings.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect():
+        got.setdefault(r.doc_id, set()).add((r.start_word, r.end_word))
+    assert got == brute_force(rows)
+    before, after = (max(r["count"] for r in df.where("key is not null").groupBy("key").count().collect()) for df in seen[0])
+    assert after <= max(salts, substrings.HOT) < before
+
+
 def test_no_rows(spark):
     assert substrings.repeated_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
