@@ -564,15 +564,21 @@ def _gone_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def representatives(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the smallest doc_id; all columns as they were.
 
-    Rows equal in doc_id and words are the one document and stay or go
-    together; rows without a doc_id or without words stay. A bitmap of fixed
+    Of rows equal in doc_id and words one stays, the first by a hash of all
+    columns; rows without a doc_id or without words stay. A bitmap of fixed
     size keeps apart the rows that may have to go: only these are joined with
     the list of what goes, all others stay where they are.
     """
-    found = classes(docs)
-    gone = found.where((F.col("class_id") != F.col("doc_id")) & F.col("k1").isNotNull()).distinct()
-    gone = stored(gone.select(F.col("doc_id").alias("__d"), F.col("k1").alias("__g1"), F.col("k2").alias("__g2")), "gone")
-    places = bitmap(gone.mapInArrow(_gone_keys, "key long"))
+    columns = docs.columns
+    own = ["doc_id", "class_id", "k1", "k2"]
+    found = classes(docs).where("doc_id is not null and k1 is not null").groupBy(*own).agg(F.count(F.lit(1)).alias("n"))
+    found = found.where("class_id != doc_id or n > 1")
+    some = stored(found.select(F.col("doc_id").alias("__d"), F.col("k1").alias("__g1"), F.col("k2").alias("__g2"), (F.col("class_id") == F.col("doc_id")).alias("__one")), "gone")
+    places = bitmap(some.mapInArrow(_gone_keys, "key long"))
     same = (F.col("doc_id").cast("long") == F.col("__d")) & (F.col("__k1") == F.col("__g1")) & (F.col("__k2") == F.col("__g2"))
-    kept = _let_through(docs, places, True).join(gone, same, "left_anti")
-    return _let_through(docs, places, False).unionByName(kept).drop("__k1", "__k2")
+    asked = _let_through(docs, places, True).join(some, same, "left").where(F.coalesce("__one", F.lit(True)))
+    asked = stored(asked.drop("__k1", "__k2"), "asked")
+    order = Window.partitionBy("__d", "__g1", "__g2").orderBy(F.xxhash64(F.to_json(F.struct(*columns))))
+    first = asked.where("__one").withColumn("__n", F.row_number().over(order)).where("__n = 1")
+    kept = asked.where("__one is null").select(*columns).unionByName(first.select(*columns))
+    return _let_through(docs, places, False).drop("__k1", "__k2").unionByName(kept)
