@@ -1,9 +1,10 @@
 """Benchmark decontamination: training passages query a BM25 index of test items with block-max WAND.
 
 Every document is cut into overlapping passages, long enough that an item
-anywhere in it lies whole in one of them. The index holds for each term the
-BM25 weight of each item, divided by the item's own full score, and for each
-block of items the largest weight. As in WAND, an item's light terms (together
+anywhere in it lies whole in one of them. The index holds for each block of
+items the BM25 weights of its terms, divided by the item's own full score, and
+for each term the blocks that hold it with the largest weight of each (no
+table of all terms and blocks). As in WAND, an item's light terms (together
 at most ``LIGHT`` of its score) are left out of the block maxima, since the
 others must bring the rest: a passage looks at the items of a block only if
 the maxima of its terms reach the threshold less ``LIGHT``, which refuses no
@@ -17,7 +18,9 @@ is only one sentence). The table of items is a benchmark, bounded by
 
 Defined results: an item or document without words neither leaks nor is
 leaked; items shorter than three words are compared by all their words;
-repeated items and documents are each reported; an empty table gives no rows.
+repeated items and documents are each reported; texts of any length are read
+whole; an empty table gives no rows; other columns are not read, and ``clean``
+hands them on whatever their names.
 """
 
 from __future__ import annotations
@@ -40,7 +43,11 @@ OVERLAP = 0.7
 GRAM = 3
 BLOCK = 8
 LIGHT = 0.35
+#: What the block maxima of a passage must come to.
+LEAST = THRESHOLD - LIGHT - 1e-6
 MAX_ITEMS = 200_000
+#: Sums of block maxima held at a time, and block postings added up for them.
+SUMS, POSTINGS = 1 << 20, 1 << 22
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
 
 
@@ -82,14 +89,16 @@ class ItemIndex:
             item.append(np.full(len(at), i))
             weight.append(w / w.sum())
         term, item, weight = (np.concatenate(x) if n else np.empty(0, k) for x, k in ((term, np.int64), (item, np.int64), (weight, float)))
-        order = np.lexsort((item, term))
-        self.item, self.weight = item[order], weight[order]
-        self.cut = np.searchsorted(term[order], np.arange(len(self.terms) + 1))
         self.blocks = max(1, -(-n // BLOCK))
-        self.top = np.zeros((len(self.terms) + 1, self.blocks), dtype=np.float32)  # the last row: a word of no item
+        order = np.lexsort((item, term, item // BLOCK))
+        self.term, self.item, self.weight = term[order].astype(np.int32), item[order].astype(np.int32), weight[order]
+        self.cut = np.searchsorted(self.item // BLOCK, np.arange(self.blocks + 1))
         heavy = self._heavy(item, weight)
-        np.maximum.at(self.top, (term[heavy], item[heavy] // BLOCK), weight[heavy])
-        self.live = self.top.any(axis=1)
+        place, at = np.unique(term[heavy] * self.blocks + item[heavy] // BLOCK, return_inverse=True)
+        top = np.zeros(len(place))
+        np.maximum.at(top, at, weight[heavy])
+        self.top, self.top_block = top.astype(np.float32), (place % self.blocks).astype(np.int32)
+        self.top_cut = np.searchsorted(place // self.blocks, np.arange(len(self.terms) + 2))  # the last but one: a word of no item
         self.maybe = np.zeros(1 << 16, dtype=bool)
         self.maybe[(self.terms >> np.uint64(48)).astype(np.int64)] = True
         parts = [question_and_answer(t) for t in texts]
@@ -127,34 +136,46 @@ class ItemIndex:
     def retrieve(self, words: WordBatch) -> list[tuple[int, int, float]]:
         """(text, item, score) of every item that some passage of the text scores at least ``THRESHOLD``."""
         term = self.lookup(words.hash)
-        hit = np.flatnonzero(self.live[term])
+        size = np.diff(self.top_cut)
+        hit = np.flatnonzero(size[term])
         first, last, doc = self.passages(words)
         if not len(hit) or not len(first):
             return []
-        # Upper bounds of all passages and blocks: sums of block maxima over the passage's words.
-        run = np.zeros((len(hit) + 1, self.blocks), dtype=np.float64)
-        np.cumsum(self.top[term[hit]], axis=0, out=run[1:])
         a, b = np.searchsorted(hit, first), np.searchsorted(hit, last)
         best: dict[tuple[int, int], float] = {}
-        least = THRESHOLD - LIGHT - 1e-6
-        some = np.flatnonzero((run[b] - run[a] >= least).any(axis=1))
-        for p in some.tolist():
+        for p in self._passages_of_note(term[hit], size, a, b):
             terms = np.unique(term[first[p] : last[p]])
             terms = terms[terms < len(self.terms)]
-            blocks = np.flatnonzero(self.top[terms].sum(axis=0, dtype=np.float64) >= least)  # each word once now
-            if not len(blocks):
-                continue
-            open_ = np.zeros(self.blocks, dtype=bool)
-            open_[blocks] = True
-            at = np.concatenate([np.arange(self.cut[t], self.cut[t + 1]) for t in terms])
-            item, weight = self.item[at], self.weight[at]
-            ok = open_[item // BLOCK]
-            score = np.bincount(item[ok], weights=weight[ok], minlength=len(self.ids))
-            for i in np.flatnonzero(score >= THRESHOLD - 1e-9).tolist():
-                key = (int(doc[p]), i)
-                best[key] = max(best.get(key, 0.0), float(score[i]))
+            for block in np.flatnonzero(self._sums(terms, np.zeros(len(terms), np.int64), 1)[0] >= LEAST):  # each word once now
+                s = slice(self.cut[block], self.cut[block + 1])
+                ok = np.isin(self.term[s], terms)
+                score = np.bincount(self.item[s][ok] - block * BLOCK, weights=self.weight[s][ok], minlength=BLOCK)
+                for i in np.flatnonzero(score >= THRESHOLD - 1e-9).tolist():
+                    key = (int(doc[p]), int(block) * BLOCK + i)
+                    best[key] = max(best.get(key, 0.0), float(score[i]))
         return [(d, i, s) for (d, i), s in sorted(best.items())]
 
+    def _sums(self, terms: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+        """Sums of block maxima, rows x blocks, over the terms of each row."""
+        size = self.top_cut[terms + 1] - self.top_cut[terms]
+        at = np.repeat(self.top_cut[terms] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        place = np.repeat(row, size) * self.blocks + self.top_block[at]
+        return np.bincount(place, weights=self.top[at], minlength=rows * self.blocks).reshape(rows, self.blocks)
+
+    def _passages_of_note(self, term: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[int]:
+        """Passages (words ``a`` to ``b`` of ``term``) whose words, repeats counted, bring some block to ``LEAST``."""
+        cost = np.append(0, np.cumsum(size[term]))
+        cost = np.append(0, np.cumsum(cost[b] - cost[a]))
+        lo = 0
+        while lo < len(a):
+            most = np.searchsorted(cost, cost[lo] + POSTINGS, "right") - 1
+            hi = max(lo + 1, min(int(most), lo + SUMS // self.blocks))
+            n = (b - a)[lo:hi]
+            row = np.repeat(np.arange(hi - lo), n)
+            at = np.repeat(a[lo:hi] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            yield from (lo + np.flatnonzero((self._sums(term[at], row, hi - lo) >= LEAST).any(axis=1))).tolist()
+            lo = hi
+
     def leaks(self, words: WordBatch) -> list[tuple[int, int, float, float, float]]:
         """(text, item, score, question overlap, answer overlap) of verified items."""
         out, have, last = [], None, -1

@@ -1,3 +1,5 @@
+import pickle
+
 import numpy as np
 import pyarrow.parquet as pq
 
@@ -17,9 +19,8 @@ def prose(n):
 def brute_force(index: ItemIndex, texts, items):
     """Every passage against every item, by the definition of the score and the overlaps."""
     weights = [dict() for _ in index.ids]
-    for t in range(len(index.terms)):
-        for at in range(index.cut[t], index.cut[t + 1]):
-            weights[index.item[at]][int(index.terms[t])] = index.weight[at]
+    for t, i, w in zip(index.term, index.item, index.weight):
+        weights[i][int(index.terms[t])] = w
     out = set()
     for d, text in enumerate(texts):
         words = WordBatch([text])
@@ -75,3 +76,24 @@ def test_edges(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 5]
     assert decontam.contamination(docs, items.limit(0)).count() == 0 and decontam.clean(docs, items.limit(0)).count() == len(rows)
     assert decontam.contamination(docs.limit(0), items).count() == 0
+
+
+def test_an_index_of_many_items_is_small_and_finds_them():
+    """20,000 items over 40,000 words: a table of all terms and blocks would take 400 MB."""
+    rng = np.random.default_rng(8)
+    words = np.asarray([f"v{i}" for i in range(40_000)])
+    items = [" ".join(words[np.minimum(rng.zipf(1.2, 32), 40_000) - 1]) + "." for _ in range(20_000)]
+    index = ItemIndex(list(range(len(items))), items)
+    assert len(pickle.dumps(index)) < 40_000_000
+    texts = [" ".join(words[np.minimum(rng.zipf(1.2, 500), 40_000) - 1]) for _ in range(40)]
+    for i in range(0, 40, 2):
+        texts[i] += " " + items[i * 311]
+    got = {(d, i) for d, i, *_ in index.leaks(WordBatch(texts))}
+    assert {(i, i * 311) for i in range(0, 40, 2)} <= got
+    assert all(_shares(items[i], texts[d]) for d, i in got)
+
+
+def _shares(item, text):
+    own, has = WORD.findall(item), WORD.findall(text)
+    have = {tuple(has[k : k + GRAM]) for k in range(len(has))}
+    return np.mean([tuple(own[k : k + GRAM]) in have for k in range(len(own) - GRAM + 1)]) >= OVERLAP / 2
