@@ -7,11 +7,11 @@ space) equals the link's.
 
 Edge weights count what both pages share (links, or words weighted by
 ``min/max`` of their counts). They are computed on long tables, never by
-copying whole arrays onto every edge: each resolved edge walks the items of
-its *smaller* page and probes the larger page on ``(page, year, item)``.
-Work is ``sum(min(deg(src), deg(dst)))`` over resolved edges, and the probe
-join is spread over items, so a page holding a large share of all links or
-words does not pile up in one task.
+copying whole arrays onto every edge: each pair of linked pages walks the items
+of its *smaller* page and probes the larger page on ``(page, item)``. Walked
+rows carry page numbers, not titles. Work is at most ``sum(min(deg(src),
+deg(dst)))`` over resolved edges, and the probe join is spread over items, so
+a page holding a large share of all links or words does not pile up in one task.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from revgraph.functions.arrays import explode_nonempty
 from revgraph.functions.text import title_key
 
 EDGE_KEY = ["src", "dst", "year"]
+#: The number of a pair's smaller page, whose items are walked, and of the larger, which is probed.
+WALK, PROBE = ["walk_0", "walk_1"], ["probe_0", "probe_1"]
 
 
 def with_title_key(pages: DataFrame) -> DataFrame:
@@ -104,36 +106,66 @@ def graph_endpoints(nodes: DataFrame, edge_table: DataFrame) -> DataFrame:
     )
 
 
-def _shared_items(resolved: DataFrame, items: DataFrame, contribution: Column) -> DataFrame:
-    """One row ``src, dst, year, c`` per item two resolved edge ends share.
+def _number(names: list[str], *columns: str) -> list[Column]:
+    """A page's number: two seeded 64-bit hashes of its key and year.
 
-    ``resolved``: ``src, dst, year, src_key, dst_key, src_deg, dst_deg``.
-    ``items``: ``key, year, item, v`` with ``(key, year, item)`` unique.
-    ``contribution`` may use ``v_walk`` and ``v_probe``.
+    Numbers need neither a shuffle nor a stored dictionary and are the same in
+    every retry; among 10 billion pages two equal ones have a chance of 1e-19.
     """
-    src_small = F.col("src_deg") <= F.col("dst_deg")
-    walk = resolved.select(
-        *EDGE_KEY,
-        F.when(src_small, F.col("src_key")).otherwise(F.col("dst_key")).alias("walk_key"),
-        F.when(src_small, F.col("dst_key")).otherwise(F.col("src_key")).alias("probe_key"),
+    return [F.xxhash64(F.lit(seed), *columns).alias(name) for seed, name in enumerate(names)]
+
+
+def _pairs(found: DataFrame) -> DataFrame:
+    """Edges with the numbers of their smaller (``WALK``) and larger page (``PROBE``).
+
+    Links in both directions and several spellings of a target are one pair of
+    pages. An edge without a target has a pair of its own, which nothing matches.
+    """
+    smaller = F.struct("src_deg", "src_key") <= F.struct("dst_deg", "dst_key")
+    src_small = F.col("dst_deg").isNull() | smaller
+    keyed = found.withColumns(
+        {
+            "walk_key": F.when(src_small, F.col("src_key")).otherwise(F.col("dst_key")),
+            "probe_key": F.when(src_small, F.col("dst_key")).otherwise(F.col("src_key")),
+        }
     )
-    a = items.select(F.col("key").alias("walk_key"), "year", "item", F.col("v").alias("v_walk"))
-    b = items.select(F.col("key").alias("probe_key"), "year", "item", F.col("v").alias("v_probe"))
-    shared = walk.join(a, ["walk_key", "year"]).join(b, ["probe_key", "year", "item"])
-    return shared.select(*EDGE_KEY, contribution.alias("c"))
+    return keyed.select("*", *_number(WALK, "walk_key", "year"), *_number(PROBE, "probe_key", "year"))
 
 
-def _weighted_edges(e: DataFrame, pages: DataFrame, items: DataFrame, degree: Column, contribution: Column, zero) -> DataFrame:
-    """Every edge of ``e`` with the sum of its shared-item contributions.
+def _items(df: DataFrame, bag: str, value: str, *keep: str) -> DataFrame:
+    """One row ``*keep, item, value`` per item of a page: its links (each 1), or its words with their counts."""
+    if bag == "links":
+        gen, nonempty = explode_nonempty(bag, "item")
+        return df.select(*keep, gen, F.lit(1).alias(value)).filter(nonempty)
+    gen, nonempty = explode_nonempty(bag, "item", value)
+    return df.select(*keep, gen).filter(nonempty)
 
-    Each edge also enters the sum once with ``zero``, so unresolved targets
-    and edges with nothing in common get weight 0 from the same aggregation
-    (one shuffle, map-side combined) instead of a join back to all edges.
+
+def weigh(found: DataFrame, pages: DataFrame, bag: str, contribution: Column, zero) -> DataFrame:
+    """``src, dst, year, weight``: every edge with the sum over the items that its pages share.
+
+    ``found``: ``src, dst, year, src_key, dst_key, src_deg, dst_deg``, the last
+    null where no page is the target. ``bag`` is the pages' column of ``links``
+    or words; ``contribution`` may use ``v_walk`` and ``v_probe``. A pair of
+    pages is walked once. Its smaller page arrives as one row, whose items are
+    laid out after the join; these rows, which are shuffled, hold numbers and
+    an item. Titles come back after the sum. Edges without a target or with
+    nothing in common weigh ``zero``.
     """
-    resolved = e.join(_targets(pages, degree), ["dst_key", "year"])
-    shared = _shared_items(resolved, items, contribution)
-    every = e.select(*EDGE_KEY, F.lit(zero).alias("c"))
-    return shared.unionByName(every).groupBy(*EDGE_KEY).agg(F.sum("c").alias("weight"))
+    e = _pairs(found)
+    p = with_title_key(pages)
+    walk = e.where(F.col("dst_deg").isNotNull()).select(*WALK, *PROBE).distinct()
+    smaller = walk.join(p.select(*_number(WALK, "title_key", "year"), bag), WALK)
+    a = _items(smaller, bag, "v_walk", *WALK, *PROBE)
+    b = _items(p.select(*_number(PROBE, "title_key", "year"), bag), bag, "v_probe", *PROBE)
+    sums = a.join(b, [*PROBE, "item"]).groupBy(*WALK, *PROBE).agg(F.sum(contribution).alias("sum"))
+    return e.join(sums, [*WALK, *PROBE], "left").select(*EDGE_KEY, F.coalesce("sum", F.lit(zero)).alias("weight"))
+
+
+def _weighted_edges(e: DataFrame, pages: DataFrame, bag: str, contribution: Column, zero) -> DataFrame:
+    """Every edge of ``e`` with its weight."""
+    targets = own_exchange(_targets(pages, F.size(bag)), "dst_key", "year")
+    return weigh(e.join(targets, ["dst_key", "year"], "left"), pages, bag, contribution, zero)
 
 
 def _with_source(edge_keys: DataFrame, pages: DataFrame, degree: Column) -> DataFrame:
@@ -148,20 +180,6 @@ def walked_rows(pages: DataFrame, degree: Column) -> DataFrame:
     return resolved.agg(F.coalesce(F.sum(F.least("src_deg", "dst_deg").cast("long")), F.lit(0).cast("long")).alias("rows"))
 
 
-def link_items(pages: DataFrame) -> DataFrame:
-    """Long link table ``key, year, item, v``."""
-    p = with_title_key(pages)
-    gen, nonempty = explode_nonempty("links", "item")
-    return p.select(F.col("title_key").alias("key"), "year", gen, F.lit(1).alias("v")).filter(nonempty)
-
-
-def word_items(pages: DataFrame) -> DataFrame:
-    """Long word-count table ``key, year, item, v`` from the ``wordcount`` map."""
-    p = with_title_key(pages)
-    gen, nonempty = explode_nonempty("wordcount", "item", "v")
-    return p.select(F.col("title_key").alias("key"), "year", gen).filter(nonempty)
-
-
 def _word_ratio() -> Column:
     n1 = F.col("v_walk").cast("double")
     n2 = F.col("v_probe").cast("double")
@@ -174,23 +192,19 @@ def link_edges(pages: DataFrame) -> DataFrame:
     0 when the target page is absent or nothing is shared; self-links count
     all the page's links.
     """
-    degree = F.size("links")
-    return _weighted_edges(edges(pages, degree), pages, link_items(pages), degree, F.lit(1).cast("bigint"), 0)
+    return _weighted_edges(edges(pages), pages, "links", F.lit(1).cast("bigint"), 0)
 
 
 def word_edges(pages: DataFrame) -> DataFrame:
     """weight = sum over shared words of ``min(n1,n2)/max(n1,n2)`` (double)."""
-    degree = F.size("wordcount")
-    return _weighted_edges(edges(pages, degree), pages, word_items(pages), degree, _word_ratio(), 0.0)
+    return _weighted_edges(edges(pages, F.size("wordcount")), pages, "wordcount", _word_ratio(), 0.0)
 
 
 def link_weights(edge_keys: DataFrame, pages: DataFrame) -> DataFrame:
     """A5 for the given edges ``src, src_key, year, dst, dst_key`` only; ``pages`` hold their ends."""
-    degree = F.size("links")
-    return _weighted_edges(_with_source(edge_keys, pages, degree), pages, link_items(pages), degree, F.lit(1).cast("bigint"), 0)
+    return _weighted_edges(_with_source(edge_keys, pages, F.size("links")), pages, "links", F.lit(1).cast("bigint"), 0)
 
 
 def word_weights(edge_keys: DataFrame, pages: DataFrame) -> DataFrame:
     """A6 for the given edges only."""
-    degree = F.size("wordcount")
-    return _weighted_edges(_with_source(edge_keys, pages, degree), pages, word_items(pages), degree, _word_ratio(), 0.0)
+    return _weighted_edges(_with_source(edge_keys, pages, F.size("wordcount")), pages, "wordcount", _word_ratio(), 0.0)
