@@ -13,7 +13,9 @@ landmarks share (at least two) span the kernel.
 
 Defined results: ``und`` with score 0.0 for a null text, one without a letter,
 or when nothing could be learned; other texts get the language of the highest
-value (ties: first in order of name); repeated rows are scored each.
+value (ties: first in order of name); repeated rows are scored each. Whole texts
+count, however long. An empty table gives no rows; other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
@@ -28,10 +30,12 @@ from pyspark.sql import functions as F
 
 from revgraph.llm.common import fold, pieces
 
-#: Bounds of what is learned from: documents a language, languages, landmarks.
+#: Bounds of what is learned from: documents a language and in all, landmarks (one a language at least).
 PER_LANGUAGE = 256
-LANGUAGES = 256
+SAMPLE = 65536
 LANDMARKS = 128
+#: Every language is learned; a table with more than so many is refused.
+LANGUAGES = 2048
 SIZES = (2, 3, 4)
 PLACES = 1 << 16
 COLUMNS = 8192
@@ -110,14 +114,18 @@ class Model:
 
 
 def _sample(docs: DataFrame, learn: Column) -> DataFrame:
-    """(lang, places) of at most PER_LANGUAGE documents of each of the LANGUAGES most frequent languages."""
+    """(doc_id, lang, places) of at most PER_LANGUAGE documents of each language, evenly fewer where these would be over SAMPLE."""
     known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    frequent = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "lang").limit(LANGUAGES)
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).limit(LANGUAGES + 1).collect()
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"documents of more than {LANGUAGES} languages")
+    per = max(1, min(PER_LANGUAGE, SAMPLE // max(1, len(counts))))
+    languages = docs.sparkSession.createDataFrame([tuple(r) for r in counts], "lang string, _n long")
     # Few ids reach the window: a share of the hash range that is 8 standard deviations wider than needed.
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52)) / float(1 << 52)
-    near = known.select("doc_id", "lang").join(F.broadcast(frequent), "lang").where(place <= (PER_LANGUAGE + 8 * PER_LANGUAGE**0.5) / F.col("_n"))
+    near = known.select("doc_id", "lang").join(F.broadcast(languages), "lang").where(place <= (per + 8 * per**0.5) / F.col("_n"))
     order = Window.partitionBy("lang").orderBy(place, "doc_id")
-    ids = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= PER_LANGUAGE)
+    ids = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,18 +142,25 @@ def _sample(docs: DataFrame, learn: Column) -> DataFrame:
 def fit(docs: DataFrame, learn: Column) -> Model:
     """Learn from text and lang of the documents that ``learn`` allows."""
     docs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    rows = _sample(docs, learn).collect()  # at most PER_LANGUAGE * LANGUAGES rows of at most PLACES numbers
-    rows = [r for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["places"])) if r["places"]]
-    languages = sorted({r["lang"] for r in rows})
+    sample = _sample(docs, learn).toArrow().combine_chunks()  # at most SAMPLE rows of at most PLACES 32-bit numbers
+    lists = sample.column("places").combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    cut, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    rows = [(lang, i, flat[a:b]) for lang, i, a, b in zip(sample.column("lang").to_pylist(), sample.column("doc_id").to_pylist(), cut, cut[1:]) if a < b]
+    rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
+    languages = sorted({lang for lang, *_ in rows})
     none = np.full(PLACES, -1, dtype=np.int64)
     if not languages:
         return Model([], none, np.zeros((0, 0), np.float32), np.zeros((0, 0)))
     each = max(1, LANDMARKS // len(languages))
-    by = {lang: [i for i, r in enumerate(rows) if r["lang"] == lang] for lang in languages}
-    marks = [i for lang in languages for i in by[lang][:each]]
+    which = {lang: k for k, lang in enumerate(languages)}
+    label = np.asarray([which[lang] for lang, *_ in rows])
+    size = np.bincount(label, minlength=len(languages))
+    start = np.cumsum(size) - size
+    marks = [i for a, n in zip(start.tolist(), size.tolist()) for i in range(a, a + min(each, n))]
     shared = np.zeros(PLACES, dtype=np.int64)
     for i in marks:
-        shared[rows[i]["places"]] += 1
+        shared[rows[i][2]] += 1
     order = np.lexsort((np.arange(PLACES), -shared))[:COLUMNS]
     columns = np.sort(order[shared[order] >= min(2, len(marks))])
     column = none.copy()
@@ -154,7 +169,7 @@ def fit(docs: DataFrame, learn: Column) -> Model:
     def matrix(which: list[int]) -> np.ndarray:
         out = np.zeros((len(which), len(columns)), dtype=np.float32)
         for k, i in enumerate(which):
-            at = column[rows[i]["places"]]
+            at = column[rows[i][2]]
             out[k, at[at >= 0]] = 1.0
         return out / np.sqrt(np.maximum(out.sum(axis=1, keepdims=True), 1))
 
@@ -162,11 +177,14 @@ def fit(docs: DataFrame, learn: Column) -> Model:
     own = (landmarks.T @ landmarks).astype(np.float64)
     value, vector = np.linalg.eigh(own)
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-6))) @ vector.T
-    y = np.asarray([[1.0 if r["lang"] == lang else 0.0 for lang in languages] for r in rows])
-    share = np.asarray([len(by[r["lang"]]) for r in rows], dtype=np.float64)
-    weight = (len(rows) / len(languages) / share)[:, None]
-    features = np.concatenate([matrix(list(range(a, min(a + 512, len(rows))))) @ landmarks for a in range(0, len(rows), 512)]).astype(np.float64) @ root
-    ridge = np.linalg.solve(features.T @ (features * weight) + RIDGE * len(rows) * np.eye(len(marks)), features.T @ (y * weight))
+    gram, target = np.zeros((len(marks), len(marks))), np.zeros((len(marks), len(languages)))
+    for a in range(0, len(rows), 512):
+        part = label[a : a + 512]
+        features = (matrix(list(range(a, a + len(part)))) @ landmarks).astype(np.float64) @ root
+        weighted = features * (len(rows) / len(languages) / size[part])[:, None]
+        gram += features.T @ weighted
+        target += weighted.T @ np.eye(len(languages))[part]
+    ridge = np.linalg.solve(gram + RIDGE * len(rows) * np.eye(len(marks)), target)
     return Model(languages, column, landmarks, root @ ridge)
 
 

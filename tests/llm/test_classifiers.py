@@ -53,6 +53,22 @@ def test_language_of_brute_force_kernel():
         assert got == "ab"[int((kernel @ model.weights).argmax())]
 
 
+def test_hundreds_of_languages_are_all_learned(spark, monkeypatch):
+    """Every language can be predicted, the rare ones too; more than the stated number are refused, not cut off."""
+    words = [[f"{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}{chr(97 + k // 7 % 26)}{x}" for x in ("lo", "mi", "ra", "tu")] for k in range(300)]
+    rows = [(3 * k + i, f"l{k:03}", " ".join(words[k][i:] + words[k] * 2)) for k in range(300) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.fit(docs, F.lit(True))
+    assert len(model.languages) == 300 and model.landmarks.shape[1] >= 300
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, model).collect()}
+    assert sum(got[i] == lang for i, lang, _ in rows) > 0.9 * len(rows)
+    monkeypatch.setattr(langid, "SAMPLE", 400)  # fewer documents of each, but of every language
+    assert len(langid.fit(docs, F.lit(True)).languages) == 300
+    monkeypatch.setattr(langid, "LANGUAGES", 299)
+    with pytest.raises(ValueError, match="299"):
+        langid.fit(docs, F.lit(True))
+
+
 def test_language_edges(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.fit(docs, F.col("doc_id") % 5 != 0)
