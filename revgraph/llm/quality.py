@@ -8,8 +8,11 @@ becomes a probability by a logistic curve fitted on labelled documents that
 the dictionaries have not seen.
 
 Defined results: a null or empty text has no blocks and the score of no
-difference; repeated rows are scored each; without labelled documents of
-both classes every score is the share of the class seen (0.0 with none).
+difference; repeated rows are scored each, texts with equal sizes alike; very
+long texts are compressed whole; an empty table gives no rows and other columns
+are not read; without labelled documents of both classes every score is the
+share of the class seen (0.0 with none). The dictionaries learn from whole
+texts, up to ``CLASS_BYTES`` of each class.
 """
 
 from __future__ import annotations
@@ -20,15 +23,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from revgraph.llm.common import pieces
 from revgraph.llm.labelled import class_weights, labelled_sample, logistic, sigmoid
 
-#: Bounds of what is learned from: documents a class, blocks a document, bytes of a dictionary.
+#: Bounds of what is learned from: documents a class, bytes of their whole texts a class, bytes of a dictionary.
 PER_CLASS = 4096
-BLOCKS_EACH = 16
+CLASS_BYTES = 8 << 20
 DICTIONARY_BYTES = 65536
 BLOCK_BYTES = 128
 LEVEL = 3
@@ -89,16 +92,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
     sample, totals = labelled_sample(docs, labels, label, learn, per_class)
     sample = sample.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(CURVE_FOLD)))
 
-    def excerpts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in pieces(batch):
-                own = [blocks(t) for t in texts]
-                own = [b if len(b) <= BLOCKS_EACH else [b[i * len(b) // BLOCKS_EACH] for i in range(BLOCKS_EACH)] for b in own]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("label").cast(pa.int32()), pa.array(own, pa.list_(pa.binary()))], names=["doc_id", "label", "blocks"])
-
-    rows = sample.where(F.col("fold") != 0).mapInArrow(excerpts, "doc_id long, label int, blocks array<binary>").collect()  # at most 2 * per_class * BLOCKS_EACH blocks
-    rows.sort(key=lambda r: (r["doc_id"], r["label"], r["blocks"]))
-    by = {c: [bytes(b) for r in rows if r["label"] == c for b in r["blocks"]] for c in (0, 1)}
+    # Whole texts in order of a hash, as long as a class has room; one that alone exceeds the room is not learned from.
+    size = F.octet_length("text").cast("long")
+    order = Window.partitionBy("label").orderBy(F.xxhash64("text"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    room = sample.where((F.col("fold") != 0) & (size <= CLASS_BYTES)).withColumn("used", F.sum(size).over(order)).where(F.col("used") <= CLASS_BYTES)
+    rows = room.select("doc_id", "label", "text").collect()  # at most CLASS_BYTES a class
+    rows.sort(key=lambda r: (r["doc_id"], r["label"], r["text"]))
+    by = {c: [b for r in rows if r["label"] == c for b in blocks(r["text"])] for c in (0, 1)}
     if not by[0] or not by[1]:
         return Model(constant=1.0 if by[1] else 0.0)
     model = Model(train_dictionary(by[1]), train_dictionary(by[0]))
