@@ -90,7 +90,7 @@ def q_rejected_revisions(spark, sf):
     """Dump text of which some revisions and page heads cannot be read: each is reported with its reason."""
     path = scratch_path(spark, "odd-dump")
     odd_dump(spark, sf).write.text(path)
-    return rejected_revisions(spark, path).select("title", "timestamp", "reject_reason")
+    return rejected_revisions(spark, path).select("title", "timestamp", "record", "reject_reason")
 
 
 def q_latest_per_year(spark, sf):

@@ -223,8 +223,11 @@ FLAT = "WITH" + CORPUS + "\nSELECT title, username, year, ts AS \"timestamp\", t
 SQL: dict[str, str] = {
     "flatten_revisions": FLAT,
     "xml_round_trip": FLAT,
-    "rejected_revisions": """SELECT CASE WHEN doc_id % 10 = 9 THEN 'Odd ' || doc_id END AS title,
+    "rejected_revisions": r"""SELECT CASE WHEN doc_id % 10 = 9 THEN 'Odd ' || doc_id END AS title,
         '2020-01-01T00:00:00Z' AS "timestamp",
+        CASE WHEN doc_id % 10 = 9 THEN '<revision><timestamp>2020-01-01T00:00:00Z</timestamp><text>'
+            || regexp_replace(replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]', ' ', 'g')
+            || ' & b</text></revision>' END AS record,
         CASE WHEN doc_id % 10 = 9 THEN 'malformed revision' ELSE 'page without a readable title' END AS reject_reason
         FROM documents WHERE doc_id % 10 IN (7, 8, 9)""",
     "latest_per_year": BASE + 'SELECT title, year, ts AS "timestamp", text FROM latest',

@@ -17,7 +17,7 @@ text, lang, source``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -85,11 +85,22 @@ def wiki_dump(spark: SparkSession, sf_dir: str, revisions: DataFrame | None = No
     return pages.select("title", F.transform("revision", lambda r: F.struct(r["timestamp"].alias("timestamp"), r["contributor"].alias("contributor"), r["text"].alias("text"))).alias("revision"))
 
 
+#: Code points that XML 1.0 has no way to write.
+NOT_XML = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]"
+
+
+def xml_text(text: Column) -> Column:
+    """``text`` as XML content."""
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(char), F.lit(entity))
+    return F.regexp_replace(text, NOT_XML, " ")
+
+
 def odd_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """XML lines, one page a document, of which some cannot be read: by the last digit of ``doc_id``
-    7 has a bare ``&`` in its title, 8 no title, 9 a bare ``&`` in its text."""
-    d = documents(spark, sf_dir).select("doc_id", (F.col("doc_id") % 10).alias("k"))
+    """XML lines, one page a document with its whole text, of which some cannot be read: by the last
+    digit of ``doc_id`` 7 has a bare ``&`` in its title, 8 no title, 9 a bare ``&`` behind its text."""
+    d = documents(spark, sf_dir).select("doc_id", "text", (F.col("doc_id") % 10).alias("k"))
     title = F.concat(F.lit("Odd "), F.when(F.col("k") == 7, "& ").otherwise(""), F.col("doc_id").cast("string"))
     head = F.when(F.col("k") == 8, "").otherwise(F.concat(F.lit("<title>"), title, F.lit("</title>")))
-    text = F.when(F.col("k") == 9, "a & b").otherwise("a &amp; b")
+    text = F.concat(xml_text(F.coalesce("text", F.lit(""))), F.when(F.col("k") == 9, " & b").otherwise(""))
     return d.select(F.concat(F.lit("<page>"), head, F.lit("<revision><timestamp>2020-01-01T00:00:00Z</timestamp><text>"), text, F.lit("</text></revision></page>")).alias("value"))
