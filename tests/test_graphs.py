@@ -295,6 +295,16 @@ def test_word_edges_walk_the_page_with_fewer_words(spark):
     assert "size(links" not in plan.replace(" ", "")
 
 
+def test_pairs_in_both_directions_and_spellings_are_walked_once(spark):
+    """Equal degrees, mutual links, a target in two spellings, a self-link and a link to no page."""
+    words = {"x": 2, "y": 3}
+    p = pages_df(spark, [("a b", "2020", ["c", "a_b", "gone"], [], words), ("c", "2020", ["a b", "a_b", "gone"], [], {"x": 4, "z": 1}), ("c", "2021", ["a b"], [], words)])
+    got = {(r.src, r.dst, r.year): r.weight for r in word_edges(p).collect()}
+    assert got == {("a b", "c", "2020"): 0.5, ("a b", "a_b", "2020"): 2.0, ("a b", "gone", "2020"): 0.0, ("c", "a b", "2020"): 0.5, ("c", "a_b", "2020"): 0.5, ("c", "gone", "2020"): 0.0, ("c", "a b", "2021"): 0.0}
+    links = {(r.src, r.dst, r.year): r.weight for r in link_edges(p).collect()}
+    assert links == {k: {("a b", "a_b"): 3}.get(k[:2], 2 if k[2] == "2020" and k[1] != "gone" else 0) for k in got}
+
+
 def test_other_spellings_resolve_and_are_no_stubs(spark):
     """A link resolves (J2) if and only if its node is no stub (J3), whatever its spelling."""
     p = pages_df(spark, [("foo bar", "2020", ["foo_bar", "gone", "gone_x", "gone x"], [], {}), ("a_b", "2020", ["a b", "foo bar"], [], {}), ("gone", "2021", [], [], {})])
