@@ -44,8 +44,9 @@ SPREAD = 20
 PREFIX = MIN_WORDS - (SPREAD - 1)
 #: Bytes of text whose passages are settled together.
 PIECE = 1 << 20
-#: Documents from which on a key is dealt out in shares, and their number.
-HOT, SALTS = 256, 64
+#: Documents from which on a key is dealt out in shares, and their number. A share hands on one row for each passage
+#: that it holds, in place of one for each suffix: it must hold many documents, else it hands on more than it got.
+HOT, SALTS = 4096, 64
 
 SUFFIX = "key long, doc_id long, text_key long, start int, passages array<long>"
 MARK = "doc_id long, text_key long, first int, last int"

@@ -89,6 +89,22 @@ def test_hot_keys_are_settled_in_shares(spark, monkeypatch, salts):
     assert after <= max(salts, substrings.HOT) < before
 
 
+def test_keys_of_some_hundred_documents_make_no_more_rows(spark, monkeypatch):
+    """A run of words in 300 documents, in each between others: its suffixes stay whole, as shares of a few documents would save nothing."""
+    run = prose(40)
+    rows = [(i, " ".join([*prose(30), *run, *prose(30)])) for i in range(300)]
+    rows += [(1000 + i, rows[i][1]) for i in range(5)]
+    seen = []
+    settled = substrings._with_hot_settled
+    monkeypatch.setattr(substrings, "_with_hot_settled", lambda found: seen.append((found, settled(found))) or seen[-1][1])
+    got = {}
+    for r in substrings.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect():
+        got.setdefault(r.doc_id, set()).add((r.start_word, r.end_word))
+    assert got == brute_force(rows)
+    before, after = (df.where("key is not null").count() for df in seen[0])
+    assert after <= before
+
+
 def test_no_rows(spark):
     assert substrings.repeated_spans(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
