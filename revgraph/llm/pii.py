@@ -51,9 +51,11 @@ class Feistel:
         self.shift = 1 + int.from_bytes(hashlib.blake2b(b"rotation", key=self.key).digest(), "big") % (size - 1) if size > 1 else 0
 
     def _f(self, step: int, x: int) -> int:
-        raw = step.to_bytes(1, "big") + x.to_bytes((self.half + 7) // 8, "big")
         n = (self.half + 7) // 8
-        return int.from_bytes(hashlib.blake2b(raw, key=self.key, digest_size=max(1, min(64, n))).digest(), "big") & self.mask
+        raw = step.to_bytes(1, "big") + x.to_bytes(n, "big")
+        # every bit of a half must move, and one digest of BLAKE2b has 64 bytes at most
+        digest = hashlib.blake2b(raw, key=self.key, digest_size=n).digest() if n <= 64 else hashlib.shake_256(self.key + raw).digest(n)
+        return int.from_bytes(digest, "big") & self.mask
 
     def _network(self, x: int, steps: range) -> int:
         back = steps.step < 0
