@@ -9,6 +9,8 @@ in the text.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ MARKUP_PATTERN = (
     r"(\[\[(.*?)\]\])|(<ref>(.*?)</ref>)|(<math>(.*?)</math>)|(`'''(.*?)'''`)"
     r"|(==(.*?)==)|(\[(.*?)\])|('''(.*?)''')|(\{\{(.*?)\}\})"
 )
+#: One test of a character before all alternatives: each begins with one of these.
+MARKUP_START = r"(?=[\[<`='{])"
 STRIPPED_CHARS = ".,()[]\n{};!?\"#:+*=/'\\~|<>_"
 EXCLUDED_LINK = "category"
 
@@ -65,7 +69,7 @@ def extract_categories(text) -> Column:
 
 def strip_markup(text) -> Column:
     """Remove links, references, formulas, headings, brackets, bold and templates."""
-    return F.regexp_replace(_col(text), MARKUP_PATTERN, "")
+    return F.regexp_replace(_col(text), f"{MARKUP_START}(?:{MARKUP_PATTERN})", "")
 
 
 def strip_chars(text) -> Column:
@@ -114,7 +118,8 @@ def remove_stop_words(df: DataFrame, input_col: str, output_col: str) -> DataFra
 def words_from_kept(kept) -> Column:
     """E7 after stop words: re-join, strip markup and punctuation, split, drop ``""``."""
     joined = F.array_join(_col(kept), " ")
-    return F.filter(F.split(strip_chars(strip_markup(joined)), " "), lambda w: w != F.lit(""))
+    # The words of ``split(strip_chars(...), " ")``, without a text in between.
+    return F.filter(F.split(strip_markup(joined), f"[ {re.escape(STRIPPED_CHARS)}]+"), lambda w: w != F.lit(""))
 
 
 def clean_words(df: DataFrame, text_col: str = "text", output_col: str = "words") -> DataFrame:

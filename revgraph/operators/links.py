@@ -7,15 +7,22 @@ space) equals the link's.
 
 Edge weights count what both pages share (links, or words weighted by
 ``min/max`` of their counts). They are computed on long tables, never by
-copying whole arrays onto every edge: each pair of linked pages walks the items
+copying large arrays onto every edge: each pair of linked pages walks the items
 of its *smaller* page and probes the larger page on ``(page, item)``. Walked
-rows carry page numbers, not titles. Work is at most ``sum(min(deg(src),
-deg(dst)))`` over resolved edges, and the probe join is spread over items, so
+rows carry page numbers, not titles. The probe join is spread over items, so
 a page holding a large share of all links or words does not pile up in one task.
+
+Words of a pair are compared in one row instead, without a row for each word in
+a shuffle, where that copies few words: the pages are of a like size (``ALIKE``),
+or the larger page has few smaller partners (``PARTNERS``). Either way work is in
+proportion to ``sum(min(deg(src), deg(dst)))`` over resolved edges and the items
+of all pages.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +32,10 @@ from revgraph.functions.text import title_key
 EDGE_KEY = ["src", "dst", "year"]
 #: The number of a pair's smaller page, whose items are walked, and of the larger, which is probed.
 WALK, PROBE = ["walk_0", "walk_1"], ["probe_0", "probe_1"]
+#: Pages are of a like size if the larger has at most so many times the smaller's items, and so many more.
+ALIKE, ALIKE_MORE = 8, 64
+#: A page is copied for so many pages that are not of a like size.
+PARTNERS = 16
 
 
 def with_title_key(pages: DataFrame) -> DataFrame:
@@ -141,7 +152,7 @@ def _items(df: DataFrame, bag: str, value: str, *keep: str) -> DataFrame:
     return df.select(*keep, gen).filter(nonempty)
 
 
-def weigh(found: DataFrame, pages: DataFrame, bag: str, contribution: Column, zero) -> DataFrame:
+def weigh(found: DataFrame, pages: DataFrame, bag: str, contribution: Column, zero, whole: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """``src, dst, year, weight``: every edge with the sum over the items that its pages share.
 
     ``found``: ``src, dst, year, src_key, dst_key, src_deg, dst_deg``, the last
@@ -151,21 +162,56 @@ def weigh(found: DataFrame, pages: DataFrame, bag: str, contribution: Column, ze
     laid out after the join; these rows, which are shuffled, hold numbers and
     an item. Titles come back after the sum. Edges without a target or with
     nothing in common weigh ``zero``.
+
+    With ``whole``, the same sum from two bags, pairs take both bags into one
+    row; only those of a page with more than ``PARTNERS`` much smaller ones are
+    walked.
     """
     e = _pairs(found)
     p = with_title_key(pages)
-    walk = e.where(F.col("dst_deg").isNotNull()).select(*WALK, *PROBE).distinct()
-    smaller = walk.join(p.select(*_number(WALK, "title_key", "year"), bag), WALK)
-    a = _items(smaller, bag, "v_walk", *WALK, *PROBE)
-    b = _items(p.select(*_number(PROBE, "title_key", "year"), bag), bag, "v_probe", *PROBE)
-    sums = a.join(b, [*PROBE, "item"]).groupBy(*WALK, *PROBE).agg(F.sum(contribution).alias("sum"))
+    alike = F.greatest("src_deg", "dst_deg") <= ALIKE * F.least("src_deg", "dst_deg").cast("long") + ALIKE_MORE
+    walk = e.where(F.col("dst_deg").isNotNull()).groupBy(*WALK, *PROBE).agg(F.min(alike).alias("alike"))
+    larger = p.select(*_number(PROBE, "title_key", "year"), bag)
+    if whole is None:
+        sums = _walked(_with_smaller(walk, p, bag), larger, bag, contribution)
+    else:
+        often = walk.where("NOT alike").groupBy(*PROBE).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PARTNERS).select(*PROBE)
+        often = own_exchange(often, *PROBE)
+        few = walk.where("alike").unionByName(walk.where("NOT alike").join(often, PROBE, "left_anti"))
+        pair = _with_smaller(few, p, bag).withColumnRenamed(bag, "bag").join(larger, PROBE)
+        # An exchange after the join, so that the adaptive skew join may split the pairs of a page with many links.
+        compared = pair.select(*WALK, *PROBE, whole(F.col("bag"), F.col(bag)).alias("part")).repartition(*WALK, *PROBE)
+        many = walk.where("NOT alike").join(often, PROBE, "left_semi")
+        sums = compared.unionByName(_walked(_with_smaller(many, p, bag), larger.join(often, PROBE, "left_semi"), bag, contribution))
+    sums = sums.groupBy(*WALK, *PROBE).agg(F.sum("part").alias("sum"))
     return e.join(sums, [*WALK, *PROBE], "left").select(*EDGE_KEY, F.coalesce("sum", F.lit(zero)).alias("weight"))
 
 
-def _weighted_edges(e: DataFrame, pages: DataFrame, bag: str, contribution: Column, zero) -> DataFrame:
-    """Every edge of ``e`` with its weight."""
-    targets = own_exchange(_targets(pages, F.size(bag)), "dst_key", "year")
-    return weigh(e.join(targets, ["dst_key", "year"], "left"), pages, bag, contribution, zero)
+def _with_smaller(walk: DataFrame, pages: DataFrame, bag: str) -> DataFrame:
+    """Pairs with the bag of their smaller page."""
+    return walk.join(pages.select(*_number(WALK, "title_key", "year"), bag), WALK).select(*WALK, *PROBE, bag)
+
+
+def _walked(smaller: DataFrame, larger: DataFrame, bag: str, contribution: Column) -> DataFrame:
+    """``part``: what each item that the two pages of a pair share adds."""
+    a = _items(smaller, bag, "v_walk", *WALK, *PROBE)
+    b = _items(larger, bag, "v_probe", *PROBE)
+    return a.join(b, [*PROBE, "item"]).select(*WALK, *PROBE, contribution.alias("part"))
+
+
+def weigh_links(found: DataFrame, pages: DataFrame) -> DataFrame:
+    """``weigh`` by the number of shared links."""
+    return weigh(found, pages, "links", F.lit(1).cast("bigint"), 0)
+
+
+def weigh_words(found: DataFrame, pages: DataFrame) -> DataFrame:
+    """``weigh`` by the shared words, each with ``min/max`` of its counts."""
+    return weigh(found, pages, "wordcount", _word_ratio(F.col("v_walk"), F.col("v_probe")), 0.0, _word_ratios)
+
+
+def _with_target(e: DataFrame, pages: DataFrame, bag: str) -> DataFrame:
+    """Every edge of ``e`` with its target's degree (NULL if absent)."""
+    return e.join(own_exchange(_targets(pages, F.size(bag)), "dst_key", "year"), ["dst_key", "year"], "left")
 
 
 def _with_source(edge_keys: DataFrame, pages: DataFrame, degree: Column) -> DataFrame:
@@ -180,31 +226,36 @@ def walked_rows(pages: DataFrame, degree: Column) -> DataFrame:
     return resolved.agg(F.coalesce(F.sum(F.least("src_deg", "dst_deg").cast("long")), F.lit(0).cast("long")).alias("rows"))
 
 
-def _word_ratio() -> Column:
-    n1 = F.col("v_walk").cast("double")
-    n2 = F.col("v_probe").cast("double")
+def _word_ratio(n1: Column, n2: Column) -> Column:
+    n1, n2 = n1.cast("double"), n2.cast("double")
     return F.least(n1, n2) / F.greatest(n1, n2)
 
 
+def _word_ratios(words1: Column, words2: Column) -> Column:
+    """The sum of ``_word_ratio`` over the words that both maps hold."""
+    ratio = F.map_zip_with(words1, words2, lambda _, n1, n2: F.when(n1.isNotNull() & n2.isNotNull(), _word_ratio(n1, n2)).otherwise(0.0))
+    return F.aggregate(F.map_values(ratio), F.lit(0.0), lambda total, r: total + r)
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """A5/G1: ``src, dst, year, weight`` with weight = number of shared links.
 
     0 when the target page is absent or nothing is shared; self-links count
     all the page's links.
     """
-    return _weighted_edges(edges(pages), pages, "links", F.lit(1).cast("bigint"), 0)
+    return weigh_links(_with_target(edges(pages), pages, "links"), pages)
 
 
 def word_edges(pages: DataFrame) -> DataFrame:
     """weight = sum over shared words of ``min(n1,n2)/max(n1,n2)`` (double)."""
-    return _weighted_edges(edges(pages, F.size("wordcount")), pages, "wordcount", _word_ratio(), 0.0)
+    return weigh_words(_with_target(edges(pages, F.size("wordcount")), pages, "wordcount"), pages)
 
 
 def link_weights(edge_keys: DataFrame, pages: DataFrame) -> DataFrame:
     """A5 for the given edges ``src, src_key, year, dst, dst_key`` only; ``pages`` hold their ends."""
-    return _weighted_edges(_with_source(edge_keys, pages, F.size("links")), pages, "links", F.lit(1).cast("bigint"), 0)
+    return weigh_links(_with_target(_with_source(edge_keys, pages, F.size("links")), pages, "links"), pages)
 
 
 def word_weights(edge_keys: DataFrame, pages: DataFrame) -> DataFrame:
     """A6 for the given edges only."""
-    return _weighted_edges(_with_source(edge_keys, pages, F.size("wordcount")), pages, "wordcount", _word_ratio(), 0.0)
+    return weigh_words(_with_target(_with_source(edge_keys, pages, F.size("wordcount")), pages, "wordcount"), pages)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revgraph.functions.text import title_key
-from revgraph.operators.links import EDGE_KEY, _targets, _word_ratio, edges, own_exchange, weigh, with_title_key
+from revgraph.operators.links import EDGE_KEY, _targets, edges, own_exchange, weigh_words, with_title_key
 from revgraph.session import stored
 
 PAGE_KEY = ["title_key", "year"]
@@ -89,7 +89,7 @@ def strongest_word_edges(pages: DataFrame, k: int, rounds: tuple[int, ...] = (1,
     def weighed(some: DataFrame) -> DataFrame:
         keys = some.select(F.col("src_key").alias("title_key"), "year").unionByName(some.select(F.col("dst_key").alias("title_key"), "year")).distinct()
         ends = pages.join(keys, PAGE_KEY, "left_semi")
-        return weigh(some, ends, "wordcount", _word_ratio(), 0.0).withColumn("weight", F.round("weight", 6))
+        return weigh_words(some, ends).withColumn("weight", F.round("weight", 6))
 
     def best(weights: DataFrame) -> DataFrame:
         heaviest = Window.partitionBy("year").orderBy(F.col("weight").desc(), "src", "dst")

@@ -72,10 +72,10 @@ def update_tables(spark: SparkSession, pages: DataFrame, path: str, include_unca
         return 0
     within = F.col("year").isin(years)
     pages, g = with_title_key(pages).where(within), {name: df.where(within) for name, df in g.items()}
-    added = stored(pages.join(keys, PAGE_KEY, "left_semi"), "added")
+    added = stored(pages.drop("wordcount").join(keys, PAGE_KEY, "left_semi"), "added")
 
     touched = stored(touched_edges(added, g["edges"]), "touched-edges")
-    ends = stored(ends_of(touched, pages), "touched-pages")
+    ends = stored(ends_of(touched, pages.select(*PAGE_KEY, "links", "wordcount")), "touched-pages")
     replace_rows(spark, path, "edges", link_weights(touched, ends).withColumn("name", edge_name("src", "dst", "year")), years)
     replace_rows(spark, path, "word_edges", word_weights(touched, ends).withColumn("name", F.lit(WORD_EDGE_NAME)), years)
 

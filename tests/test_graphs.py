@@ -321,3 +321,34 @@ def test_questions_without_weights_join_no_items(spark):
     p = pages_df(spark, [("a", "2020", ["b", "b2"], [], {}), ("b", "2020", [], [], {})])
     plan = graph_endpoints(all_nodes(p), edges(p))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 2
+
+
+@pytest.mark.parametrize("alike, more, partners", [(8, 64, 16), (1, 0, 2), (1, 0, 10**6), (0, -1, 0)])
+def test_words_compared_in_one_row_or_walked_weigh_the_same(spark, monkeypatch, alike, more, partners):
+    """Pages of a like size, a large page with few and one with many small partners; a word held once, a page without words."""
+    from revgraph.operators import links
+
+    for name, value in (("ALIKE", alike), ("ALIKE_MORE", more), ("PARTNERS", partners)):
+        monkeypatch.setattr(links, name, value)
+    rows = _random_pages(13, n_pages=30, max_links=4)
+    rows.append(("p0 b", "2020", [f"p{i}" for i in range(30)], [], {f"w{i}": i + 1 for i in range(200)}))
+    rows.append(("empty", "2020", ["p0 b", "p1"], [], {}))
+    p = pages_df(spark, rows)
+    want_links, want_words = _brute(rows)
+    assert {(r.src, r.dst, r.year): r.weight for r in link_edges(p).collect()} == want_links
+    got = {(r.src, r.dst, r.year): r.weight for r in word_edges(p).collect()}
+    assert got.keys() == want_words.keys()
+    for k, v in want_words.items():
+        assert got[k] == pytest.approx(v)
+
+
+def test_words_of_pages_of_a_like_size_are_shuffled_in_no_row_of_their_own(spark):
+    """Pages that few others link to: no row for a word reaches a shuffle."""
+    from revgraph.operators import links
+
+    rows = [(f"p{i}", "2020", [f"p{i + 1}"], [], {f"w{j}": j + 1 for j in range(i, i + 40 if i % 7 else i + 400)}) for i in range(60)]
+    found = links._with_target(links.edges(pages_df(spark, rows), F.size("wordcount")), pages_df(spark, rows), "wordcount")
+    df = links.weigh_words(found, pages_df(spark, rows))
+    assert len(df.collect()) == 60
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode(wordcount" not in plan.split("== Initial Plan ==")[0]
