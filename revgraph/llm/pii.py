@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revgraph.llm.common import pieces
+from revgraph.llm.common import pieces, release
 
 ROUNDS = 10
 #: For tests and sample queries; a deployment passes its own secret.
@@ -361,6 +361,7 @@ def pseudonymise(docs: DataFrame, key: bytes = SAMPLE_KEY) -> DataFrame:
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # what earlier stages left in a worker that Spark uses again
         for batch in batches:
             named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
             for part, texts in pieces(named, f"c{at}"):

@@ -77,3 +77,20 @@ def test_keys_of_any_length_are_replaced_in_full(n):
         a, b = new.split(", and ")
         assert a.removeprefix("here ") == b.removesuffix(".")
         assert not any(value[i : i + 8] in new for i in range(n - 7))
+
+
+def test_what_earlier_stages_left_in_a_worker_is_given_back_first(spark, monkeypatch):
+    import pyarrow as pa
+
+    calls, runs = [], []
+    docs = spark.createDataFrame([(1, "mail a@b.org")], "doc_id long, text string")
+    monkeypatch.setattr(pii, "release", lambda: calls.append("release"))
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run) or self)
+    pii.pseudonymise(docs)
+
+    def batches():
+        calls.append("batch")
+        yield pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["mail a@b.org"]})
+
+    assert sum(b.num_rows for b in runs[0](batches())) == 1
+    assert calls == ["release", "batch"]
